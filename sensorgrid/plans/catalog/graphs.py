@@ -1 +1,289 @@
+"""Graph operators on the hand-off graph."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from sensorgrid.operators import graph as g
+from sensorgrid.operators import spectral
+from sensorgrid.operators.indexing import canonical_nodes
+from sensorgrid.plans.catalog import tables as t
+from sensorgrid.plans.catalog.registry import query
+from sensorgrid.sinks import write_graph
+from sensorgrid.sources import edges_from_documents, sensor_metadata
+from sensorgrid import schemas
+from sensorgrid.staging import new_path, stage
+
+# Positive weights without loops, the degree of each node, and A with its diagonal set to 1.
+_BUILT = """(SELECT src, dst, weight FROM edges WHERE src <> dst
+    UNION ALL SELECT node_id, node_id, 1.0 FROM nodes)"""
+_HALVES = """(SELECT src, dst, sum(weight) / 2 AS weight FROM (
+    SELECT src, dst, weight FROM directed WHERE src <> dst
+    UNION ALL SELECT dst, src, weight FROM directed WHERE src <> dst) GROUP BY 1, 2
+    UNION ALL SELECT node_id, node_id, 1.0 FROM nodes)"""
+
+
+def _degree(built: str) -> str:
+    return f"(SELECT src AS node, sum(weight) AS d FROM {built} GROUP BY 1)"
+
+
+@query(
+    "neighbors",
+    "SELECT src, dst, weight, round(distance, 6) AS distance FROM edges WHERE src <> dst AND weight > 0",
+    ("edges",),
+)
+def neighbors(spark, sf_dir):
+    return g.neighbors(t.edges(spark, sf_dir))
+
+
+@query(
+    "graph_membership",
+    "SELECT DISTINCT user_id AS node_id FROM events WHERE user_id IN (SELECT src FROM edges)",
+    ("edges",),
+)
+def graph_membership(spark, sf_dir):
+    return g.has_node(t.nodes(spark, sf_dir), g.graph_nodes(t.edges(spark, sf_dir)))
+
+
+def _validate_sql(edges: str) -> str:
+    return f"""SELECT n AS n_nodes, "symmetric", n - loops AS without_self_loop, positive - n AS n_edges,
+        round(1 - CAST(positive - n AS DOUBLE) / (n * (n - 1)), 6) AS sparsity,
+        round(total / (n * n), 6) AS density FROM (SELECT count(*) FILTER (WHERE weight > 0) AS positive,
+        count(*) FILTER (WHERE src = dst AND weight > 0) AS loops, sum(weight) AS total FROM {edges}),
+        (SELECT count(*) AS n FROM nodes), (SELECT count(*) = 0 AS "symmetric" FROM {edges} a
+        LEFT JOIN {edges} b ON b.src = a.dst AND b.dst = a.src
+        WHERE abs(a.weight - coalesce(b.weight, 0)) > 1e-6 + 1e-5 * coalesce(b.weight, 0))"""
+
+
+@query("graph_validate", _validate_sql("edges"), ("edges", "nodes"))
+def graph_validate(spark, sf_dir):
+    return g.graph_validate(t.edges(spark, sf_dir), t.nodes(spark, sf_dir))
+
+
+@query("graph_validate_directed", _validate_sql("directed"), ("directed", "nodes"))
+def graph_validate_directed(spark, sf_dir):
+    return g.graph_validate(t.directed_edges(spark, sf_dir), t.nodes(spark, sf_dir))
+
+
+@query("graph_build", f"SELECT src, dst, CAST(weight AS DOUBLE) AS weight FROM {_HALVES}", ("directed", "nodes"))
+def graph_build(spark, sf_dir):
+    """The directed graph is asymmetric, so it is symmetrised."""
+    return g.graph_build(t.directed_edges(spark, sf_dir), t.nodes(spark, sf_dir))
+
+
+def _built(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage(g.graph_build(t.edges(spark, sf_dir), t.nodes(spark, sf_dir)), "graph")
+
+
+@query(
+    "graph_norm_symmetric",
+    f"""SELECT b.src, b.dst, round(b.weight / sqrt(s.d) / sqrt(e.d), 6) AS weight FROM {_BUILT} b
+        JOIN {_degree(_BUILT)} s ON s.node = b.src JOIN {_degree(_BUILT)} e ON e.node = b.dst""",
+    ("edges", "nodes"),
+)
+def graph_norm_symmetric(spark, sf_dir):
+    return g.graph_normalize(_built(spark, sf_dir), "symmetric")
+
+
+@query(
+    "graph_norm_row",
+    f"""SELECT b.src, b.dst, round(b.weight / s.d, 6) AS weight FROM {_BUILT} b
+        JOIN {_degree(_BUILT)} s ON s.node = b.src""",
+    ("edges", "nodes"),
+)
+def graph_norm_row(spark, sf_dir):
+    return g.graph_normalize(_built(spark, sf_dir), "row")
+
+
+_PLUS_I = """(SELECT src, dst, sum(weight) AS weight FROM (SELECT src, dst, weight FROM edges
+    UNION ALL SELECT node_id, node_id, 1.0 FROM nodes) GROUP BY 1, 2)"""
+_NORM_PANEL = f"""SELECT b.src, b.dst, round(b.weight / sqrt(s.d) / sqrt(e.d), 6) AS weight FROM {_PLUS_I} b
+    JOIN {_degree(_PLUS_I)} s ON s.node = b.src JOIN {_degree(_PLUS_I)} e ON e.node = b.dst"""
+
+
+@query("graph_norm_pipeline", _NORM_PANEL, ("edges", "nodes"))
+def graph_norm_pipeline(spark, sf_dir):
+    return g.graph_for_panel(t.edges(spark, sf_dir), t.nodes(spark, sf_dir))
+
+
+@query("sink_graph", _NORM_PANEL, ("edges", "nodes"))
+def sink_graph(spark, sf_dir):
+    path = new_path(spark, "graph")
+    write_graph(g.graph_for_panel(t.edges(spark, sf_dir), t.nodes(spark, sf_dir)), path)
+    return spark.read.parquet(path)
+
+
+@query(
+    "graph_diagnostics",
+    f"""SELECT n AS n_nodes, first_id, last_id, n - 1 AS last_pos, true AS "symmetric", false AS has_nan,
+        round(1 - CAST(nonzero AS DOUBLE) / (n * n), 6) AS sparsity, round(trace, 6) AS trace,
+        false AS expected_nodes FROM (SELECT count(*) AS n, min(node_id) AS first_id, max(node_id) AS last_id
+        FROM nodes), (SELECT count(*) AS nonzero, sum(CASE WHEN b.src = b.dst
+            THEN b.weight / sqrt(s.d) / sqrt(e.d) END) AS trace FROM {_BUILT} b
+            JOIN {_degree(_BUILT)} s ON s.node = b.src JOIN {_degree(_BUILT)} e ON e.node = b.dst)""",
+    ("edges", "nodes"),
+)
+def graph_diagnostics(spark, sf_dir):
+    nodes = t.nodes(spark, sf_dir)
+    normal = stage(g.graph_normalize(_built(spark, sf_dir), "symmetric"), "normal")
+    return g.graph_diagnostics(normal, nodes, expected_nodes=140)
+
+
+@query(
+    "graph_laplacian",
+    """SELECT src, dst, round(sum(value), 6) AS value FROM (
+        SELECT e.src, e.dst, -e.weight / sqrt(s.d + 1e-8) / sqrt(f.d + 1e-8) AS value FROM edges e
+        JOIN (SELECT src AS node, sum(weight) AS d FROM edges GROUP BY 1) s ON s.node = e.src
+        JOIN (SELECT src AS node, sum(weight) AS d FROM edges GROUP BY 1) f ON f.node = e.dst
+        UNION ALL SELECT node_id, node_id, 1.0 FROM nodes) GROUP BY 1, 2""",
+    ("edges", "nodes"),
+)
+def graph_laplacian(spark, sf_dir):
+    return g.laplacian(t.edges(spark, sf_dir), t.nodes(spark, sf_dir))
+
+
+@query("spectral_encoding")
+def spectral_encoding(spark, sf_dir):
+    _, encoding = spectral.spectral_encoding(t.edges(spark, sf_dir), t.nodes(spark, sf_dir), k=4)
+    return encoding
+
+
+_KEEP = "(SELECT DISTINCT user_id AS node_id FROM events WHERE event_type = 'purchase' AND value > 100)"
+
+
+@query(
+    "subgraph",
+    f"""SELECT e.src, e.dst, e.weight, round(e.distance, 6) AS distance, a.pos AS src_pos, b.pos AS dst_pos
+        FROM edges e JOIN idx a ON a.node_id = e.src JOIN idx b ON b.node_id = e.dst""".replace(
+        "idx", f"(SELECT node_id, row_number() OVER (ORDER BY node_id) - 1 AS pos FROM {_KEEP})"
+    ),
+    ("edges", "nodes"),
+)
+def subgraph(spark, sf_dir):
+    keep = (
+        t.table(spark, sf_dir, "events")
+        .where("event_type = 'purchase' AND value > 100")
+        .select(F.col("user_id").alias("node_id"))
+        .distinct()
+    )
+    _, edges = g.subgraph(t.edges(spark, sf_dir), t.nodes(spark, sf_dir), keep)
+    return edges
+
+
+@query(
+    "align_graph",
+    """SELECT a.pos AS src_pos, b.pos AS dst_pos, e.src, e.dst, e.weight FROM edges e
+        JOIN ord a ON a.node_id = CAST(e.src AS VARCHAR) JOIN ord b ON b.node_id = CAST(e.dst AS VARCHAR)""".replace(
+        "ord",
+        """(SELECT node_id, row_number() OVER (ORDER BY node_id) - 1 AS pos
+            FROM (SELECT DISTINCT CAST(sensor_id AS VARCHAR) AS node_id FROM cells))""",
+    ),
+    ("edges", "cells"),
+)
+def align_graph(spark, sf_dir):
+    order = canonical_nodes(t.cells(spark, sf_dir))
+    return g.align_graph(t.edges(spark, sf_dir), t.nodes(spark, sf_dir), order)
+
+
+@query(
+    "align_preview",
+    """SELECT node_id, row_number() OVER (ORDER BY node_id) - 1 AS pos
+        FROM (SELECT DISTINCT CAST(sensor_id AS VARCHAR) AS node_id FROM cells) ORDER BY 1 LIMIT 5""",
+    ("cells",),
+)
+def align_preview(spark, sf_dir):
+    return g.alignment_preview(canonical_nodes(t.cells(spark, sf_dir)))
+
+
+@query(
+    "node_consistency",
+    """SELECT CAST(n AS VARCHAR) AS node_id, bool_or(w = 'panel') AS in_panel, bool_or(w = 'graph') AS in_graph,
+        bool_or(w = 'config') AS in_config FROM (SELECT sensor_id AS n, 'panel' AS w FROM cells
+        UNION ALL SELECT src, 'graph' FROM edges UNION ALL SELECT sensor_id, 'config' FROM cells
+        WHERE bucket < TIMESTAMP '2024-01-02') GROUP BY 1""",
+    ("cells", "edges"),
+)
+def node_consistency(spark, sf_dir):
+    cells = t.cells(spark, sf_dir)
+    early = cells.where(F.unix_millis("bucket") < 1704153600000)
+    return g.node_consistency(
+        panel=cells.select(F.col("sensor_id").alias("node_id")),
+        graph=g.graph_nodes(t.edges(spark, sf_dir)),
+        config=early.select(F.col("sensor_id").alias("node_id")),
+    )
+
+
+_TRADE = """(SELECT c.c_nationkey AS src, s.s_nationkey AS dst, count(*) AS n, avg(l.l_quantity) AS q
+    FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN customer c ON c.c_custkey = o.o_custkey
+    JOIN supplier s ON s.s_suppkey = l.l_suppkey WHERE l.l_returnflag = 'R' GROUP BY 1, 2)"""
+
+
+def trade_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense graph document of the nations: weight = returned items, distance = mean quantity.
+
+    The matrix has one cell per pair of nations; only the counts grow with the tables.
+    """
+    items = t.table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select("l_orderkey", "l_suppkey", "l_quantity")
+    orders = t.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    customers = t.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    suppliers = t.table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    flows = (
+        items.join(orders, items.l_orderkey == orders.o_orderkey)
+        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .groupBy(F.col("c_nationkey").cast("int").alias("src"), F.col("s_nationkey").cast("int").alias("dst"))
+        .agg(F.count(F.lit(1)).cast("double").alias("n"), F.avg("l_quantity").alias("q"))
+    )
+    size = t.table(spark, sf_dir, "nation").agg((F.max("n_nationkey") + 1).cast("int").alias("n")).scalar()
+    grid = flows.agg(
+        F.map_from_entries(F.collect_list(F.struct(F.struct("src", "dst"), F.struct("n", "q")))).alias("m")
+    ).withColumn("ids", F.sequence(F.lit(0), size - 1))
+
+    def matrix(field: str):
+        return F.transform(
+            "ids",
+            lambda i: F.transform(
+                "ids", lambda j: F.coalesce(F.element_at("m", F.struct(i.alias("src"), j.alias("dst")))[field], F.lit(0.0))
+            ),
+        )
+
+    return grid.select(
+        F.to_json(F.struct(matrix("n").alias("adjacency-matrix"), matrix("q").alias("distance-matrix"))).alias("value")
+    )
+
+
+@query(
+    "graph_edges_from_matrix",
+    f"""SELECT CAST(src AS BIGINT) AS src, CAST(dst AS BIGINT) AS dst, CAST(n AS DOUBLE) AS weight,
+        round(q, 6) AS distance FROM {_TRADE}""",
+)
+def graph_edges_from_matrix(spark, sf_dir):
+    docs = trade_document(spark, sf_dir).select(F.from_json("value", schemas.GRAPH_DOC).alias("d")).select("d.*")
+    return edges_from_documents(docs)
+
+
+@query(
+    "sensor_metadata",
+    """SELECT s_suppkey AS sensor_id, CASE WHEN s_suppkey % 5 <> 1 THEN round(s_acctbal, 6) END AS first,
+        CASE WHEN s_suppkey % 5 <> 1 THEN CAST(s_nationkey AS DOUBLE) END AS second, s_name AS name
+        FROM supplier WHERE s_suppkey % 5 <> 0""",
+)
+def metadata(spark, sf_dir):
+    """Suppliers as a sensor dictionary, one document per row; some entries are malformed."""
+    rows = t.table(spark, sf_dir, "supplier")
+    place = F.concat(F.lit("["), F.col("s_acctbal").cast("string"), F.lit(","), F.col("s_nationkey").cast("string"), F.lit("]"))
+    name = F.concat(F.lit('"'), F.col("s_name"), F.lit('"'))
+    kind = F.col("s_suppkey") % 5
+    info = (
+        F.when(kind == 0, F.concat(F.lit("["), place, F.lit("]")))
+        .when(kind == 1, F.concat(F.lit('["nowhere",'), name, F.lit("]")))
+        .otherwise(F.concat(F.lit("["), place, F.lit(","), name, F.lit("]")))
+    )
+    docs = rows.select(
+        F.concat(
+            F.lit('{"camera-dictionary":{"'), F.col("s_suppkey").cast("string"), F.lit('":'), info, F.lit("}}")
+        ).alias("value")
+    )
+    return sensor_metadata(docs).select(
+        "sensor_id", F.get("location", 0).alias("first"), F.get("location", 1).alias("second"), "name"
+    )

@@ -1 +1,96 @@
+"""Structured Streaming jobs over the events table as a file source.
 
+Each query runs its stream to the end of the available data and returns the written table.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from sensorgrid import sources
+from sensorgrid.functions import from_utc_wall
+from sensorgrid.operators import forecast as fc
+from sensorgrid.plans.catalog import tables as t
+from sensorgrid.plans.catalog.registry import query
+from sensorgrid.staging import new_path, stage
+from sensorgrid.streaming import (
+    archive_stream,
+    read_window,
+    score_latest,
+    snapshot_stream,
+    write_snapshots,
+)
+
+ONCE = {"availableNow": True}
+DELAY = "1 hour"
+
+
+def message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = t.table(spark, sf_dir, "events").schema
+    rows = (
+        spark.readStream.schema(schema)
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(sf_dir)
+        .withColumns({"ts": from_utc_wall(F.col("ts")), "k": F.get_json_object("props", "$.k").cast("int")})
+    )
+    return t.messages(spark, sf_dir, rows)
+
+
+def _run_snapshots(spark: SparkSession, sf_dir: str, after_batch=None) -> str:
+    path = new_path(spark, "live")
+    stream = snapshot_stream(sources.decode(message_stream(spark, sf_dir)), "5m", DELAY)
+    run = write_snapshots(stream, path, f"{path}/checkpoint", after_batch, ONCE)
+    run.awaitTermination()
+    return path
+
+
+# Buckets that end no later than the highest message time minus the delay.
+_CLOSED = """(SELECT * FROM (SELECT time_bucket(INTERVAL '5 minutes', make_timestamp(ms * 1000)) AS window_start,
+    sensor AS node_id, CAST(format('{:.2f}', avg(num)) AS DOUBLE) AS flow, count(*) AS num_samples
+    FROM usable GROUP BY 1, 2) WHERE window_start + INTERVAL 5 MINUTE <=
+    (SELECT make_timestamp(max(ms) * 1000) - INTERVAL 1 HOUR FROM usable))"""
+
+
+@query("snapshot_stream", f"SELECT * FROM {_CLOSED}", ("usable",))
+def snapshots(spark, sf_dir):
+    return read_window(spark, _run_snapshots(spark, sf_dir), None)
+
+
+@query(
+    "archive_stream",
+    """SELECT CASE WHEN k = 5 THEN DATE '1970-01-01' ELSE CAST(stamp + INTERVAL 7 HOUR AS DATE) END AS dump_date,
+        CAST(part AS INTEGER) AS kafka_partition, off AS kafka_offset,
+        sensor AS sensor_id, txt AS count, ms AS ts FROM msgs WHERE k > 2""",
+    ("msgs",),
+)
+def archive(spark, sf_dir):
+    path = new_path(spark, "archive")
+    run = archive_stream(
+        message_stream(spark, sf_dir), f"{path}/data", f"{path}/checkpoint", t.TZ, "event", ONCE
+    )
+    run.awaitTermination()
+    found = F.regexp_extract(F.col("_metadata.file_path"), "dump_date=([0-9-]+)", 1)
+    rows = sources.read_archive(spark, f"{path}/data", "*.txt")
+    return rows.select(
+        F.to_date(found).alias("dump_date"), "kafka_partition", "kafka_offset", "sensor_id", "count", "ts"
+    )
+
+
+_SCORED = f"""(SELECT w AS timestamp, l.node_id, l.pos, CAST(h AS INTEGER) AS horizon,
+    least(120.0, greatest(0.0, coalesce(s.flow, 0))) AS flow
+    FROM (SELECT max(window_start) AS w FROM {_CLOSED}) CROSS JOIN linked l CROSS JOIN range(1, 4) r(h)
+    LEFT JOIN {_CLOSED} s ON s.window_start = w AND s.node_id = l.node_id)"""
+
+
+@query("score_stream", f"SELECT * FROM {_SCORED}", ("usable", "linked"))
+def score(spark, sf_dir):
+    nodes = stage(t.linked_nodes(spark, sf_dir), "nodes")
+    hook = score_latest(lambda window: fc.forecast_persistence(window, nodes, steps=3, interval="5m"))
+    path = _run_snapshots(spark, sf_dir, hook)
+    stored = spark.read.parquet(f"{path}/predictions")
+    newest = stored.agg(F.max("timestamp").alias("m")).scalar()
+    return (
+        stored.where(F.col("timestamp") == newest)
+        .select("timestamp", "node_id", "pos", "horizon", "flow")
+        .distinct()
+    )

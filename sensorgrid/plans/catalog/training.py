@@ -1 +1,176 @@
+"""Training data and forecasts on the imputed panel."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from sensorgrid.operators import forecast as fc
+from sensorgrid.operators import impute as im
+from sensorgrid.operators import training as tr
+from sensorgrid.operators.evaluate import forecast_metrics
+from sensorgrid.operators.indexing import canonical_nodes
+from sensorgrid.plans.catalog import tables as t
+from sensorgrid.plans.catalog.registry import query
+from sensorgrid.sinks import model_config as build_config
+from sensorgrid.staging import stage
+
+
+def series_and_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The clean panel with bucket positions, written once, and its split."""
+    cells, buckets = t.staged_cells(spark, sf_dir)
+    panel = im.impute(cells, buckets, t.edges(spark, sf_dir))
+    return stage(tr.to_series(panel, buckets), "series"), stage(tr.chrono_split(buckets), "split")
+
+
+@query(
+    "chrono_split",
+    """SELECT pos, CASE WHEN pos < cut THEN 'train' ELSE 'val' END AS split,
+        CASE WHEN pos < cut THEN pos ELSE pos - cut END AS step FROM buckets,
+        (SELECT CAST(floor(count(*) * 0.8) AS BIGINT) AS cut FROM buckets)""",
+    ("buckets",),
+)
+def chrono_split(spark, sf_dir):
+    _, buckets = t.staged_cells(spark, sf_dir)
+    return tr.chrono_split(buckets)
+
+
+@query("max_flow", "SELECT round(max(value), 6) AS max_flow FROM series WHERE split = 'train'", ("series",))
+def max_flow(spark, sf_dir):
+    return tr.max_flow(*series_and_split(spark, sf_dir))
+
+
+@query(
+    "scale_values",
+    """SELECT sensor_id, pos, round(value / m, 6) AS scaled FROM series,
+        (SELECT max(value) AS m FROM series WHERE split = 'train')""",
+    ("series",),
+)
+def scale_values(spark, sf_dir):
+    series, split = series_and_split(spark, sf_dir)
+    factor = tr.max_flow(series, split).scalar()
+    return series.select("sensor_id", "pos", tr.scale(F.col("value"), factor).alias("scaled"))
+
+
+@query("unscale_values", "SELECT sensor_id, pos, round(value, 6) AS value FROM series", ("series",))
+def unscale_values(spark, sf_dir):
+    series, split = series_and_split(spark, sf_dir)
+    factor = tr.max_flow(series, split).scalar()
+    scaled = series.select("sensor_id", "pos", tr.scale(F.col("value"), factor).alias("scaled"))
+    return scaled.select("sensor_id", "pos", tr.unscale(F.col("scaled"), factor).alias("value"))
+
+
+_WINDOWS = (
+    "(SELECT sensor_id, split, step AS start_idx, value AS v0, ld, "
+    + ", ".join(f"lead(value, {i}) OVER w AS v{i}" for i in range(1, 15))
+    + """, lead(step, 14) OVER w AS last_step, lead(ld, 14) OVER w AS last_ld FROM series
+    WINDOW w AS (PARTITION BY sensor_id, split ORDER BY step))"""
+)
+
+
+@query(
+    "training_windows",
+    "SELECT sensor_id, split, start_idx, "
+    + ", ".join(f"round(v{i} / m, 6) AS v{i}" for i in range(15))
+    + f" FROM {_WINDOWS}, (SELECT max(value) AS m FROM series WHERE split = 'train')"
+    + " WHERE last_step IS NOT NULL",
+    ("series",),
+)
+def training_windows(spark, sf_dir):
+    series, split = series_and_split(spark, sf_dir)
+    tr.check_length(split)
+    windows = tr.training_windows(series, split, factor=tr.max_flow(series, split).scalar())
+    return windows.select(
+        "sensor_id",
+        "split",
+        "start_idx",
+        *[F.get("x", i).alias(f"v{i}") for i in range(12)],
+        *[F.get("y", i).alias(f"v{12 + i}") for i in range(3)],
+    )
+
+
+@query(
+    "training_windows_within_day",
+    f"""SELECT sensor_id, split, start_idx, round(v0, 6) AS first, round(v14, 6) AS last
+        FROM {_WINDOWS} WHERE last_ld = ld""",
+    ("series",),
+)
+def training_windows_within_day(spark, sf_dir):
+    series, split = series_and_split(spark, sf_dir)
+    return tr.training_windows(series, split, within_day=True).select(
+        "sensor_id", "split", "start_idx", F.get("x", 0).alias("first"), F.get("y", 2).alias("last")
+    )
+
+
+@query(
+    "dataset_stats",
+    """SELECT split, max(step) + 1 - 14 AS num_samples, count(DISTINCT sensor_id) AS num_nodes,
+        round(min(value), 6) AS data_min, round(max(value), 6) AS data_max,
+        round(avg(value), 6) AS data_mean, round(stddev_pop(value), 6) AS data_std
+        FROM series GROUP BY 1""",
+    ("series",),
+)
+def dataset_stats(spark, sf_dir):
+    return tr.dataset_stats(*series_and_split(spark, sf_dir))
+
+
+@query(
+    "training_batches",
+    """SELECT split, start_idx, rank // 32 AS batch, rank % 32 AS slot FROM (
+        SELECT split, step AS start_idx, CASE WHEN split = 'val' THEN step ELSE
+            row_number() OVER (PARTITION BY split ORDER BY md5('42:' || step), step) - 1 END AS rank
+        FROM (SELECT *, max(step) OVER (PARTITION BY split) AS top FROM (
+            SELECT DISTINCT split, step FROM series)) WHERE step <= top - 14)""",
+    ("series",),
+)
+def training_batches(spark, sf_dir):
+    _, buckets = t.staged_cells(spark, sf_dir)
+    return tr.training_batches(tr.chrono_split(buckets))
+
+
+@query(
+    "model_config",
+    """SELECT round((SELECT max(value) FROM series WHERE split = 'train'), 6) AS max_flow,
+        (SELECT count(DISTINCT sensor_id) FROM series) AS num_nodes, row_number() OVER (ORDER BY id) - 1 AS pos,
+        id AS node_id, 12 AS input_len, 3 AS output_len, 0.8::DOUBLE AS train_ratio
+        FROM (SELECT DISTINCT CAST(sensor_id AS VARCHAR) AS id FROM series)""",
+    ("series",),
+)
+def model_config(spark, sf_dir):
+    series, split = series_and_split(spark, sf_dir)
+    config = build_config(series, split, canonical_nodes(series))
+    return config.select(
+        "max_flow", "num_nodes", F.posexplode("node_ids").alias("pos", "node_id"), "input_len", "output_len", "train_ratio"
+    ).withColumn("pos", F.col("pos").cast("bigint"))
+
+
+_ERRORS = " UNION ALL ".join(
+    f"SELECT {h} AS horizon, v11 AS f, v{11 + h} AS a FROM {_WINDOWS} WHERE split = 'val' AND last_step IS NOT NULL"
+    for h in (1, 2, 3)
+)
+
+
+@query(
+    "forecast_metrics",
+    f"""SELECT horizon, count(*) AS n, round(avg(abs(f - a)), 6) AS mae,
+        round(sqrt(avg((f - a) * (f - a))), 6) AS rmse,
+        round(avg(CASE WHEN a <> 0 THEN abs(f - a) / abs(a) END) * 100, 6) AS mape
+        FROM (SELECT unnest([horizon, 0]) AS horizon, f, a FROM ({_ERRORS})) GROUP BY 1""",
+    ("series",),
+)
+def metrics(spark, sf_dir):
+    """Persistence on the validation windows."""
+    series, split = series_and_split(spark, sf_dir)
+    windows = tr.training_windows(series, split).where("split = 'val'")
+    return forecast_metrics(fc.persistence_scores(windows))
+
+
+@query("forecast_train_score")
+def forecast_train_score(spark, sf_dir):
+    """Errors of the linear graph model on the validation windows."""
+    series, split = series_and_split(spark, sf_dir)
+    factor = tr.max_flow(series, split).scalar()
+    windows = tr.training_windows(series, split, factor=factor)
+    _, scored = fc.train_and_score(windows, t.edges(spark, sf_dir))
+    return forecast_metrics(
+        scored.withColumns({"flow": F.col("flow") * factor, "actual": F.col("actual") * factor})
+    )

@@ -25,6 +25,7 @@ def local_session(app: str = "sensorgrid", cpus: int | str = "*", **conf: str) -
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "12g",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         **conf,
     }
     for key, value in settings.items():
