@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sensorgrid.functions import parse_duration
 from sensorgrid.operators.evaluate import forecast_metrics
-from sensorgrid.operators.graph import neighbors
+from sensorgrid.operators.graph import join_links, neighbors
 from sensorgrid.staging import stage
 
 # Bounds of a published flow.
@@ -81,33 +81,25 @@ def persistence_scores(windows: DataFrame, factor: Column | None = None) -> Data
     )
 
 
-def neighbor_means(values: DataFrame, edges: DataFrame, key: list[str], value: str, out: str) -> DataFrame:
-    """Mean of ``value`` over the neighbours of each sensor, per remaining key."""
-    links = neighbors(edges).select(F.col("src").alias("_s"), F.col("dst").alias("sensor_id"))
+def neighbor_means(values: DataFrame, edges: DataFrame, key: list[str], **means: Column) -> DataFrame:
+    """Mean of each named expression over the neighbours of a sensor, per remaining key."""
+    links = neighbors(edges).select(F.col("src").alias("_owner"), F.col("dst").alias("sensor_id"))
+    named = values.select("sensor_id", *key, *[c.alias(n) for n, c in means.items()])
     return (
-        values.join(links, "sensor_id")
-        .groupBy(F.col("_s").alias("sensor_id"), *key)
-        .agg(F.avg(value).alias(out))
+        join_links(named, links, "sensor_id", key[-1])
+        .groupBy(F.col("_owner").alias("sensor_id"), *key)
+        .agg(*[F.avg(n).alias(n) for n in means])
     )
 
 
 def windows_with_neighbors(windows: DataFrame, edges: DataFrame) -> DataFrame:
     """Adds ``nb_t`` and ``nb_t1``: neighbour means at the last and the previous input step.
     A sensor without neighbours uses its own values."""
-    ends = windows.select(
-        "sensor_id", "split", "start_idx", F.element_at("x", -1).alias("a"), F.element_at("x", -2).alias("b")
-    )
-    links = neighbors(edges).select(F.col("src").alias("_s"), F.col("dst").alias("sensor_id"))
-    means = (
-        ends.join(links, "sensor_id")
-        .groupBy(F.col("_s").alias("sensor_id"), "split", "start_idx")
-        .agg(F.avg("a").alias("nb_t"), F.avg("b").alias("nb_t1"))
-    )
-    return windows.join(means, ["sensor_id", "split", "start_idx"], "left").withColumns(
-        {
-            "nb_t": F.coalesce("nb_t", F.element_at("x", -1)),
-            "nb_t1": F.coalesce("nb_t1", F.element_at("x", -2)),
-        }
+    key = ["split", "start_idx"]
+    last, previous = F.element_at("x", -1), F.element_at("x", -2)
+    means = neighbor_means(windows, edges, key, nb_t=last, nb_t1=previous)
+    return windows.join(means, ["sensor_id", *key], "left").withColumns(
+        {"nb_t": F.coalesce("nb_t", last), "nb_t1": F.coalesce("nb_t1", previous)}
     )
 
 
@@ -145,7 +137,8 @@ def fit(windows: DataFrame, input_len: int = 12, extra: tuple[str, ...] = (), re
 
 
 def score(windows: DataFrame, edges: DataFrame, model: GraphModel, steps: int = 3) -> DataFrame:
-    """``sensor_id, split, start_idx, horizon, flow, actual``, each step fed by the one before."""
+    """``sensor_id, split, start_idx, horizon, flow, actual``, each step fed by the one before
+    (runs a job per step but the last)."""
     key = ["split", "start_idx"]
     state = windows
     parts = []
@@ -155,7 +148,9 @@ def score(windows: DataFrame, edges: DataFrame, model: GraphModel, steps: int =
             state.select("sensor_id", *key, F.lit(step).alias("horizon"), "flow", F.get("y", step - 1).alias("actual"))
         )
         if step < steps:
-            means = neighbor_means(state.select("sensor_id", *key, "flow"), edges, key, "flow", "nb_next")
+            # Each step reads the one before twice, so it is written first.
+            state = stage(state, "decode")
+            means = neighbor_means(state, edges, key, nb_next=F.col("flow"))
             state = (
                 state.join(means, ["sensor_id", *key], "left")
                 .withColumns(

@@ -18,28 +18,37 @@ def find_gaps(cells: DataFrame, buckets: DataFrame) -> DataFrame:
     over the whole series, across days.  Cells with a NULL value count as missing; a sensor
     without any value is one gap over all buckets.
     """
-    placed = cells.where("value IS NOT NULL").join(
-        buckets.select("bucket", "local_date", "pos"), "bucket"
-    ).select("sensor_id", "local_date", "pos", "value")
+    placed = cells.join(buckets.select("bucket", "local_date", "pos"), "bucket").select(
+        "sensor_id", "local_date", "pos", "value"
+    )
     # One shuffle serves both the order inside a day and the summary per day.
     placed = placed.repartition("sensor_id", "local_date")
 
     inside = Window.partitionBy("sensor_id", "local_date").orderBy("pos")
-    daily = placed.select(
-        "sensor_id",
-        F.col("pos").alias("prev_pos"),
-        F.col("value").alias("prev_value"),
-        F.lead("pos").over(inside).alias("next_pos"),
-        F.lead("value").over(inside).alias("next_value"),
-    ).where("next_pos > prev_pos + 1")
+    daily = (
+        placed.where("value IS NOT NULL")
+        .select(
+            "sensor_id",
+            F.col("pos").alias("prev_pos"),
+            F.col("value").alias("prev_value"),
+            F.lead("pos").over(inside).alias("next_pos"),
+            F.lead("value").over(inside).alias("next_value"),
+            (F.col("pos") + 1).alias("first_null"),
+            (F.lead("pos").over(inside) - 1).alias("last_null"),
+        )
+        .where("last_null >= first_null")
+    )
 
+    known = F.when(F.col("value").isNotNull(), F.col("pos"))
     ends = placed.groupBy("sensor_id", "local_date").agg(
-        F.min("pos").alias("first_pos"),
-        F.min_by("value", "pos").alias("first_value"),
-        F.max("pos").alias("last_pos"),
-        F.max_by("value", "pos").alias("last_value"),
+        F.min(known).alias("first_pos"),
+        F.min_by("value", known).alias("first_value"),
+        F.max(known).alias("last_pos"),
+        F.max_by("value", known).alias("last_value"),
     )
-    across = Window.partitionBy("sensor_id").orderBy("local_date")
+    # Days without any value come last, so the last day with one has no successor.
+    empty = F.col("first_pos").isNull()
+    across = Window.partitionBy("sensor_id").orderBy(empty, "local_date")
     total = buckets.agg(F.coalesce(F.max("pos") + 1, F.lit(0)).alias("n")).scalar()
     chained = ends.select(
         "*",
@@ -47,53 +56,44 @@ def find_gaps(cells: DataFrame, buckets: DataFrame) -> DataFrame:
         F.lead("first_value").over(across).alias("next_value"),
         F.row_number().over(across).alias("day_rank"),
     )
-    after = F.struct(
-        F.col("last_pos").alias("prev_pos"),
-        F.col("last_value").alias("prev_value"),
+    no_pos, no_value = F.lit(None).cast("bigint"), F.lit(None).cast("double")
+
+    def gap(prev_pos, prev_value, next_pos, next_value, first_null, last_null):
+        return F.struct(
+            prev_pos.alias("prev_pos"),
+            prev_value.alias("prev_value"),
+            next_pos.alias("next_pos"),
+            next_value.alias("next_value"),
+            first_null.cast("bigint").alias("first_null"),
+            last_null.cast("bigint").alias("last_null"),
+        )
+
+    after = gap(
+        F.col("last_pos"),
+        F.col("last_value"),
         F.col("next_pos"),
         F.col("next_value"),
-        (F.col("last_pos") + 1).alias("first_null"),
-        (F.coalesce(F.col("next_pos"), total) - 1).alias("last_null"),
+        F.col("last_pos") + 1,
+        F.coalesce(F.col("next_pos"), total) - 1,
     )
-    before = F.struct(
-        F.lit(None).cast("bigint").alias("prev_pos"),
-        F.lit(None).cast("double").alias("prev_value"),
-        F.col("first_pos").alias("next_pos"),
-        F.col("first_value").alias("next_value"),
-        F.lit(0).cast("bigint").alias("first_null"),
-        (F.col("first_pos") - 1).alias("last_null"),
+    before = gap(
+        no_pos, no_value, F.col("first_pos"), F.col("first_value"), F.lit(0), F.col("first_pos") - 1
     )
+    blank = gap(no_pos, no_value, no_pos, no_value, F.lit(0), total - 1)
+    first_day = F.col("day_rank") == 1
     overnight = (
         chained.select(
             "sensor_id",
-            F.explode(
-                F.when(F.col("day_rank") == 1, F.array(before, after)).otherwise(F.array(after))
-            ).alias("gap"),
+            F.inline(
+                F.when(empty & first_day, F.array(blank))
+                .when(first_day, F.array(before, after))
+                .when(~empty, F.array(after))
+            ),
         )
-        .select("sensor_id", "gap.*")
         .where("last_null >= first_null")
     )
-    blank = (
-        cells.groupBy("sensor_id")
-        .agg(F.count("value").alias("n"))
-        .where("n = 0")
-        .select(
-            "sensor_id",
-            F.lit(None).cast("bigint").alias("prev_pos"),
-            F.lit(None).cast("double").alias("prev_value"),
-            F.lit(None).cast("bigint").alias("next_pos"),
-            F.lit(None).cast("double").alias("next_value"),
-            F.lit(0).cast("bigint").alias("first_null"),
-            (total - 1).alias("last_null"),
-        )
-    )
-    daily = daily.withColumns(
-        {"first_null": F.col("prev_pos") + 1, "last_null": F.col("next_pos") - 1}
-    )
-    return (
-        daily.unionByName(overnight)
-        .unionByName(blank)
-        .withColumn("run", F.col("last_null") - F.col("first_null") + 1)
+    return daily.unionByName(overnight).withColumn(
+        "run", F.col("last_null") - F.col("first_null") + 1
     )
 
 

@@ -20,6 +20,20 @@ def neighbors(edges: DataFrame) -> DataFrame:
     return edges.where("weight > 0 AND src <> dst")
 
 
+def join_links(
+    rows: DataFrame, links: DataFrame, key: str, spread: str, how: str = "inner", salts: int = 8
+) -> DataFrame:
+    """``rows`` joined to a link table on ``key``.
+
+    A hub may hold a large share of all links, and its rows would meet them in one task; so
+    its rows are spread over ``salts`` parts by the column ``spread``.  The link table, which
+    is small beside the rows, is repeated once per part.
+    """
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    copies = links.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(copies, [key, "_salt"], how).drop("_salt")
+
+
 def has_node(candidates: DataFrame, nodes: DataFrame, key: str = "node_id") -> DataFrame:
     """The candidates that are nodes of the graph."""
     return candidates.join(nodes.select(F.col("node_id").alias(key)), key, "left_semi")

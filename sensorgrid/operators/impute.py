@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sensorgrid.operators.gaps import impute_temporal
-from sensorgrid.operators.graph import neighbors
+from sensorgrid.operators.graph import join_links, neighbors
 from sensorgrid.staging import stage
 
 COLUMNS = ["sensor_id", "bucket", "weekday", "tod", "value", "filled_by"]
@@ -43,18 +43,21 @@ def usable_neighbors(edges: DataFrame, sensors: DataFrame, use_distance: bool =
 
 
 def neighbor_values(panel: DataFrame, links: DataFrame) -> DataFrame:
-    """``sensor_id, bucket, num, den, available``: weighted sum of the neighbours' values at
-    the bucket of every null cell that has at least one such value."""
+    """Every null cell with ``num, den, total, available``: the weighted sum of its
+    neighbours' values at the same bucket, the weight behind it, the weight of all
+    neighbours, and the number of neighbours that have a value."""
     known, holes = _split(panel)
-    wanted = holes.select("sensor_id", "bucket").join(links, "sensor_id")
     values = known.select(F.col("sensor_id").alias("neighbor"), "bucket", F.col("value").alias("v"))
+    cell = ["sensor_id", "bucket", "weekday", "tod"]
     return (
-        wanted.join(values, ["neighbor", "bucket"])
-        .groupBy("sensor_id", "bucket")
+        join_links(holes.select(cell), links, "sensor_id", "bucket", "left")
+        .join(values, ["neighbor", "bucket"], "left")
+        .groupBy(cell)
         .agg(
             F.sum(F.col("v") * F.col("w")).alias("num"),
-            F.sum("w").alias("den"),
-            F.count(F.lit(1)).alias("available"),
+            F.sum(F.when(F.col("v").isNotNull(), F.col("w"))).alias("den"),
+            F.sum("w").alias("total"),
+            F.count("v").alias("available"),
         )
     )
 
@@ -76,15 +79,13 @@ def impute_spatial(
     if null_weighting not in ("available", "all"):
         raise ValueError(f"unknown null weighting: {null_weighting}")
     links = usable_neighbors(edges, panel if sensors is None else sensors, use_distance)
-    known, holes = _split(panel)
-    filled = holes.join(neighbor_values(panel, links), ["sensor_id", "bucket"], "left")
     if null_weighting == "all" and use_distance:
-        totals = links.groupBy("sensor_id").agg(F.sum("w").alias("total"))
-        filled = filled.join(totals, "sensor_id", "left")
         value = F.coalesce(F.col("num"), F.lit(0.0)) / F.col("total")
     else:
         value = F.col("num") / F.col("den")
-    return known.select(COLUMNS).unionByName(_fill(filled, value, "spatial"))
+    known, _ = _split(panel)
+    filled = _fill(neighbor_values(panel, links), value, "spatial")
+    return known.select(COLUMNS).unionByName(filled)
 
 
 def weekly_profile(panel: DataFrame) -> DataFrame:

@@ -37,6 +37,10 @@ def _temporal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(gp.impute_temporal(*t.staged_cells(spark, sf_dir)), "temporal")
 
 
+def _sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t.nodes(spark, sf_dir).withColumnRenamed("node_id", "sensor_id")
+
+
 @query(
     "null_runs",
     """SELECT sensor_id, min(pos) AS first_null, max(pos) AS last_null, count(*) AS run
@@ -82,17 +86,22 @@ def impute_temporal(spark, sf_dir):
 )
 def neighbor_values(spark, sf_dir):
     panel = _temporal(spark, sf_dir)
-    return im.neighbor_values(panel, im.usable_neighbors(t.edges(spark, sf_dir), panel))
+    found = im.neighbor_values(panel, im.usable_neighbors(t.edges(spark, sf_dir), panel))
+    return found.where("available > 0").select("sensor_id", "bucket", "num", "den", "available")
 
 
 @query("impute_spatial", _FILLED + "spatial", ("spatial",))
 def impute_spatial(spark, sf_dir):
-    return im.impute_spatial(_temporal(spark, sf_dir), t.edges(spark, sf_dir), "all")
+    return im.impute_spatial(
+        _temporal(spark, sf_dir), t.edges(spark, sf_dir), "all", sensors=_sensors(spark, sf_dir)
+    )
 
 
 @query("impute_spatial_available", _FILLED + "spatial_avail", ("spatial_avail",))
 def impute_spatial_available(spark, sf_dir):
-    return im.impute_spatial(_temporal(spark, sf_dir), t.edges(spark, sf_dir), "available")
+    return im.impute_spatial(
+        _temporal(spark, sf_dir), t.edges(spark, sf_dir), "available", sensors=_sensors(spark, sf_dir)
+    )
 
 
 @query(

@@ -7,11 +7,16 @@ from pyspark.sql import DataFrame, functions as F
 from sensorgrid.functions import local_date
 
 
-def write_panel(panel: DataFrame, path: str, tz: str) -> None:
-    """Long panel, one folder per local date.  Dates are hash-distributed together with the
-    sensor so that one busy date is written by many tasks."""
+def write_panel(panel: DataFrame, path: str, tz: str, files_per_date: int = 8) -> None:
+    """Long panel, one folder per local date.
+
+    A date is written by at most ``files_per_date`` tasks, each with its share of the sensors:
+    no task holds a whole date, and no date is scattered over thousands of small files.
+    """
+    part = F.pmod(F.xxhash64("sensor_id"), F.lit(files_per_date))
     (
         panel.withColumn("local_date", local_date(F.col("bucket"), tz))
+        .repartition("local_date", part)
         .sortWithinPartitions("local_date", "sensor_id", "bucket")
         .write.mode("overwrite")
         .partitionBy("local_date")

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sensorgrid import schemas
+from sensorgrid.functions.once import fields_once, with_once
 
 REQUIRED = ("sensor_id", "count", "ts")
 
@@ -32,12 +33,10 @@ def with_reject_reason(messages: DataFrame, value: str = "value") -> DataFrame:
     with a null value counts as present)."""
     keys = F.json_object_keys(_text(value))
     missing = F.array_except(F.array(*[F.lit(k) for k in REQUIRED]), keys)
-    return messages.withColumn(
-        "reject_reason",
-        F.when(keys.isNull(), F.lit("not an object")).when(
-            F.size(missing) > 0, F.concat(F.lit("missing "), F.array_join(missing, ","))
-        ),
+    reason = F.when(keys.isNull(), F.lit("not an object")).when(
+        F.size(missing) > 0, F.concat(F.lit("missing "), F.array_join(missing, ","))
     )
+    return with_once(messages, reason.alias("reject_reason"))
 
 
 def split_valid(messages: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -49,21 +48,8 @@ def split_valid(messages: DataFrame, value: str = "value") -> tuple[DataFrame, D
 
 def decode(messages: DataFrame, value: str = "value") -> DataFrame:
     """Message fields beside the broker columns."""
-    return messages.select(
-        "partition",
-        "offset",
-        "timestamp",
-        F.from_json(_text(value), schemas.MESSAGE).alias("m"),
-    ).select(
-        "partition",
-        "offset",
-        "timestamp",
-        F.col("m.sensor_id").alias("sensor_id"),
-        F.col("m.count").alias("count"),
-        F.col("m.ts").alias("ts"),
-        F.col("m.src").alias("src"),
-        F.col("m.ingest_ts").alias("ingest_ts"),
-    )
+    parsed = F.from_json(_text(value), schemas.MESSAGE)
+    return fields_once(messages, ["partition", "offset", "timestamp"], parsed)
 
 
 def has_time() -> Column:
