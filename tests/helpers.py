@@ -6,6 +6,9 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
+from sensorgrid.operators.panel import bucket_index
+from sensorgrid.staging import stage
+
 BASE = datetime(2024, 1, 1, tzinfo=timezone.utc)
 
 
@@ -19,12 +22,19 @@ def utc(value: datetime) -> datetime:
 
 
 def cells(spark, rows):
-    """``rows`` of (sensor, minute, value)."""
-    return spark.createDataFrame(
-        [(s, at(m), v) for s, m, v in rows], "sensor_id BIGINT, bucket TIMESTAMP, value DOUBLE"
+    """``rows`` of (sensor, minute, value), written like the cells of a job."""
+    return stage(
+        spark.createDataFrame(
+            [(s, at(m), v) for s, m, v in rows], "sensor_id BIGINT, bucket TIMESTAMP, value DOUBLE"
+        ).coalesce(1),
+        "cells",
     )
 
 
+def index(df):
+    return stage(bucket_index(df, "UTC").coalesce(1), "buckets")
+
+
 def edges(spark, rows):
     """``rows`` of (src, dst, weight, distance)."""
     return spark.createDataFrame(

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorgrid.operators import gaps, panel, quality
-from tests.helpers import as_dict, at, cells, temporal_model
+from tests.helpers import as_dict, at, cells, index, temporal_model
 
 STEP = 60
 
@@ -30,7 +30,7 @@ def _case(seed):
 def test_temporal_matches_model(spark, seed):
     rows = _case(seed)
     df = cells(spark, rows)
-    buckets = panel.bucket_index(df, "UTC")
+    buckets = index(df)
     limit = 12 if seed % 2 else 4
     got = as_dict(gaps.impute_temporal(df, buckets, limit), ["sensor_id", "bucket"])
     want = {(s, at(m)): v for (s, m), v in temporal_model(rows, limit).items()}
@@ -45,7 +45,7 @@ def test_run_of_exactly_the_limit(spark):
     long = [(2, hours[0], 5.0), (2, hours[14], 7.0)]  # 13
     rows = _grid(short + long)[0]
     df = cells(spark, rows)
-    buckets = panel.bucket_index(df, "UTC")
+    buckets = index(df)
     runs = gaps.find_gaps(df, buckets)
     found = {(r.sensor_id, r.first_null): r.run for r in runs.collect()}
     assert found[1, 1] == 12 and found[2, 1] == 13
@@ -57,7 +57,7 @@ def test_run_of_exactly_the_limit(spark):
 def test_blank_sensor_and_null_cells(spark):
     rows = _grid([(1, 480, None), (1, 540, None), (2, 480, None), (2, 600, 4.0)])[0]
     df = cells(spark, rows)
-    buckets = panel.bucket_index(df, "UTC")
+    buckets = index(df)
     runs = {(r.sensor_id, r.first_null): r.run for r in gaps.find_gaps(df, buckets).collect()}
     assert runs == {(1, 0): 39, (2, 0): 2, (2, 3): 36}
     dense = panel.dense_panel(df, buckets)
@@ -71,7 +71,7 @@ def test_blank_sensor_and_null_cells(spark):
 def test_interpolation_in_time(spark):
     rows = [(1, 0, 0.0), (1, 50, 10.0), (2, 0, 1.0), (2, 10, 1.0), (2, 50, 1.0)]
     df = cells(spark, rows)
-    buckets = panel.bucket_index(df, "UTC")
+    buckets = index(df)
     row = as_dict(gaps.impute_temporal(df, buckets, by="row"), ["sensor_id", "bucket"])
     time = as_dict(gaps.impute_temporal(df, buckets, by="time"), ["sensor_id", "bucket"])
     assert row[1, at(10)] == pytest.approx(5.0)
@@ -84,7 +84,7 @@ def test_bucket_index_positions(spark):
     rows = [(1, m, 1.0) for m in (2000, 5, 1435, 1440, 0, 3000)]
     got = {
         r.bucket.minute + 60 * r.bucket.hour + 1440 * (r.bucket.day - 1): (r.pos, r.day_first, r.day_last)
-        for r in panel.bucket_index(cells(spark, rows), "UTC").collect()
+        for r in index(cells(spark, rows)).collect()
     }
     assert got == {
         0: (0, 0, 2), 5: (1, 0, 2), 1435: (2, 0, 2), 1440: (3, 3, 4), 2000: (4, 3, 4), 3000: (5, 5, 5),
@@ -93,14 +93,14 @@ def test_bucket_index_positions(spark):
 
 def test_no_product_of_buckets_and_sensors_in_the_plan(spark):
     df = cells(spark, _case(1))
-    plan = gaps.impute_temporal(df, panel.bucket_index(df, "UTC"))._jdf.queryExecution().toString()
+    plan = gaps.impute_temporal(df, index(df))._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
 def test_health_report(spark):
     rows = _grid([(1, 480, 3.0)])[0]
     df = cells(spark, rows)
-    got = quality.health_report(df, panel.bucket_index(df, "UTC"), "1h").first()
+    got = quality.health_report(df, index(df), "1h").first()
     assert (got["rows"], got.sensors, got.nulls) == (39, 2, 38)
     assert got.expected_rows_span == 61 and got.expected_rows_active == 39 and got.gap
 

@@ -7,7 +7,8 @@ import pytest
 from sensorgrid.operators import gaps, impute, panel, quality
 from sensorgrid.plans.clean import CleanOptions, clean_panel, panel_graph
 from sensorgrid.sources import empty_readings, flatten_history
-from tests.helpers import as_dict, at, cells, edges, nodes, temporal_model
+from sensorgrid.staging import stage
+from tests.helpers import as_dict, at, cells, edges, index, nodes, temporal_model
 
 HOURS = [d * 1440 + h * 60 for d in range(16) for h in range(6)]
 
@@ -27,7 +28,7 @@ LINKS = [(1, 2, 2.0), (1, 3, 0.0), (2, 3, 1.0), (4, 7, 0.5), (5, 42, 1.0), (1, 1
 
 def _edges(spark):
     both = [(a, b, 1.0, d) for a, b, d in LINKS] + [(b, a, 1.0, d) for a, b, d in LINKS if a != b]
-    return edges(spark, both)
+    return stage(edges(spark, both).coalesce(1), "edges")
 
 
 def _spatial_model(values, mode):
@@ -83,18 +84,18 @@ def _same(got, want):
 def test_layers_match_model(spark, seed, mode):
     rows = _rows(seed)
     df = cells(spark, rows)
-    buckets = panel.bucket_index(df, "UTC")
-    first = gaps.impute_temporal(df, buckets, 3)
+    buckets = index(df)
+    first = stage(gaps.impute_temporal(df, buckets, 3), "first")
     want = temporal_model(rows, 3)
     key = ["sensor_id", "bucket"]
     _same(as_dict(first, key), want)
-    second = impute.impute_spatial(first, _edges(spark), mode)
+    second = stage(impute.impute_spatial(first, _edges(spark), mode), "second")
     want = _spatial_model(want, mode)
     _same(as_dict(second, key), want)
-    third = impute.impute_historical(second)
+    third = stage(impute.impute_historical(second), "third")
     want = _weekly_model(want)
     _same(as_dict(third, key), want)
-    fourth = impute.impute_global(third, 0.2)
+    fourth = stage(impute.impute_global(third, 0.2), "fourth")
     want = _global_model(want, 0.2)
     _same(as_dict(fourth, key), want)
     bad = {s for (s, _), v in want.items() if v is None}
@@ -106,9 +107,9 @@ def test_layers_match_model(spark, seed, mode):
 
 def test_spatial_without_distances(spark):
     df = cells(spark, [(1, 0, 1.0), (2, 0, 3.0), (3, 5, 4.0), (1, 5, 2.0)])
-    buckets = panel.bucket_index(df, "UTC")
+    buckets = index(df)
     graph = edges(spark, [(3, 1, 1, None), (3, 2, 1, None), (2, 1, 1, None)])
-    dense = gaps.impute_temporal(df, buckets, limit_rows=0)
+    dense = stage(gaps.impute_temporal(df, buckets, limit_rows=0), "dense")
     got = as_dict(impute.impute_spatial(dense, graph, "all", use_distance=False), ["sensor_id", "bucket"])
     assert got[3, at(0)] == 2.0 and got[2, at(5)] == 2.0
 
@@ -116,8 +117,8 @@ def test_spatial_without_distances(spark):
 def test_observed_cells_never_change_and_lineage_covers_all(spark):
     rows = _rows(3)
     df = cells(spark, rows)
-    buckets = panel.bucket_index(df, "UTC")
-    layers = impute.impute_layers(df, buckets, _edges(spark), limit_rows=3)
+    buckets = index(df)
+    layers = stage(impute.impute_layers(df, buckets, _edges(spark), limit_rows=3), "layers")
     observed = as_dict(layers.where("filled_by = 'observed'"), ["sensor_id", "bucket"])
     assert observed == {(s, at(m)): v for s, m, v in rows}
     assert layers.count() == 9 * len(HOURS)
@@ -131,7 +132,7 @@ def test_global_threshold_is_strict(spark):
     def filled(holes):
         rows = [(0, m, 1.0) for m in range(20)] + [(1, m, 2.0) for m in range(holes, 20)]
         df = cells(spark, rows)
-        dense = gaps.impute_temporal(df, panel.bucket_index(df, "UTC"), limit_rows=0)
+        dense = gaps.impute_temporal(df, index(df), limit_rows=0)
         return impute.impute_global(dense, 0.05 * 2).where("filled_by = 'global'").count()
 
     assert filled(1) == 1  # 5 % is below 10 %
@@ -140,7 +141,7 @@ def test_global_threshold_is_strict(spark):
 
 def test_unknown_options(spark):
     df = cells(spark, [(1, 0, 1.0)])
-    dense = gaps.impute_temporal(df, panel.bucket_index(df, "UTC"))
+    dense = gaps.impute_temporal(df, index(df))
     with pytest.raises(ValueError):
         impute.impute_spatial(dense, _edges(spark), "some")
 
@@ -160,7 +161,9 @@ def test_end_to_end_document(spark):
     history = flatten_history(spark.createDataFrame([(json.dumps(doc),)], "value STRING"))
     graph = edges(spark, [(1, 2, 1, 0.5), (2, 1, 1, 0.5), (1, 1, 1, 0), (2, 2, 1, 0)])
     options = CleanOptions(tz="+07:00", start="07:30", end="07:45")
-    got = clean_panel(history, empty_readings(spark), graph, at(0) + timedelta(days=1), options)
+    got = stage(
+        clean_panel(history, empty_readings(spark), graph, at(0) + timedelta(days=1), options), "clean"
+    )
     rows = as_dict(got, ["sensor_id", "bucket"])
     assert rows == {
         (1, at(30)): 10.0, (1, at(35)): 15.0, (1, at(40)): 20.0,
