@@ -69,7 +69,7 @@ def archive(spark, sf_dir):
         message_stream(spark, sf_dir), f"{path}/data", f"{path}/checkpoint", t.TZ, "event", ONCE
     )
     run.awaitTermination()
-    found = F.regexp_extract(F.col("_metadata.file_path"), "dump_date=([0-9-]+)", 1)
+    found = F.regexp_extract("file_path", "dump_date=([0-9-]+)", 1)
     rows = sources.read_archive(spark, f"{path}/data", "*.txt")
     return rows.select(
         F.to_date(found).alias("dump_date"), "kafka_partition", "kafka_offset", "sensor_id", "count", "ts"

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sensorgrid import schemas
 from sensorgrid.functions import epoch_ms_to_ts, normalize_sensor_id
+from sensorgrid.functions.once import fields_once
 
 PATTERN = "*.json"
 
@@ -17,14 +18,18 @@ def _options(reader, pattern: str):
 
 
 def read_archive(spark: SparkSession, prefix: str, pattern: str = PATTERN) -> DataFrame:
-    """Raw archived messages.  Lines that are not JSON objects keep their text in
-    ``_corrupt`` and stop nothing; empty files give no rows."""
-    return _options(
-        spark.read.schema(schemas.ARCHIVED_MESSAGE)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", schemas.CORRUPT),
-        pattern,
-    ).json(prefix)
+    """Raw archived messages with their ``file_path``.  Lines that are not JSON objects keep
+    their text in ``_corrupt`` and stop nothing; empty files and blank lines give no rows."""
+    lines = _options(spark.read, pattern).text(prefix)
+    parsed = F.from_json(
+        F.col("value"),
+        schemas.ARCHIVED_MESSAGE,
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT},
+    )
+    rows = lines.where(F.trim("value") != "").select(
+        F.col("_metadata.file_path").alias("file_path"), "value"
+    )
+    return fields_once(rows, ["file_path"], parsed)
 
 
 def as_readings(messages: DataFrame, source: str = "archive") -> DataFrame:
@@ -66,8 +71,8 @@ def select_by_date(files: DataFrame, target: date | None = None, name: str = "fi
 
 
 def validate_files(spark: SparkSession, prefix: str, pattern: str = PATTERN) -> DataFrame:
-    """``path, size, valid``: a file is valid if it is not empty and its first line is blank
-    or JSON.
+    """``path, file_name, size, valid``: a file is valid if it is not empty and its first line
+    is blank or JSON.  Spark lists no empty files, so those are absent and never valid.
 
     Only the first block of each file is looked at, and each task keeps one line per file.
     """

@@ -76,5 +76,5 @@ def sensor_metadata(docs: DataFrame, value: str = "value") -> DataFrame:
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
-    docs = spark.read.option("wholetext", True).text(path)
+    docs = spark.read.text(path, wholetext=True)
     return sensor_metadata(docs)

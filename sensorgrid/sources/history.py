@@ -20,10 +20,9 @@ from sensorgrid.functions import (
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row ``value`` per JSON file below ``path``."""
     return (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", "*.json")
+        spark.read.option("pathGlobFilter", "*.json")
         .option("recursiveFileLookup", True)
-        .text(path)
+        .text(path, wholetext=True)
     )
 
 
