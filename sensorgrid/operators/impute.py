@@ -27,18 +27,23 @@ def _fill(holes: DataFrame, value: Column, label: str) -> DataFrame:
     )
 
 
-def usable_neighbors(edges: DataFrame, sensors: DataFrame, use_distance: bool = True) -> DataFrame:
-    """``sensor_id, neighbor, w``: neighbours that are sensors of the panel, with the inverse
-    distance (or 1) as weight."""
-    ids = sensors.select("sensor_id").distinct()
+def usable_neighbors(
+    edges: DataFrame, sensors: DataFrame | None = None, use_distance: bool = True
+) -> DataFrame:
+    """``sensor_id, neighbor, w``: neighbours with the inverse distance (or 1) as weight.
+
+    ``sensors`` restricts the neighbours to sensors of the panel.  That only matters where a
+    neighbour without values counts; the joins of the imputer drop other sensors anyway.
+    """
+    links = neighbors(edges)
+    if sensors is not None:
+        ids = sensors.select(F.col("sensor_id").alias("dst")).distinct()
+        links = links.join(ids, "dst", "left_semi")
     weight = F.lit(1.0)
     if use_distance:
         weight = F.lit(1.0) / F.greatest(F.col("distance"), F.lit(MIN_DISTANCE))
-    return (
-        neighbors(edges)
-        .join(ids.withColumnRenamed("sensor_id", "src"), "src", "left_semi")
-        .join(ids.withColumnRenamed("sensor_id", "dst"), "dst", "left_semi")
-        .select(F.col("src").alias("sensor_id"), F.col("dst").alias("neighbor"), weight.alias("w"))
+    return links.select(
+        F.col("src").alias("sensor_id"), F.col("dst").alias("neighbor"), weight.alias("w")
     )
 
 
@@ -78,8 +83,10 @@ def impute_spatial(
     """
     if null_weighting not in ("available", "all"):
         raise ValueError(f"unknown null weighting: {null_weighting}")
-    links = usable_neighbors(edges, panel if sensors is None else sensors, use_distance)
-    if null_weighting == "all" and use_distance:
+    whole = null_weighting == "all" and use_distance
+    members = (panel if sensors is None else sensors) if whole else None
+    links = usable_neighbors(edges, members, use_distance)
+    if whole:
         value = F.coalesce(F.col("num"), F.lit(0.0)) / F.col("total")
     else:
         value = F.col("num") / F.col("den")
