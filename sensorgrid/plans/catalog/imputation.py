@@ -11,7 +11,8 @@ from sensorgrid.operators import quality as q
 from sensorgrid.plans.catalog import tables as t
 from sensorgrid.plans.catalog.registry import query
 from sensorgrid.plans.clean import CleanOptions, clean_panel, observed_cells
-from sensorgrid.staging import stage
+from sensorgrid.sinks import landing_manifest, write_panel
+from sensorgrid.staging import new_path, stage
 
 _FILLED = "SELECT sensor_id, bucket, weekday, tod, round(filled, 6) AS value, filled_by FROM "
 
@@ -191,9 +192,6 @@ def clean(spark, sf_dir):
     ("cells",),
 )
 def sink_panel(spark, sf_dir):
-    from sensorgrid.sinks import write_panel
-    from sensorgrid.staging import new_path
-
     path = new_path(spark, "panel")
     write_panel(t.cells(spark, sf_dir), path, t.TZ)
     return (
@@ -201,3 +199,19 @@ def sink_panel(spark, sf_dir):
         .groupBy("local_date")
         .agg(F.count(F.lit(1)).alias("cells"), F.sum("value").alias("total"))
     )
+
+
+@query(
+    "landing_manifest",
+    """SELECT DISTINCT 'raw/local_date=' || strftime(bucket + INTERVAL 7 HOUR, '%Y-%m-%d') AS folder,
+        'application/octet-stream' AS content_type, true AS filled FROM cells""",
+    ("cells",),
+)
+def manifest(spark, sf_dir):
+    """The folders of a written panel; file names are chosen by Spark and left out."""
+    path = new_path(spark, "panel")
+    write_panel(t.cells(spark, sf_dir), path, t.TZ)
+    files = landing_manifest(spark, path, "raw")
+    return files.groupBy(
+        F.regexp_extract("key", "^(.*)/[^/]+$", 1).alias("folder"), "content_type"
+    ).agg(F.bool_and(F.col("size") > 0).alias("filled"))

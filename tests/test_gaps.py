@@ -10,7 +10,7 @@ STEP = 60
 
 
 def _grid(rows):
-    """Adds a reference sensor that is present in every hour of three days, 8 to 20 h."""
+    """Adds a sensor that is present in every hour of three days, 8 to 20 h."""
     hours = [d * 1440 + h * STEP for d in range(3) for h in range(8, 21)]
     return rows + [(99, m, 1.0) for m in hours], hours
 
