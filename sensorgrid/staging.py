@@ -40,4 +40,16 @@ def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> D
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def release(*staged: DataFrame) -> None:
+    """Delete staged tables that no later step reads; other frames are left alone."""
+    for df in staged:
+        path = getattr(df, "_staged_at", None)
+        if path:
+            jvm = df.sparkSession._jvm
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
