@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sensorgrid.llm.common import table
+from sensorgrid.llm.linededup import drop_repeated_lines
 from sensorgrid.llm.neardup import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +27,30 @@ def query(name: str, sql: str | None = None):
 @query("op2_near_duplicates")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
+_ROWS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_STRIP = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+@query(
+    "op7_line_dedup",
+    f"""
+    WITH l AS (
+        SELECT doc_id, i, t[i] AS line, translate(trim(t[i], {_STRIP}), '{_ROWS[0]}', '{_ROWS[1]}') AS key
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS t FROM documents) d,
+             unnest(range(1, len(t) + 1)) AS u(i)
+    ), k AS (
+        SELECT key, min(doc_id) AS first FROM l WHERE length(key) >= 10
+        GROUP BY key HAVING count(DISTINCT doc_id) > 1
+    ), m AS (
+        SELECT l.*, (k.key IS NOT NULL AND l.doc_id <> k.first) AS gone FROM l LEFT JOIN k ON l.key = k.key
+    )
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+    FROM m GROUP BY doc_id
+    """,
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
