@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sensorgrid.llm.common import table
 from sensorgrid.llm.linededup import drop_repeated_lines
 from sensorgrid.llm.neardup import near_duplicates
+from sensorgrid.llm.quality import fit, held_out, score
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +55,12 @@ _STRIP = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = drop_repeated_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op4_quality")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score(docs, fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )

@@ -74,6 +74,22 @@ def chunks(offsets: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int
         row = end
 
 
+def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of bytes inside words, cut at row ends: marks of first bytes, starts, ends, and the
+    first run of each row."""
+    n = len(inside)
+    before = np.zeros(n, bool)
+    before[1:] = inside[:-1]
+    edges = offsets[(offsets > 0) & (offsets < n)]
+    before[edges] = False
+    opens = inside & ~before
+    after = np.zeros(n, bool)
+    after[:-1] = inside[1:]
+    after[edges - 1] = False
+    starts = np.flatnonzero(opens)
+    return opens, starts, np.flatnonzero(inside & ~after) + 1, np.searchsorted(starts, offsets)
+
+
 class Words:
     """The words of some rows: ``starts`` and ``ends`` in bytes, ``hashes``, ``first`` by row.
 
@@ -83,19 +99,9 @@ class Words:
     def __init__(self, data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACES):
         global _PLACES
         low = LOWER[data]
-        n = len(low)
         inside = ~between[low]
-        before = np.zeros(n, bool)
-        before[1:] = inside[:-1]
-        edges = offsets[(offsets > 0) & (offsets < n)]
-        before[edges] = False
-        opens = inside & ~before
-        after = np.zeros(n, bool)
-        after[:-1] = inside[1:]
-        after[edges - 1] = False
-        self.starts = np.flatnonzero(opens)
-        self.ends = np.flatnonzero(inside & ~after) + 1
-        self.first = np.searchsorted(self.starts, offsets)
+        opens, self.starts, self.ends, self.first = spans(inside, offsets)
+        n = len(low)
         if not len(self.starts):
             self.hashes = np.zeros(0, U64)
             return
