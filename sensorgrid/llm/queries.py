@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sensorgrid.llm.common import table
+from sensorgrid.llm.decontaminate import contaminated
 from sensorgrid.llm.linededup import drop_repeated_lines
 from sensorgrid.llm.neardup import near_duplicates
 from sensorgrid.llm.quality import fit, held_out, score
@@ -64,3 +65,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+@query("op9_decontamination")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
