@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sensorgrid.llm.common import table
 from sensorgrid.llm.decontaminate import contaminated
 from sensorgrid.llm.linededup import drop_repeated_lines
 from sensorgrid.llm.neardup import near_duplicates
+from sensorgrid.llm.packing import pack
 from sensorgrid.llm.quality import fit, held_out, score
 
+#: Folder of the tokenizer files.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -70,3 +75,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_decontamination")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op6_packing")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), TOKENIZER)
