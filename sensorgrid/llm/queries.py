@@ -13,8 +13,10 @@ from sensorgrid.llm.decontaminate import contaminated
 from sensorgrid.llm.licenses import scan_licenses
 from sensorgrid.llm.linededup import drop_repeated_lines
 from sensorgrid.llm.neardup import near_duplicates
+from sensorgrid.llm.neighbours import nearest
 from sensorgrid.llm.packing import pack
 from sensorgrid.llm.quality import fit, held_out, score
+from sensorgrid.llm.warc import round_trip
 
 #: Folder of the tokenizer files.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -117,3 +119,30 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_licenses")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+#: Five hex digits are four base32 digits.
+_FIVE = " + ".join(f"((instr('0123456789abcdef', substr(s, 5 * (i // 4) + {j + 1}, 1)) - 1) << {16 - 4 * j})" for j in range(5))
+
+
+@query(
+    "op3_warc",
+    f"""
+    WITH h AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS s FROM pages),
+    f AS (SELECT s, min(page_id) AS first FROM h GROUP BY s)
+    SELECT page_id, strlen(html) AS payload_bytes,
+           array_to_string(list_transform(range(32), lambda i:
+               substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((({_FIVE}) >> (15 - 5 * (i % 4))) & 31), 1)), '') AS payload_digest,
+           CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> first THEN first END AS refers_to
+    FROM h JOIN f USING (s)
+    """,
+)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op5_neighbours")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 50 = 0"))
