@@ -1,16 +1,69 @@
 """From documents to packed training sequences: five stages, each on all its predecessor kept.
 
-The classifier of the first stage is trained, which SQL cannot express; ``ORACLE_SQL`` is
-therefore None and the stages are tested against brute-force versions.
+1. quality classifier - documents scored below 0.5 go; null and empty texts are scored too;
+2. line dedup - lines that other documents hold too stay in the smallest doc_id only;
+3. near duplicates - of documents of five-word shingles with a similarity of 0.8 or more, the one
+   with the smallest doc_id of each group stays;
+4. benchmark decontamination - documents that hold a test item go;
+5. best-fit packing - the remaining documents as packed token sequences, a row per piece.
+
+Rows without a doc_id are kept by stages 2 to 4, as no other row can be told from them.  Other
+columns are carried along; ``n_chars``, if there, follows the text.  Empty tables pass through.
+
+The first stage is a trained model and the third a search, which SQL cannot express, so
+``ORACLE_SQL`` is None; the stages are tested against brute-force versions.
 """
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from sensorgrid.llm.common import table
+from sensorgrid.llm.decontaminate import drop_contaminated
+from sensorgrid.llm.linededup import drop_repeated_lines
+from sensorgrid.llm.neardup import drop_near_duplicates
+from sensorgrid.llm.packing import pack
+from sensorgrid.llm.quality import fit, score
+from sensorgrid.llm.queries import TOKENIZER
+from sensorgrid.staging import stage
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = fit(docs, table(spark, sf_dir, "labels"))
+    return score(docs, model).where("score >= 0.5").drop("score")
+
+
+def keep_first_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    out = drop_repeated_lines(docs).drop("n_lines", "n_dropped")
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
+
+
+def keep_one_of_a_kind(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_near_duplicates(docs, k=5, percent=80)
+
+
+def keep_unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack(docs, TOKENIZER)
+
+
+STAGES = [
+    ("quality classifier", keep_good),
+    ("line dedup", keep_first_lines),
+    ("near duplicates", keep_one_of_a_kind),
+    ("benchmark decontamination", keep_unseen),
+    ("best-fit packing", packed),
+]
 
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir: str):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages applied to ``documents``; each result is written as Parquet and read again."""
-    raise NotImplementedError
+    rows = table(spark, sf_dir, "documents")
+    for name, apply in STAGES:
+        rows = stage(apply(spark, rows, sf_dir), "corpus-" + name.replace(" ", "-"))
+    return rows

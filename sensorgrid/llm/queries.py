@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sensorgrid.llm.chat import chat_digest, chat_examples
 from sensorgrid.llm.common import table
 from sensorgrid.llm.decontaminate import contaminated
+from sensorgrid.llm.html import extract_text
 from sensorgrid.llm.licenses import scan_licenses
 from sensorgrid.llm.linededup import drop_repeated_lines
 from sensorgrid.llm.neardup import near_duplicates
@@ -146,3 +147,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+@query("op1_html")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
