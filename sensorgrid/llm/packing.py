@@ -82,7 +82,6 @@ class WordIds:
         kinds = [[part["type"] for part in (made.get(a) or {}).get(b, [])] for a, b in lists]
         self.by_word = kinds == [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]]
         self.codes = _byte_letters()
-        self.forgotten = False
         self._forget()
 
     def _forget(self) -> None:
@@ -118,9 +117,6 @@ class WordIds:
         return out
 
     def _learn(self, words: list[bytes]) -> None:
-        self.forgotten = len(self.place) > 0 and (len(self.place) + len(words) > KNOWN_WORDS or self.bytes > KNOWN_BYTES)
-        if self.forgotten:
-            self._forget()
         base = len(self.place)
         if base + len(words) > len(self.starts):
             self.starts, self.sizes = (np.concatenate([x[:base], np.zeros(len(words), np.int64)]) for x in (self.starts, self.sizes))
@@ -152,10 +148,11 @@ class WordIds:
         at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
         missing = np.flatnonzero(at < 0)
         if len(missing):
-            self._learn(list(dict.fromkeys(words[i] for i in missing)))
-            if self.forgotten:
-                self._learn([w for w in dict.fromkeys(words) if w not in self.place])
-                missing = np.arange(len(words))
+            new = list(dict.fromkeys(words[i] for i in missing))
+            if len(self.place) + len(new) > KNOWN_WORDS or self.bytes > KNOWN_BYTES:
+                self._forget()
+                missing, new = np.arange(len(words)), list(dict.fromkeys(words))
+            self._learn(new)
             at[missing] = np.fromiter((self.place[words[i]] for i in missing), np.int64, len(missing))
         sizes = self.sizes[at]
         ends = np.cumsum(sizes)

@@ -80,7 +80,8 @@ def _ratios(data: np.ndarray, found: Words, of: np.ndarray, size: np.ndarray, to
     plain = ((low >= 97) & (low <= 122)) | ((data >= 48) & (data <= 57)) | (data >= 128) | SPACES[data]
     odd = np.bincount(of[~plain], minlength=total) / size
     owner = of[starts]
-    words = np.maximum(np.bincount(owner, minlength=total), 1)
+    count = np.bincount(owner, minlength=total)
+    words = np.maximum(count, 1)
     length = np.bincount(owner, weights=ends - starts, minlength=total) / words
     again = np.zeros(len(owner), bool)
     again[1:] = (found.hashes[1:] == found.hashes[:-1]) & (owner[1:] == owner[:-1])
@@ -89,7 +90,7 @@ def _ratios(data: np.ndarray, found: Words, of: np.ndarray, size: np.ndarray, to
     fresh = np.ones(len(owner), bool)
     fresh[1:] = (found.hashes[order[1:]] != found.hashes[order[:-1]]) | (owner[order[1:]] != owner[order[:-1]])
     different = np.bincount(owner[order[fresh]], minlength=total) / words
-    return np.column_stack([capital, odd, np.log1p(length), words / size, 3 * repeats, 3 * different])
+    return np.column_stack([capital, odd, np.log1p(length), count / size, 3 * repeats, 3 * different])
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
