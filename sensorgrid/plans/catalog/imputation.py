@@ -141,7 +141,7 @@ def impute_global(spark, sf_dir):
 
 @query(
     "drop_unresolved",
-    _FILLED + "rescued WHERE sensor_id NOT IN (SELECT sensor_id FROM rescued WHERE filled IS NULL)",
+    _FILLED + "rescued JOIN (SELECT sensor_id FROM rescued GROUP BY 1 HAVING count(*) = count(filled)) USING (sensor_id)",
     ("rescued",),
 )
 def drop_unresolved(spark, sf_dir):

@@ -283,9 +283,9 @@ def discover_nodes(spark, sf_dir):
     "align_to_nodes",
     """SELECT w.window_start, l.pos, coalesce(s.flow, 0) AS flow,
         (SELECT count(*) FROM snaps u WHERE u.window_start = w.window_start
-            AND u.node_id NOT IN (SELECT node_id FROM linked)) AS unknown,
-        (SELECT count(*) FROM linked m WHERE m.node_id NOT IN (SELECT u.node_id FROM snaps u
-            WHERE u.window_start = w.window_start)) AS missing
+            AND NOT EXISTS (SELECT 1 FROM linked m WHERE m.node_id = u.node_id)) AS unknown,
+        (SELECT count(*) FROM linked m WHERE NOT EXISTS (SELECT 1 FROM snaps u
+            WHERE u.window_start = w.window_start AND u.node_id = m.node_id)) AS missing
         FROM (SELECT DISTINCT window_start FROM snaps) w CROSS JOIN linked l
         LEFT JOIN snaps s ON s.window_start = w.window_start AND s.node_id = l.node_id""",
     ("snaps", "linked"),
@@ -300,7 +300,7 @@ def align_to_nodes(spark, sf_dir):
 @query(
     "unknown_sensors",
     """SELECT window_start, count(*) AS unknown FROM snaps
-        WHERE node_id NOT IN (SELECT node_id FROM linked) GROUP BY 1""",
+        WHERE NOT EXISTS (SELECT 1 FROM linked m WHERE m.node_id = snaps.node_id) GROUP BY 1""",
     ("snaps", "linked"),
 )
 def unknown_sensors(spark, sf_dir):

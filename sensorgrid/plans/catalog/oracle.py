@@ -22,7 +22,8 @@ def with_tables(needs: tuple[str, ...], select: str) -> str:
 
     for name in needs:
         visit(name)
-    parts = ",\n".join(f"{n} AS ({TABLES[n][1].strip()})" for n in ordered)
+    # Each derived table is computed once, whatever else the optimizer would do with its joins.
+    parts = ",\n".join(f"{n} AS MATERIALIZED ({TABLES[n][1].strip()})" for n in ordered)
     return decimal_round(f"WITH {parts}\n{select.strip()}" if parts else select.strip())
 
 
@@ -114,15 +115,16 @@ def imputer_tables(cells: str, tag: str, weighting: str = "all", limit: int = 12
             FROM linear{tag}""",
         (f"linear{tag}",),
     )
+    table(f"holes{tag}", f"SELECT sensor_id, bucket FROM temporal{tag} WHERE filled IS NULL", (f"temporal{tag}",))
+    table(f"known{tag}", f"SELECT sensor_id, bucket, filled FROM temporal{tag} WHERE filled IS NOT NULL", (f"temporal{tag}",))
     table(
         f"neighborhood{tag}",
-        f"""SELECT t.sensor_id, t.bucket, sum(n.filled * l.w) AS num, sum(l.w) AS total,
+        f"""SELECT h.sensor_id, h.bucket, sum(n.filled * l.w) AS num, sum(l.w) AS total,
             sum(l.w) FILTER (WHERE n.filled IS NOT NULL) AS den,
             count(n.filled) AS available
-            FROM temporal{tag} t JOIN links{tag} l ON l.sensor_id = t.sensor_id
-            JOIN temporal{tag} n ON n.sensor_id = l.neighbor AND n.bucket = t.bucket
-            WHERE t.filled IS NULL GROUP BY 1, 2""",
-        (f"temporal{tag}", f"links{tag}"),
+            FROM holes{tag} h JOIN links{tag} l ON l.sensor_id = h.sensor_id
+            LEFT JOIN known{tag} n ON n.sensor_id = l.neighbor AND n.bucket = h.bucket GROUP BY 1, 2""",
+        (f"holes{tag}", f"known{tag}", f"links{tag}"),
     )
     table(
         f"links{tag}",
@@ -169,8 +171,8 @@ def imputer_tables(cells: str, tag: str, weighting: str = "all", limit: int = 12
         )
     table(
         f"clean{tag}",
-        f"""SELECT sensor_id, bucket, weekday, tod, filled, filled_by FROM global{tag}
-            WHERE sensor_id NOT IN (SELECT sensor_id FROM global{tag} WHERE filled IS NULL)""",
+        f"""SELECT g.sensor_id, g.bucket, g.weekday, g.tod, g.filled, g.filled_by FROM global{tag} g
+            JOIN (SELECT sensor_id FROM global{tag} GROUP BY 1 HAVING count(*) = count(filled)) USING (sensor_id)""",
         (f"global{tag}",),
     )
 
