@@ -30,35 +30,20 @@ def union_readings(*parts: DataFrame) -> DataFrame:
 
 def dedup_last(readings: DataFrame, sources: tuple[str, ...] = ("history", "archive")) -> DataFrame:
     """One reading per ``(ts, sensor_id)``: the one of the last source in ``sources``, and
-    within a source the one of the highest ``seq``.  Other sources rank below all of them.
+    within a source the one of the highest ``seq``, then of the highest ``tie`` (if there is such
+    a column), then of the highest count.  Other sources rank below all of them.
 
-    An aggregate with fixed-size buffers, so duplicates are reduced before the shuffle and a
-    key with very many copies is no problem.
+    The order is total, so the result does not depend on the order of rows.  An aggregate with
+    small buffers, so duplicates are reduced before the shuffle and a key with very many copies
+    is no problem.
     """
-    known = F.col("source").isin(*sources)
-    ranks: list[tuple[str, Column]] = [("_0", ~known | F.col("source").isNull())]
-    ranks += [(f"_{i}", F.col("source") == s) for i, s in enumerate(sources, start=1)]
-    aggs = []
-    for name, hit in ranks:
-        seq = F.when(hit, F.col("seq"))
-        aggs += [F.max(seq).alias(f"seq{name}"), F.max_by("count", seq).alias(f"count{name}")]
-    grouped = readings.groupBy("ts", "sensor_id").agg(*aggs)
-    labels = {"_0": F.lit("other")} | {f"_{i}": F.lit(s) for i, s in enumerate(sources, start=1)}
-    best = F.coalesce(
-        *[
-            F.when(
-                F.col(f"seq{name}").isNotNull(),
-                F.struct(
-                    F.col(f"count{name}").alias("count"),
-                    labels[name].alias("source"),
-                    F.col(f"seq{name}").alias("seq"),
-                ),
-            )
-            for name, _ in reversed(ranks)
-        ]
-    )
-    return grouped.select("ts", "sensor_id", best.alias("best")).select(
-        "ts", "sensor_id", "best.*"
+    place = F.coalesce(*[F.when(F.col("source") == s, i) for i, s in enumerate(sources, start=1)], F.lit(0))
+    tie = [F.col("tie")] if "tie" in readings.columns else []
+    rank = F.struct(place.alias("place"), "seq", *tie, F.col("count").alias("amount"))
+    best = F.max_by(F.struct("count", "source", "seq"), rank).alias("best")
+    label = F.when(F.col("best.source").isin(*sources), F.col("best.source")).otherwise("other")
+    return readings.where("seq is not null").groupBy("ts", "sensor_id").agg(best).select(
+        "ts", "sensor_id", "best.count", label.alias("source"), "best.seq"
     )
 
 

@@ -88,14 +88,46 @@ def encode_messages(spark, sf_dir):
 @query(
     "scan_jsonl_archive",
     """SELECT make_timestamp(ms * 1000) AS ts, CASE WHEN k <> 7 THEN user_id END AS sensor_id,
-        num AS count, off AS seq, 'archive' AS source FROM msgs WHERE k > 2""",
+        num AS count, off AS seq, 'archive' AS source FROM msgs WHERE k > 2 AND k NOT IN (5, 7)""",
     ("msgs",),
 )
 def scan_jsonl_archive(spark, sf_dir):
     path = new_path(spark, "archive")
     lines = archive_lines(t.messages(spark, sf_dir), t.TZ, date_from="event")
     lines.write.partitionBy("dump_date").text(path)
-    return sources.as_readings(sources.read_archive(spark, path, "*.txt"))
+    return sources.as_readings(sources.read_archive(spark, path)).drop("tie")
+
+
+@query(
+    "archive_rejects",
+    """SELECT off AS kafka_offset, CASE WHEN k = 5 THEN 'no time' ELSE 'no sensor' END AS reason
+        FROM msgs WHERE k IN (5, 7)""",
+    ("msgs",),
+)
+def archive_rejects(spark, sf_dir):
+    path = new_path(spark, "archive")
+    archive_lines(t.messages(spark, sf_dir), t.TZ, date_from="event").write.partitionBy("dump_date").text(path)
+    return sources.archive_rejects(sources.read_archive(spark, path)).select("kafka_offset", "reason")
+
+
+@query(
+    "archive_roundtrip",
+    """SELECT make_timestamp(ms * 1000) AS ts, user_id AS sensor_id, num AS count, off AS seq
+        FROM msgs WHERE k > 2 AND k NOT IN (5, 7)""",
+    ("msgs",),
+)
+def archive_roundtrip(spark, sf_dir):
+    """Messages with line breaks inside and behind them, archived, landed twice and read."""
+    text = F.regexp_replace(F.col("value").cast("string"), ',"ts"', ',\n "ts"')
+    rows = t.messages(spark, sf_dir).withColumn("value", F.concat(text, F.lit("\n")).cast("binary"))
+    dumped, landed = new_path(spark, "archive"), new_path(spark, "landed")
+    archive_lines(rows, t.TZ, date_from="event").write.partitionBy("dump_date").text(dumped)
+    files = sources.validate_files(spark, dumped)
+    lines = spark.read.option("recursiveFileLookup", True).text(dumped)
+    path = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/")
+    for _ in range(2):
+        sinks.land_archives(lines.select(path.alias("path"), "value"), files, landed)
+    return sources.as_readings(sources.read_archive(spark, landed)).select("ts", "sensor_id", "count", "seq")
 
 
 @query(
@@ -187,7 +219,7 @@ def archive_validate(spark, sf_dir):
         day.alias("dump_date"),
     )
     rows.write.partitionBy("dump_date").text(path)
-    checked = sources.validate_files(spark, path, "*.txt")
+    checked = sources.validate_files(spark, path)
     found = F.regexp_extract("path", "dump_date=([0-9-]+)", 1)
     return checked.groupBy(F.to_date(found).alias("dump_date")).agg(F.bool_and("valid").alias("valid"))
 

@@ -13,7 +13,7 @@ from sensorgrid.operators import sequence as s
 from sensorgrid.operators.indexing import canonical_nodes
 from sensorgrid.plans.catalog import tables as t
 from sensorgrid.plans.catalog.registry import query
-from sensorgrid.sources import flatten_history, flatten_strict, read_wide_panel
+from sensorgrid.sources import flatten_history, flatten_strict, history_rejects, read_wide_panel
 from sensorgrid.staging import new_path
 
 AS_OF = datetime(2024, 1, 25, tzinfo=timezone.utc)
@@ -79,6 +79,45 @@ def scan_nested_history(spark, sf_dir):
     return flatten_history(nested_documents(spark, sf_dir)).select("ts", "sensor_id", "count")
 
 
+#: Kinds of broken parts, by the event's number.
+_BROKEN = {0: "record is not an object", 1: "count is not a number", 2: "date is not an object", 3: "document is not an object"}
+
+
+@query(
+    "history_rejects",
+    "SELECT outcome, count(*) AS n FROM (SELECT CASE event_id % 5 "
+    + " ".join(f"WHEN {i} THEN '{reason}'" for i, reason in _BROKEN.items())
+    + " END AS outcome FROM events UNION ALL SELECT 'read' FROM events WHERE event_id % 5 <> 3)"
+    " WHERE outcome IS NOT NULL GROUP BY 1",
+)
+def rejects(spark, sf_dir):
+    """A document per event: four of five hold a broken part beside a good record or are cut off."""
+    name = F.concat(F.lit('"s_'), F.unix_millis("ts").cast("string"), F.lit('.txt":'))
+    good = F.concat(F.lit('"2":{'), name, F.lit('{"count":'), F.col("value").cast("string"), F.lit("}}"))
+    kind = F.col("event_id") % 5
+    first = F.when(kind == 0, '"1":{"x":5},').when(kind == 1, '"1":{"x":{"count":"many"}},').otherwise("")
+    last = F.when(kind == 2, '},"extra":3}').when(kind == 3, "}").otherwise("}}")
+    docs = t.events(spark, sf_dir).select(F.concat(F.lit('{"2024-01-01":{'), first, good, last).alias("value"))
+    outcomes = history_rejects(docs).select(F.col("reason").alias("outcome")).unionAll(
+        flatten_history(docs).select(F.lit("read").alias("outcome"))
+    )
+    return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "dedup_ties",
+    """SELECT ts, sensor_id, count, source, seq FROM (SELECT *, row_number() OVER (PARTITION BY ts, sensor_id
+        ORDER BY CASE source WHEN 'archive' THEN 1 ELSE 0 END DESC, seq DESC, tie DESC, count DESC) AS rn
+        FROM (SELECT ts, sensor_id, count, source, seq // 100000 AS seq, CAST(seq % 7 AS VARCHAR) AS tie FROM readings)) WHERE rn = 1""",
+    ("readings",),
+)
+def dedup_ties(spark, sf_dir):
+    """Most readings of a key share their ``seq``, some also their ``tie``; rows come shuffled."""
+    rows = t.readings(spark, sf_dir).withColumn("tie", (F.col("seq") % 7).cast("string"))
+    rows = rows.withColumn("seq", F.floor(F.col("seq") / 100000)).repartition(5, F.xxhash64("seq", "count"))
+    return p.dedup_last(rows)
+
+
 @query(
     "scan_nested_strict",
     f"""SELECT strftime(ts + INTERVAL 7 HOUR, '%Y-%m-%d') AS date,

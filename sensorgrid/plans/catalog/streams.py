@@ -70,7 +70,7 @@ def archive(spark, sf_dir):
     )
     run.awaitTermination()
     found = F.regexp_extract("file_path", "dump_date=([0-9-]+)", 1)
-    rows = sources.read_archive(spark, f"{path}/data", "*.txt")
+    rows = sources.read_archive(spark, f"{path}/data")
     return rows.select(
         F.to_date(found).alias("dump_date"), "kafka_partition", "kafka_offset", "sensor_id", "count", "ts"
     )

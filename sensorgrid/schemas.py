@@ -8,19 +8,10 @@ READINGS = T.StructType([
     T.StructField("count", T.DoubleType()),
     T.StructField("source", T.StringType()),
     T.StructField("seq", T.LongType()),
+    # Orders readings of equal seq.
+    T.StructField("tie", T.StringType()),
 ])
 
-HISTORY_RECORD = T.StructType([
-    T.StructField("count", T.DoubleType()),
-    T.StructField("timestamp", T.ArrayType(T.IntegerType())),
-])
-
-# date -> sensor id -> file name -> record
-HISTORY_DOC = T.MapType(
-    T.StringType(),
-    T.MapType(T.StringType(), T.MapType(T.StringType(), HISTORY_RECORD)),
-)
-
 # sensor_id and count are read as text: producers send both numbers and strings.
 MESSAGE = T.StructType([
     T.StructField("sensor_id", T.StringType()),

@@ -1,5 +1,6 @@
 from sensorgrid.sources.archive import (
     archive_files,
+    archive_rejects,
     archive_stats,
     as_readings,
     empty_readings,
@@ -14,7 +15,7 @@ from sensorgrid.sources.graph import (
     read_metadata,
     sensor_metadata,
 )
-from sensorgrid.sources.history import flatten_history, flatten_strict, read_history
+from sensorgrid.sources.history import flatten_history, flatten_strict, history_rejects, read_history
 from sensorgrid.sources.messages import (
     accepted,
     decode,
@@ -29,6 +30,7 @@ from sensorgrid.sources.predictions import latest_prediction
 __all__ = [
     "accepted",
     "archive_files",
+    "archive_rejects",
     "archive_stats",
     "as_readings",
     "canonical_nodes_from_config",
@@ -38,6 +40,7 @@ __all__ = [
     "enrich",
     "flatten_history",
     "flatten_strict",
+    "history_rejects",
     "kafka_stream",
     "latest_prediction",
     "read_archive",

@@ -9,18 +9,25 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from sensorgrid import schemas
 from sensorgrid.functions import epoch_ms_to_ts, normalize_sensor_id
 from sensorgrid.functions.once import fields_once
+from sensorgrid.sources.dated import between_dates
 
-PATTERN = "*.json"
+#: Names of archive files: those of daily dumps, and those that Spark's text sink writes.
+PATTERN = "*.{json,txt}"
 
 
 def _options(reader, pattern: str):
     return reader.option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
 
 
-def read_archive(spark: SparkSession, prefix: str, pattern: str = PATTERN) -> DataFrame:
+def read_archive(
+    spark: SparkSession, prefix: str, pattern: str = PATTERN, since: date | None = None, until: date | None = None
+) -> DataFrame:
     """Raw archived messages with their ``file_path``.  Lines that are not JSON objects keep
-    their text in ``_corrupt`` and stop nothing; empty files and blank lines give no rows."""
-    lines = _options(spark.read, pattern).text(prefix)
+    their text in ``_corrupt`` and stop nothing; empty files and blank lines give no rows.
+
+    With ``since`` or ``until``, files whose path names a date outside are not opened.
+    """
+    lines = between_dates(_options(spark.read, pattern).text(prefix), since, until)
     parsed = F.from_json(
         F.col("value"),
         schemas.ARCHIVED_MESSAGE,
@@ -32,14 +39,34 @@ def read_archive(spark: SparkSession, prefix: str, pattern: str = PATTERN) -> Da
     return fields_once(rows, ["file_path"], parsed)
 
 
+def _reject_reason() -> Column:
+    return (
+        F.when(F.col(schemas.CORRUPT).isNotNull(), "not an object")
+        .when(F.coalesce(F.col("ts"), F.lit(0)) == 0, "no time")
+        .when(normalize_sensor_id(F.col("sensor_id")).isNull(), "no sensor")
+    )
+
+
+def archive_rejects(messages: DataFrame) -> DataFrame:
+    """Archived messages that are no readings, with their ``reason``."""
+    return messages.withColumn("reason", _reject_reason()).where("reason is not null")
+
+
 def as_readings(messages: DataFrame, source: str = "archive") -> DataFrame:
-    """Archived messages in the layout of readings.  Corrupt lines are left out."""
-    return messages.where(F.col(schemas.CORRUPT).isNull()).select(
+    """Archived messages in the layout of readings; those of ``archive_rejects`` are left out.
+
+    Later offsets win.  Messages without an offset come before all others; equal offsets, of
+    different partitions or dumps, are told apart by dump date, partition and time.
+    """
+    dumped = F.regexp_extract(F.col("file_path"), r"^.*(\d{4}-\d{2}-\d{2})", 1)
+    place = F.lpad(F.coalesce(F.col("kafka_partition"), F.lit(0)).cast("string"), 9, "0")
+    return messages.where(_reject_reason().isNull()).select(
         epoch_ms_to_ts(F.col("ts")).alias("ts"),
         normalize_sensor_id(F.col("sensor_id")).alias("sensor_id"),
         F.col("count").try_cast("double").alias("count"),
         F.lit(source).alias("source"),
-        F.coalesce(F.col("kafka_offset"), F.col("ts")).alias("seq"),
+        F.coalesce(F.col("kafka_offset"), F.lit(-1)).alias("seq"),
+        F.concat_ws("/", dumped, place, F.lpad(F.col("ts").cast("string"), 16, "0")).alias("tie"),
     )
 
 

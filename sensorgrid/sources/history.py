@@ -6,44 +6,99 @@ keep histories as one file per date (or finer); files are the unit of parallelis
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sensorgrid import schemas
 from sensorgrid.functions import (
     epoch_ms_to_ts,
     filename_epoch_lenient,
     filename_epoch_strict,
     local_wall,
 )
+from sensorgrid.functions.once import with_once
+from sensorgrid.sources.dated import between_dates
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """One row ``value`` per JSON file below ``path``."""
-    return (
+def read_documents(
+    spark: SparkSession, path: str, since: date | None = None, until: date | None = None
+) -> DataFrame:
+    """One row ``value`` per JSON file below ``path``.
+
+    With ``since`` or ``until``, files whose path names a date outside are not opened; files
+    without a date in their path always are.
+    """
+    files = (
         spark.read.option("pathGlobFilter", "*.json")
         .option("recursiveFileLookup", True)
         .text(path, wholetext=True)
     )
+    return between_dates(files, since, until)
 
 
-def read_history(spark: SparkSession, path: str, source: str = "history") -> DataFrame:
-    return flatten_history(read_documents(spark, path), source=source)
+def read_history(
+    spark: SparkSession, path: str, source: str = "history", since: date | None = None, until: date | None = None
+) -> DataFrame:
+    return flatten_history(read_documents(spark, path, since, until), source=source)
 
 
-def _records(docs: DataFrame, value: str) -> DataFrame:
-    parsed = F.from_json(F.col(value), schemas.HISTORY_DOC, {"mode": "PERMISSIVE"})
-    return (
-        docs.select(F.explode(parsed).alias("date", "sensors"))
-        .select("date", F.explode("sensors").alias("sensor", "files"))
-        .select("date", "sensor", F.explode("files").alias("filename", "record"))
+_LEVEL = "map<string,string>"
+
+
+def history_records(docs: DataFrame, value: str = "value") -> DataFrame:
+    """``date, sensor, filename, record, reason``: every record of every document, and every part
+    that is none.
+
+    Each level is parsed on its own, so a part of another shape costs that part and nothing
+    beside it.  ``reason`` is NULL for usable records; a document that does not parse, a cut off
+    one for example, gives one row.  Empty documents and levels hold no records.
+    """
+    rows = with_once(docs.select(F.col(value).alias("_text")), F.from_json("_text", _LEVEL).alias("_dates"))
+    whole = rows.select(
+        F.when(F.col("_dates").isNull(), "document is not an object").alias("_r1"), F.explode_outer("_dates").alias("date", "_t1")
+    ).where("_r1 is not null or date is not null")
+    days = with_once(whole, F.from_json("_t1", _LEVEL).alias("_sensors")).select(
+        "date",
+        F.coalesce("_r1", F.when(F.col("_sensors").isNull(), "date is not an object")).alias("_r2"),
+        F.explode_outer("_sensors").alias("sensor", "_t2"),
+    ).where("_r2 is not null or sensor is not null")
+    sensors = with_once(days, F.from_json("_t2", _LEVEL).alias("_files")).select(
+        "date", "sensor",
+        F.coalesce("_r2", F.when(F.col("_files").isNull(), "sensor is not an object")).alias("_r3"),
+        F.explode_outer("_files").alias("filename", "_t3"),
+    ).where("_r3 is not null or filename is not null")
+    fields = F.from_json("_t3", "struct<count: string, timestamp: array<int>>").alias("_record")
+    parsed = with_once(sensors, fields, F.trim(F.col("_t3")).startswith("{").alias("_object"))
+    count = F.col("_record.count")
+    reason = F.coalesce(
+        "_r3",
+        F.when(~F.coalesce("_object", F.lit(False)) | F.col("_record").isNull(), "record is not an object"),
+        F.when(count.isNotNull() & count.try_cast("double").isNull(), "count is not a number"),
     )
+    return parsed.select(
+        "date", "sensor", "filename",
+        F.struct(count.try_cast("double").alias("count"), F.col("_record.timestamp").alias("timestamp")).alias("record"),
+        reason.alias("reason"),
+    )
+
+
+def history_rejects(docs: DataFrame, value: str = "value") -> DataFrame:
+    """Side output: ``date, sensor, filename, reason`` of everything ``flatten_history`` leaves out."""
+    rows = history_records(docs, value)
+    timeless = F.when(filename_epoch_lenient(F.col("filename")).isNull(), "no time in the file name")
+    reason = F.coalesce(F.col("reason"), timeless)
+    return rows.select("date", "sensor", "filename", reason.alias("reason")).where("reason is not null")
+
+
+def _records(docs: DataFrame, value: str) -> DataFrame:
+    return history_records(docs, value).where("reason is null").drop("reason")
 
 
 def flatten_history(docs: DataFrame, value: str = "value", source: str = "history") -> DataFrame:
-    """Readings of all documents; records without a time in the file name are skipped.
+    """Readings of all documents; what is left out is in ``history_rejects``.
 
-    A missing count is 0.  ``seq`` is the epoch value, so that within one source the order of
-    records with equal time and sensor is left to the count.
+    A missing count is 0.  ``seq`` is the epoch value; records of equal time and sensor are
+    told apart by ``tie``, the file name.
     """
     epoch = filename_epoch_lenient(F.col("filename"))
     return (
@@ -56,6 +111,7 @@ def flatten_history(docs: DataFrame, value: str = "value", source: str = "histor
             F.coalesce(F.col("record.count"), F.lit(0.0)).alias("count"),
             F.lit(source).alias("source"),
             F.col("epoch_ms").alias("seq"),
+            F.col("filename").alias("tie"),
         )
     )
 

@@ -12,12 +12,13 @@ from sensorgrid.sources.messages import split_valid
 def archive_lines(messages: DataFrame, tz: str, date_from: str = "processing") -> DataFrame:
     """``value, dump_date`` of the valid messages.
 
-    The payload keeps all its fields, known or not; broker position and processing time are
+    The payload keeps all its fields, known or not, on one line: valid JSON has line breaks only
+    between its tokens, where a blank says the same.  Broker position and processing time are
     appended to the object.  ``date_from`` is ``processing`` (the day of archiving) or
     ``event`` (the day of the message).
     """
     valid, _ = split_valid(messages)
-    body = F.rtrim(F.col("value").cast("string"))
+    body = F.btrim(F.translate(F.col("value").cast("string"), "\r\n\t", "   "))
     now = F.current_timestamp()
     if date_from == "processing":
         at: Column = now

@@ -28,6 +28,48 @@ def test_history_edges(spark):
     assert got == {(1, 0.0), (None, 4.0)}
 
 
+def test_history_rejects(spark):
+    """One bad part costs that part alone; a cut off document is reported."""
+    good = {"y_1704067200000.txt": {"count": 4}}
+    docs = _docs(
+        spark,
+        {"d": {"1": good, "2": {"a.txt": {"count": 1}, "b_1704067200000.txt": 7}, "3": [1]}, "e": 5, "f": {}},
+        {"d": {"1": {"y_1704067200000.txt": {"count": "x"}, "z_1704067200000.txt": {"count": None}}}},
+        json.dumps({"d": {"1": good}})[:-1], "[]", "5", "",
+    )
+    got = sorted((r.sensor_id, r["count"], r.tie) for r in sources.flatten_history(docs).collect())
+    assert got == [(1, 0.0, "z_1704067200000.txt"), (1, 4.0, "y_1704067200000.txt")]
+    bad = sorted((r.date or "", r.sensor or "", r.filename or "", r.reason) for r in sources.history_rejects(docs).collect())
+    assert bad == [("", "", "", "document is not an object")] * 4 + [
+        ("d", "1", "y_1704067200000.txt", "count is not a number"),
+        ("d", "2", "a.txt", "no time in the file name"),
+        ("d", "2", "b_1704067200000.txt", "record is not an object"),
+        ("d", "3", "", "sensor is not an object"),
+        ("e", "", "", "date is not an object"),
+    ]
+
+
+def test_only_files_of_the_dates_are_read(spark, tmp_path):
+    for day in range(1, 8):
+        folder = tmp_path / f"dump_date=2024-01-0{day}"
+        folder.mkdir()
+        (folder / "part.json").write_text(json.dumps({"sensor_id": day, "count": 1, "ts": 1704067200000}))
+        (folder / "history.json").write_text("{}")
+    (tmp_path / "undated.json").write_text(json.dumps({"sensor_id": 99, "count": 1, "ts": 1704067200000}))
+
+    def files_read(df):
+        rows = df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        scans = df._jdf.queryExecution().executedPlan().collectLeaves()
+        return rows, plan, scans.apply(0).metrics().apply("numFiles").value()
+
+    read = sources.read_archive(spark, str(tmp_path), "{part,undated}.json", since=date(2024, 1, 3), until=date(2024, 1, 4))
+    rows, _, files = files_read(read)
+    assert {r.sensor_id for r in rows} == {"3", "4", "99"} and files == 3
+    docs = read_documents(spark, str(tmp_path), since=date(2024, 1, 6))
+    assert files_read(docs)[2] == 5
+
+
 def test_strict_records(spark):
     files = {
         "a_1704067200000.txt": {"count": 1, "timestamp": [7, 0]},
@@ -57,12 +99,12 @@ def test_archive_files(spark, tmp_path):
     (day / "kafka-dump-x.json").write_text("broken first\n{}\n")
     (day / "blank-2024-01-03.json").write_text("\n{}\n")
     (day / "other.txt").write_text("{}")
-    raw = sources.read_archive(spark, str(tmp_path))
+    raw = sources.read_archive(spark, str(tmp_path), "*.json")
     assert raw.where("_corrupt IS NOT NULL").count() >= 2
     rows = {r.sensor_id: r for r in sources.as_readings(raw.where("ts IS NOT NULL")).collect()}
-    assert rows[7]["count"] == 3.0 and rows[7].seq == 5 and rows[8]["count"] is None
+    assert rows[7]["count"] == 3.0 and rows[7].seq == 5 and rows[8]["count"] is None and rows[8].seq == -1
     # The empty file of January 2nd is not listed at all.
-    valid = {r.file_name: r.valid for r in sources.validate_files(spark, str(tmp_path)).collect()}
+    valid = {r.file_name: r.valid for r in sources.validate_files(spark, str(tmp_path), "*.json").collect()}
     assert valid == {
         "kafka-dump-2024-01-01.json": True,
         "kafka-dump-x.json": False,
@@ -71,12 +113,13 @@ def test_archive_files(spark, tmp_path):
     files = sources.archive_files(spark, str(tmp_path))
     assert [r.file_name for r in sources.select_by_date(files, date(2024, 1, 1)).collect()] == ["kafka-dump-2024-01-01.json"]
     assert [r.file_name for r in sources.select_by_date(files, date(2024, 1, 3)).collect()] == ["blank-2024-01-03.json"]
-    checked = sources.validate_files(spark, str(tmp_path))
+    checked = sources.validate_files(spark, str(tmp_path), "*.json")
     lines = spark.read.option("recursiveFileLookup", True).text(str(tmp_path)).select(
         F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/").alias("path"), "value"
     )
     target = str(tmp_path / "landed")
-    assert sinks.land_archives(lines, checked, target) == 2
+    for _ in range(2):  # a retry replaces what it landed
+        assert sinks.land_archives(lines, checked, target) == 2
     landed = spark.read.text(target)
     assert {(str(r.dump_date), r.n) for r in landed.groupBy("dump_date").agg(F.count("*").alias("n")).collect()} == {
         ("2024-01-01", 3), ("unknown", 2),
@@ -89,7 +132,7 @@ def test_archive_files(spark, tmp_path):
 
 def test_empty_readings(spark):
     empty = sources.empty_readings(spark)
-    assert empty.count() == 0 and empty.columns == ["ts", "sensor_id", "count", "source", "seq"]
+    assert empty.count() == 0 and empty.columns == ["ts", "sensor_id", "count", "source", "seq", "tie"]
 
 
 def test_landing_manifest(spark, tmp_path):
