@@ -18,11 +18,6 @@ from sensorgrid.operators.evaluate import forecast_metrics
 from sensorgrid.operators.graph import join_links, neighbors
 from sensorgrid.staging import stage
 
-# Bounds of a published flow.
-MIN_FLOW = 0.0
-MAX_FLOW = 120.0
-
-
 def forecast_persistence(
     snapshot: DataFrame,
     nodes: DataFrame,
@@ -30,11 +25,14 @@ def forecast_persistence(
     interval: str = "5m",
     noise_std: float = 0.0,
     seed: int = 42,
+    low: float | None = None,
+    high: float | None = None,
 ) -> DataFrame:
-    """``timestamp, target_ts, node_id, pos, horizon, flow``: the newest flow of each node,
-    clipped, for every step.  A node without a flow counts as 0.0.
+    """``timestamp, target_ts, node_id, pos, horizon, flow``: the newest flow of each node for
+    every step.  A node without a flow counts as 0.0.
 
-    ``timestamp`` is the newest window.  ``noise_std`` adds normal noise before clipping.
+    ``timestamp`` is the newest window.  ``noise_std`` adds normal noise; then flows are kept
+    within ``low`` and ``high``, where given.
     """
     newest = snapshot.agg(F.max("window_start").alias("w")).scalar()
     last = snapshot.where(F.col("window_start") == newest).select("node_id", "flow")
@@ -42,6 +40,10 @@ def forecast_persistence(
     flow: Column = F.coalesce(F.col("flow"), F.lit(0.0))
     if noise_std:
         flow = flow + F.randn(seed) * F.lit(noise_std)
+    if high is not None:
+        flow = F.least(F.lit(float(high)), flow)
+    if low is not None:
+        flow = F.greatest(F.lit(float(low)), flow)
     return (
         nodes.join(last, "node_id", "left")
         .select(
@@ -59,7 +61,7 @@ def forecast_persistence(
             "node_id",
             "pos",
             "horizon",
-            F.greatest(F.lit(MIN_FLOW), F.least(F.lit(MAX_FLOW), flow)).alias("flow"),
+            flow.alias("flow"),
         )
     )
 
@@ -178,6 +180,20 @@ def train_and_score(
 ) -> tuple[GraphModel, DataFrame]:
     """Fits on the training split, keeps the penalty with the lowest validation MAE, and
     returns the model with its validation scores (runs jobs; the windows are staged)."""
+    results = candidates(windows, edges, input_len, steps, reg_params, encoding)
+    _, model, scored = min(results, key=lambda r: r[0])
+    return model, scored
+
+
+def candidates(
+    windows: DataFrame,
+    edges: DataFrame,
+    input_len: int = 12,
+    steps: int = 3,
+    reg_params: tuple[float, ...] = (0.0, 0.01),
+    encoding: DataFrame | None = None,
+) -> list[tuple[float, GraphModel, DataFrame]]:
+    """Validation MAE, model and validation scores for each penalty (runs jobs)."""
     extra: tuple[str, ...] = ()
     data = windows_with_neighbors(windows, edges)
     if encoding is not None:
@@ -185,10 +201,10 @@ def train_and_score(
         data = data.join(encoding, "sensor_id", "left").fillna(0.0, list(extra))
     data = stage(data, "windows")
     val = data.where("split = 'val'")
-    best: tuple[float, GraphModel] | None = None
+    out = []
     for reg in reg_params:
         model = fit(data.where("split = 'train'"), input_len, extra, reg)
-        overall = forecast_metrics(score(val, edges, model, steps)).where("horizon = 0").first()
-        if best is None or overall["mae"] < best[0]:
-            best = (overall["mae"], model)
-    return best[1], score(val, edges, best[1], steps)
+        scored = stage(score(val, edges, model, steps), "scores")
+        overall = forecast_metrics(scored).where("horizon = 0").first()
+        out.append((overall["mae"], model, scored))
+    return out

@@ -220,7 +220,7 @@ def subgraph(edges: DataFrame, nodes: DataFrame, keep: DataFrame) -> tuple[DataF
     common = nodes.select("node_id").intersect(keep.select("node_id"))
     if common.limit(1).count() == 0:
         raise ValueError("no valid nodes to filter")
-    index = dense_position(common, ["node_id"], F.floor(F.col("node_id") / 4096))
+    index = dense_position(common, ["node_id"])
     src = index.select(F.col("node_id").alias("src"), F.col("pos").alias("src_pos"))
     dst = index.select(F.col("node_id").alias("dst"), F.col("pos").alias("dst_pos"))
     return index, edges.join(src, "src").join(dst, "dst").select(

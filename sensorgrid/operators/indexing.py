@@ -2,34 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+from sensorgrid.staging import stage
 
-def dense_position(df: DataFrame, order: list[str], group: Column, out: str = "pos") -> DataFrame:
-    """0-based position of each row in the order of ``order``.
+#: Bits of a row's number in its partition, in ``monotonically_increasing_id``.
+_ROW_BITS = 33
 
-    ``group`` must rise with the order (a date for time stamps, a prefix for text): rows are
-    numbered inside their group and shifted by the sizes of the earlier groups.  Only the
-    table of group sizes is ordered in one task.
+
+def dense_position(df: DataFrame, order: list[str], out: str = "pos") -> DataFrame:
+    """0-based position of each row in the order of ``order`` (runs jobs).
+
+    Rows are range-partitioned by the order columns, so partitions are even whatever the keys
+    look like, and numbered as they are written; each partition is shifted by the sizes of
+    those before it.  Only the table of partition sizes is ordered in one task.
     """
-    rows = df.withColumn("_group", group)
-    sizes = rows.groupBy("_group").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_group", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
-    )
-    inside = Window.partitionBy("_group").orderBy(*order)
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = stage(ranged.withColumn("_id", F.monotonically_increasing_id()), "positions")
+    part = F.shiftright("_id", _ROW_BITS)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
+    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    row = F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return (
-        rows.withColumn("_rank", F.row_number().over(inside) - 1)
-        .join(offsets, "_group")
-        .withColumn(out, (F.col("_offset") + F.col("_rank")).cast("bigint"))
-        .drop("_group", "_offset", "_rank")
+        rows.withColumn("_part", part)
+        .join(offsets, "_part")
+        .withColumn(out, (F.col("_offset") + row).cast("bigint"))
+        .drop("_part", "_offset", "_id")
     )
 
 
-def canonical_nodes(nodes: DataFrame, node: str = "sensor_id", prefix: int = 3) -> DataFrame:
+def canonical_nodes(nodes: DataFrame, node: str = "sensor_id") -> DataFrame:
     """``node_id STRING, pos`` of the distinct nodes in text order (``1, 10, 100, 2``)."""
     ids = nodes.select(F.col(node).cast("string").alias("node_id")).distinct()
-    return dense_position(ids, ["node_id"], F.substring("node_id", 1, prefix)).select(
-        "node_id", "pos"
-    )
+    return dense_position(ids, ["node_id"]).select("node_id", "pos")

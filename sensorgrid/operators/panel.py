@@ -126,11 +126,22 @@ def dense_panel(cells: DataFrame, buckets: DataFrame) -> DataFrame:
     return observed.unionByName(missing)
 
 
-def wide_panel(cells: DataFrame, columns: list, key: str = "sensor_id", value: str = "value") -> DataFrame:
-    """Export form: one row per bucket, one column per sensor in text order.
+def wide_panel(
+    cells: DataFrame, columns: list | None = None, key: str = "sensor_id", value: str = "value"
+) -> DataFrame:
+    """Export form: one row per bucket, one column per sensor in text order (runs a job).
 
-    The column list is explicit, so no extra pass over the data looks for it.
+    Without ``columns`` all sensors of the cells are taken: the columns of the result, so their
+    names have to fit the driver.  Raises if the cells hold a sensor that is not listed.
     """
+    ids = cells.select(F.col(key).cast("string").alias(key)).where(F.col(key).isNotNull()).distinct()
+    if columns is None:
+        columns = [row[0] for row in ids.collect()]
+    else:
+        listed = cells.sparkSession.createDataFrame([(str(c),) for c in columns], f"`{key}` string")
+        extra = ids.join(listed, key, "left_anti").limit(5).collect()
+        if extra:
+            raise ValueError(f"sensors that are not among the columns: {[row[0] for row in extra]}")
     names = sorted({str(c) for c in columns})
     return (
         cells.select("bucket", F.col(key).cast("string").alias(key), value)

@@ -19,15 +19,14 @@ from sensorgrid.staging import stage
 def _multiply(links: DataFrame, rows: DataFrame, names: list[str]) -> DataFrame:
     """``rows`` with ``p_<name>`` columns holding ``S x``; nodes without edges get 0.
 
-    Products and the rows themselves meet in one aggregate per node.
+    Products are summed before the shuffle; the rows themselves only join the sums.
     """
-    own = [c for c in rows.columns if c != "node_id"]
     moved = links.join(rows.selectExpr("node_id AS dst", *names), "dst").selectExpr(
-        "src AS node_id", *[f"0D AS {c}" for c in own], *[f"s * {n} AS p_{n}" for n in names]
+        "src AS node_id", *[f"s * {n} AS p_{n}" for n in names]
     )
-    kept = rows.selectExpr("node_id", *own, *[f"0D AS p_{n}" for n in names])
-    sums = [F.expr(f"sum({c}) AS {c}") for c in [*own, *[f"p_{n}" for n in names]]]
-    return moved.union(kept).groupBy("node_id").agg(*sums)
+    sums = moved.groupBy("node_id").agg(*[F.expr(f"sum(p_{n}) AS p_{n}") for n in names])
+    products = [f"coalesce(p_{n}, 0D) AS p_{n}" for n in names]
+    return rows.join(sums, "node_id", "left").selectExpr(*rows.columns, *products)
 
 
 def _gram(rows: DataFrame, names: list[str]) -> np.ndarray:
@@ -88,15 +87,15 @@ def spectral_encoding(
     k: int = 10,
     oversample: int = 6,
     degree: int = 8,
-    cycles: int = 6,
+    cycles: int = 30,
     tol: float = 1e-4,
     seed: int = 42,
 ) -> tuple[list[float], DataFrame]:
     """The ``k`` smallest eigenvalues after the first, and ``node_id, pe0 .. pe{k-1}``.
 
     ``edges`` must be symmetric.  Stops when the largest residual ``|L v - lambda v|`` of the
-    wanted vectors is below ``tol`` or after ``cycles`` filters (runs jobs).  Signs, and the
-    basis of repeated eigenvalues, are arbitrary.
+    wanted vectors is below ``tol``; raises if it is not after ``cycles`` filters (runs jobs).
+    Signs, and the basis of repeated eigenvalues, are arbitrary.
     """
     n = nodes.count()
     want = min(k + 1, n)
@@ -117,11 +116,30 @@ def spectral_encoding(
         names = [c for c in vectors.columns if c != "node_id"]
         vectors = _filter(links, vectors, names, degree, cut=float(values[-1]))
         values, vectors, worst = _ritz(links, vectors, names, want)
+    if worst >= tol:
+        raise RuntimeError(f"the spectral encoding has not converged: residual {worst:.2e} after {cycles} filters")
     chosen = list(range(1, min(want, len(values))))
     encoding = vectors.select("node_id", *[F.col(f"x{j}").alias(f"pe{j - 1}") for j in chosen])
     return [float(1.0 - values[j]) for j in chosen], stage(encoding, "encoding")
 
 
+def residuals(edges: DataFrame, values: list[float], encoding: DataFrame) -> list[tuple[float, float, float]]:
+    """Of each vector of an encoding: its squared norm, its largest product with another vector,
+    and its residual ``|L v - lambda v|`` (runs jobs; only products of vectors reach the driver)."""
+    names = [c for c in encoding.columns if c != "node_id"]
+    links = scaled_adjacency(edges).where("s <> 0")
+    gram = _gram(_multiply(links, encoding, names), [*names, *[f"p_{n}" for n in names]])
+    size = len(names)
+    xx, xp, pp = gram[:size, :size], gram[:size, size:], gram[size:, size:]
+    out = []
+    for j, value in enumerate(values):
+        theta = 1.0 - value
+        square = pp[j, j] - 2 * theta * xp[j, j] + theta**2 * xx[j, j]
+        others = np.abs(np.delete(xx[j], j)).max(initial=0.0)
+        out.append((float(xx[j, j]), float(others), float(np.sqrt(max(square, 0.0)))))
+    return out
+
+
 def _filter(links: DataFrame, vectors: DataFrame, names: list[str], degree: int, cut: float) -> DataFrame:
     """Chebyshev polynomial of ``S`` that damps the spectrum in ``[-1, cut]``.
 

@@ -133,7 +133,6 @@ def training_batches(
     train = dense_position(
         samples.where("split = 'train'").withColumn("digest", digest),
         ["digest", "start_idx"],
-        F.substring("digest", 1, 3),
         "rank",
     ).drop("digest")
     val = samples.where("split = 'val'").withColumn("rank", F.col("start_idx"))

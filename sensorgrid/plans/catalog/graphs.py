@@ -148,6 +148,27 @@ def spectral_encoding(spark, sf_dir):
     return encoding
 
 
+@query(
+    "spectral_residuals",
+    """SELECT i AS vector, true AS unit, true AS orthogonal, true AS converged, i < c - 1 AS zero
+        FROM range(4) r(i), (SELECT count(DISTINCT m) AS c FROM (SELECT node, min(root) AS m FROM (
+            WITH RECURSIVE reach(node, root) AS (SELECT src, src FROM edges
+                UNION SELECT e.dst, r.root FROM reach r JOIN edges e ON e.src = r.node)
+            SELECT * FROM reach) GROUP BY node))""",
+    ("edges",),
+)
+def spectral_residuals(spark, sf_dir):
+    """What any encoding must satisfy; zero eigenvalues count the connected parts."""
+    edges = t.edges(spark, sf_dir)
+    values, encoding = spectral.spectral_encoding(edges, t.nodes(spark, sf_dir), k=4)
+    found = spectral.residuals(edges, values, encoding)
+    rows = [
+        (j, abs(norm - 1) < 1e-6, other < 1e-6, residual < 1e-3, value < 1e-6)
+        for j, (value, (norm, other, residual)) in enumerate(zip(values, found, strict=True))
+    ]
+    return spark.createDataFrame(rows, "vector bigint, unit boolean, orthogonal boolean, converged boolean, zero boolean")
+
+
 _KEEP = "(SELECT DISTINCT user_id AS node_id FROM events WHERE event_type = 'purchase' AND value > 100)"
 
 

@@ -358,7 +358,7 @@ _PERSIST = """(SELECT w AS timestamp, w + INTERVAL 1 HOUR * h AS target_ts, l.no
 
 def persistence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fc.forecast_persistence(
-        snapshot_table(spark, sf_dir), t.linked_nodes(spark, sf_dir), steps=12, interval=HOUR
+        snapshot_table(spark, sf_dir), t.linked_nodes(spark, sf_dir), steps=12, interval=HOUR, low=0, high=120
     )
 
 

@@ -288,6 +288,18 @@ def scan_wide_panel(spark, sf_dir):
     return read_wide_panel(spark, path, id_type="string")
 
 
+@query(
+    "wide_panel_sensors",
+    "SELECT bucket, sensor_id, round(value, 6) AS value FROM panel",
+    ("panel",),
+)
+def wide_panel_sensors(spark, sf_dir):
+    """A column for every sensor, written, read and unpivoted."""
+    path = new_path(spark, "wide")
+    p.wide_panel(t.staged_cells(spark, sf_dir)[0]).write.parquet(path)
+    return read_wide_panel(spark, path)
+
+
 @query("panel_sensors", "SELECT DISTINCT sensor_id FROM cells", ("cells",))
 def panel_sensors(spark, sf_dir):
     return p.sensors(t.cells(spark, sf_dir))

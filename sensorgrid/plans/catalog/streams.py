@@ -85,7 +85,7 @@ _SCORED = f"""(SELECT w AS timestamp, l.node_id, l.pos, CAST(h AS INTEGER) AS ho
 @query("score_stream", f"SELECT * FROM {_SCORED}", ("usable", "linked"))
 def score(spark, sf_dir):
     nodes = stage(t.linked_nodes(spark, sf_dir), "nodes")
-    hook = score_latest(lambda window: fc.forecast_persistence(window, nodes, steps=3, interval="5m"))
+    hook = score_latest(lambda window: fc.forecast_persistence(window, nodes, steps=3, interval="5m", low=0, high=120))
     path = _run_snapshots(spark, sf_dir, hook)
     stored = spark.read.parquet(f"{path}/predictions")
     newest = stored.agg(F.max("timestamp").alias("m")).scalar()

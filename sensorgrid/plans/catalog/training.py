@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sensorgrid.operators import forecast as fc
 from sensorgrid.operators import impute as im
+from sensorgrid.operators import spectral
 from sensorgrid.operators import training as tr
 from sensorgrid.operators.evaluate import forecast_metrics
 from sensorgrid.operators.indexing import canonical_nodes
@@ -164,6 +165,30 @@ def metrics(spark, sf_dir):
     return forecast_metrics(fc.persistence_scores(windows))
 
 
+@query(
+    "forecast_invariants",
+    f"""SELECT horizon, count(*) AS n, true AS finite, true AS best, true AS encoded
+        FROM (SELECT unnest([1, 2, 3]) AS horizon FROM {_WINDOWS} WHERE split = 'val' AND last_step IS NOT NULL)
+        GROUP BY 1""",
+    ("series",),
+)
+def forecast_invariants(spark, sf_dir):
+    """What any trained model must satisfy: a finite forecast for every window and horizon, the
+    penalty with the lowest validation error, and encoding columns in use."""
+    series, split = series_and_split(spark, sf_dir)
+    factor = tr.max_flow(series, split).scalar()
+    edges = t.edges(spark, sf_dir)
+    _, encoding = spectral.spectral_encoding(edges, t.nodes(spark, sf_dir), k=2)
+    windows = tr.training_windows(series, split, factor=factor)
+    found = fc.candidates(windows, edges, encoding=encoding.withColumnRenamed("node_id", "sensor_id"))
+    mae, model, scored = min(found, key=lambda r: r[0])
+    best = all(mae <= other for other, _, _ in found) and len(found) == 2
+    return scored.groupBy("horizon").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(F.abs("flow") < float("inf")).alias("finite"),
+        F.lit(best).alias("best"), F.lit(model.extra == ("pe0", "pe1")).alias("encoded"),
+    )
+
+
 @query("forecast_train_score")
 def forecast_train_score(spark, sf_dir):
     """Errors of the linear graph model on the validation windows."""

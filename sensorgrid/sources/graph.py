@@ -20,14 +20,12 @@ _METADATA_DOC = T.StructType(
 )
 
 
-def _cells(docs: DataFrame, field: str, out: str) -> DataFrame:
-    rows = docs.select(F.posexplode(F.col(f"`{field}`")).alias("src", "row"))
-    return rows.select("src", F.size("row").alias("width"), F.posexplode("row").alias("dst", out))
-
-
 def edges_from_documents(docs: DataFrame, check: bool = True) -> DataFrame:
-    """``edges`` of parsed graph documents; node ids are matrix positions and zero weights
-    are not kept.  Raises on a missing or non-square matrix when ``check`` is set."""
+    """``edges`` of a parsed graph document; node ids are matrix positions and zero weights
+    are not kept.  With ``check`` set, raises on a missing or non-square matrix, and on more than
+    one document, whose positions would mean different nodes (runs a job)."""
+    if check and docs.select(F.lit(1)).limit(2).count() > 1:
+        raise ValueError("more than one graph document")
     rows = F.coalesce(F.size(F.col(f"`{ADJACENCY}`")), F.lit(0))
     if check:
         square = F.forall(F.col(f"`{ADJACENCY}`"), lambda r: F.size(r) == rows)
@@ -37,13 +35,21 @@ def edges_from_documents(docs: DataFrame, check: bool = True) -> DataFrame:
             .when(~square, F.raise_error(F.lit("adjacency matrix is not square")))
             .otherwise(F.col(f"`{ADJACENCY}`")),
         )
-    weights = _cells(docs, ADJACENCY, "weight").where("weight <> 0")
-    distances = _cells(docs, DISTANCE, "distance")
-    return weights.join(distances, ["src", "dst"], "left").select(
-        F.col("src").cast("bigint").alias("src"),
-        F.col("dst").cast("bigint").alias("dst"),
-        "weight",
-        "distance",
+    # Both matrices are walked side by side, row by row, so no join is needed.
+    none = F.array().cast("array<array<double>>")
+    rows = docs.select(
+        F.posexplode(
+            F.arrays_zip(F.col(f"`{ADJACENCY}`").alias("w"), F.coalesce(F.col(f"`{DISTANCE}`"), none).alias("d"))
+        ).alias("src", "row")
+    )
+    cells = rows.select(
+        "src",
+        F.posexplode(
+            F.arrays_zip(F.col("row.w").alias("weight"), F.coalesce(F.col("row.d"), F.array().cast("array<double>")).alias("distance"))
+        ).alias("dst", "cell"),
+    )
+    return cells.where("cell.weight <> 0").select(
+        F.col("src").cast("bigint").alias("src"), F.col("dst").cast("bigint").alias("dst"), "cell.weight", "cell.distance"
     )
 
 

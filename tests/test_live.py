@@ -97,7 +97,7 @@ def test_alignment(spark):
     assert {utc(r.target_ts) for r in forecast.collect()} == {at(5), at(10)}
     data = sn.format_predictions(forecast).first()
     assert data["data"] == first and utc(data.timestamp) == at(0)
-    high = fc.forecast_persistence(_snap(spark, [(0, "1", 500.0)]), nodes, steps=1, noise_std=2.0)
+    high = fc.forecast_persistence(_snap(spark, [(0, "1", 500.0)]), nodes, steps=1, noise_std=2.0, low=0, high=120)
     assert all(0 <= r.flow <= 120 for r in high.collect())
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorgrid.operators import sequence as sq
-from sensorgrid.operators.indexing import canonical_nodes
+from sensorgrid.operators.indexing import canonical_nodes, dense_position
 from tests.helpers import at
 
 
@@ -48,3 +48,14 @@ def test_canonical_order(spark):
     ids = spark.createDataFrame([(i,) for i in range(1200)], "sensor_id BIGINT")
     got = [r.node_id for r in canonical_nodes(ids).orderBy("pos").collect()]
     assert got == sorted(str(i) for i in range(1200))
+
+
+def test_positions_of_ids_with_a_common_start_and_hashes(spark):
+    names = spark.range(500).selectExpr("concat('node_', lpad(cast(id % 250 as string), 5, '0')) AS sensor_id")
+    got = canonical_nodes(names).orderBy("pos").collect()
+    assert [(r.node_id, r.pos) for r in got] == [(f"node_{i:05d}", i) for i in range(250)]
+    hashes = spark.range(300).selectExpr("xxhash64(id) AS node_id")
+    rows = dense_position(hashes, ["node_id"]).collect()
+    assert [r.node_id for r in sorted(rows, key=lambda r: r.pos)] == sorted(r.node_id for r in rows)
+    assert sorted(r.pos for r in rows) == list(range(300))
+    assert dense_position(hashes.limit(0), ["node_id"]).collect() == []

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorgrid import sinks, sources
+from sensorgrid.operators.panel import wide_panel
 from sensorgrid.sources.history import read_documents
 from tests.helpers import at, utc
 
@@ -201,3 +202,20 @@ def test_wide_scan(spark):
     assert got == {(1, 10, 5.0), (1, 2, None), (2, 10, None), (2, 2, 7.0)}
     with pytest.raises(ValueError):
         sources.wide_to_long(wide.withColumnRenamed("time", "when"))
+
+
+def test_one_graph_document(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.json").write_text(json.dumps({"adjacency-matrix": [[1, 1], [1, 1]]}))
+    with pytest.raises(ValueError, match="more than one"):
+        sources.read_graph(spark, str(tmp_path))
+    got = sources.read_graph(spark, str(tmp_path / "a.json")).collect()
+    assert len(got) == 4 and all(r.distance is None for r in got)
+
+
+def test_wide_panel_lists_all_sensors(spark):
+    cells = spark.createDataFrame([(1, 10, 1.0), (1, 2, 2.0), (2, 10, 3.0)], "bucket INT, sensor_id BIGINT, value DOUBLE")
+    assert wide_panel(cells).columns == ["timestamp", "10", "2"]
+    assert wide_panel(cells, [2, 10, 7]).columns == ["timestamp", "10", "2", "7"]
+    with pytest.raises(ValueError, match="not among"):
+        wide_panel(cells, [2])
