@@ -18,6 +18,9 @@ MIN_DISTANCE = 1e-6
 
 
 def _split(panel: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Known rows and holes; of a panel written by ``hole`` each is a folder of its own."""
+    if "hole" in panel.columns:
+        return panel.where("NOT hole").drop("hole"), panel.where("hole").drop("hole")
     return panel.where("value IS NOT NULL"), panel.where("value IS NULL")
 
 
@@ -52,7 +55,10 @@ def neighbor_values(panel: DataFrame, links: DataFrame) -> DataFrame:
     neighbours' values at the same bucket, the weight behind it, the weight of all
     neighbours, and the number of neighbours that have a value."""
     known, holes = _split(panel)
+    # Only values that a hole may ask for are sent: those of neighbours of sensors with holes.
+    asked = links.join(holes.select("sensor_id").distinct(), "sensor_id", "left_semi").select("neighbor").distinct()
     values = known.select(F.col("sensor_id").alias("neighbor"), "bucket", F.col("value").alias("v"))
+    values = values.join(asked, "neighbor", "left_semi")
     cell = ["sensor_id", "bucket", "weekday", "tod"]
     return (
         join_links(holes.select(cell), links, "sensor_id", "bucket", "left")
@@ -67,14 +73,15 @@ def neighbor_values(panel: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-def impute_spatial(
+def spatial_fills(
     panel: DataFrame,
     edges: DataFrame,
     null_weighting: str = "available",
     use_distance: bool = True,
     sensors: DataFrame | None = None,
 ) -> DataFrame:
-    """Layer 2: inverse-distance mean of the neighbours' values at the same bucket.
+    """Layer 2 for the null rows alone: inverse-distance mean of the neighbours' values at the
+    same bucket, NULL where there is none.
 
     ``available`` weighs only neighbours that have a value.  ``all`` keeps the weight of a
     missing neighbour in the denominator, so a cell without any known neighbour becomes 0.
@@ -90,9 +97,13 @@ def impute_spatial(
         value = F.coalesce(F.col("num"), F.lit(0.0)) / F.col("total")
     else:
         value = F.col("num") / F.col("den")
+    return _fill(neighbor_values(panel, links), value, "spatial")
+
+
+def impute_spatial(panel: DataFrame, edges: DataFrame, *args, **options) -> DataFrame:
+    """Layer 2 (see ``spatial_fills``) over the whole panel."""
     known, _ = _split(panel)
-    filled = _fill(neighbor_values(panel, links), value, "spatial")
-    return known.select(COLUMNS).unionByName(filled)
+    return known.select(COLUMNS).unionByName(spatial_fills(panel, edges, *args, **options))
 
 
 def weekly_profile(panel: DataFrame) -> DataFrame:
@@ -164,13 +175,18 @@ def impute_to_weekly(
 ) -> DataFrame:
     """Layers 1 to 3.
 
-    The panel is written after layer 1 and after layer 2 (two jobs): each is read several
-    times by the next layer, which then scans only the columns and null rows it needs.
+    The panel is written once, after layer 1, known rows and holes apart; layers 2 and 3 then
+    write their fills only (three jobs), and read no more of the panel than they need.
     """
-    panel = stage(impute_temporal(cells, buckets, limit_rows, by), "temporal")
+    panel = impute_temporal(cells, buckets, limit_rows, by).withColumn("hole", F.col("value").isNull())
+    panel = stage(panel, "temporal", ["hole"])
+    known = panel.where("NOT hole").drop("hole")
     sensors = cells.select("sensor_id").distinct()
-    panel = impute_spatial(panel, edges, null_weighting, use_distance, sensors)
-    return impute_historical(stage(panel, "spatial"))
+    fills = stage(spatial_fills(panel, edges, null_weighting, use_distance, sensors), "spatial")
+    panel = known.select(COLUMNS).unionByName(fills)
+    left = fills.where("value IS NULL").join(weekly_profile(panel), ["sensor_id", "weekday", "tod"], "left")
+    late = stage(_fill(left, F.col("profile"), "historical"), "historical")
+    return known.select(COLUMNS).unionByName(fills.where("value IS NOT NULL")).unionByName(late)
 
 
 def impute_layers(

@@ -12,7 +12,7 @@ from sensorgrid.functions import from_utc_wall
 from sensorgrid.operators import forecast as fc
 from sensorgrid.plans.catalog import tables as t
 from sensorgrid.plans.catalog.registry import query
-from sensorgrid.staging import new_path, stage
+from sensorgrid.staging import names_in, new_path, stage
 from sensorgrid.streaming import (
     archive_stream,
     read_window,
@@ -44,6 +44,23 @@ def _run_snapshots(spark: SparkSession, sf_dir: str, after_batch=None) -> str:
     return path
 
 
+def _run_in_parts(spark: SparkSession, sf_dir: str, after_batch=None) -> str:
+    """The events arrive as files of a few days each, one per micro-batch; the query is stopped
+    after the first half of them and started again on the same checkpoint."""
+    path, inbox = new_path(spark, "live"), new_path(spark, "inbox")
+    rows = t.table(spark, sf_dir, "events")
+    for part in (F.day("ts") <= 15, F.day("ts") > 15):
+        for days in range(3):
+            rows.where(part & (F.floor((F.day("ts") - 1) / 5) % 3 == days)).coalesce(1).write.mode("append").parquet(inbox)
+        arriving = (
+            spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+            .withColumns({"ts": from_utc_wall(F.col("ts")), "k": F.get_json_object("props", "$.k").cast("int")})
+        )
+        stream = snapshot_stream(sources.decode(t.messages(spark, sf_dir, arriving)), "5m", DELAY)
+        write_snapshots(stream, path, f"{path}/checkpoint", after_batch, ONCE).awaitTermination()
+    return path
+
+
 # Buckets that end no later than the highest message time minus the delay.
 _CLOSED = """(SELECT * FROM (SELECT time_bucket(INTERVAL '5 minutes', make_timestamp(ms * 1000)) AS window_start,
     sensor AS node_id, CAST(format('{:.2f}', avg(num)) AS DOUBLE) AS flow, count(*) AS num_samples
@@ -82,6 +99,29 @@ _SCORED = f"""(SELECT w AS timestamp, l.node_id, l.pos, CAST(h AS INTEGER) AS ho
     LEFT JOIN {_CLOSED} s ON s.window_start = w AND s.node_id = l.node_id)"""
 
 
+@query(
+    "window_retention",
+    f"""SELECT window_start, node_id, flow, num_samples FROM {_CLOSED}
+        WHERE window_start IN (SELECT DISTINCT window_start FROM {_CLOSED} ORDER BY 1 DESC LIMIT 12)""",
+    ("usable",),
+)
+def window_retention(spark, sf_dir):
+    """The window table after many micro-batches: twelve windows and no more."""
+    path = _run_in_parts(spark, sf_dir)
+    if len(names_in(spark, f"{path}/window")) > 2:
+        raise RuntimeError("old window tables were not deleted")
+    return read_window(spark, path, 100)
+
+
+@query("score_restart", f"SELECT * FROM {_SCORED}", ("usable", "linked"))
+def score_restart(spark, sf_dir):
+    """The one stored prediction after a restart in the middle of the stream."""
+    nodes = stage(t.linked_nodes(spark, sf_dir), "nodes")
+    hook = score_latest(lambda window: fc.forecast_persistence(window, nodes, steps=3, interval="5m", low=0, high=120))
+    path = _run_in_parts(spark, sf_dir, hook)
+    return spark.read.parquet(f"{path}/predictions").select("timestamp", "node_id", "pos", "horizon", "flow")
+
+
 @query("score_stream", f"SELECT * FROM {_SCORED}", ("usable", "linked"))
 def score(spark, sf_dir):
     nodes = stage(t.linked_nodes(spark, sf_dir), "nodes")

@@ -45,11 +45,25 @@ def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> D
     return out
 
 
+def _folder(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder; none if it does not exist."""
+    where, files = _folder(spark, path)
+    return [entry.getPath().getName() for entry in files.listStatus(where)] if files.exists(where) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where, files = _folder(spark, path)
+    files.delete(where, True)
+
+
 def release(*staged: DataFrame) -> None:
     """Delete staged tables that no later step reads; other frames are left alone."""
     for df in staged:
         path = getattr(df, "_staged_at", None)
         if path:
-            jvm = df.sparkSession._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+            delete(df.sparkSession, path)

@@ -11,10 +11,10 @@ from pyspark.sql.streaming import StreamingQuery
 from sensorgrid.functions import epoch_ms_to_ts, parse_duration, round_half_even
 from sensorgrid.operators.snapshots import last_n_snapshots, window_ready
 from sensorgrid.sources.messages import accepted
+from sensorgrid.staging import delete, names_in
 
-SNAPSHOT_SCHEMA = (
-    "window_start TIMESTAMP, node_id STRING, flow DOUBLE, num_samples BIGINT, batch_id BIGINT"
-)
+SNAPSHOT_COLUMNS = "window_start TIMESTAMP, node_id STRING, flow DOUBLE, num_samples BIGINT"
+SNAPSHOT_SCHEMA = f"{SNAPSHOT_COLUMNS}, batch_id BIGINT"
 
 
 def _interval(text: str) -> str:
@@ -47,10 +47,31 @@ def snapshot_stream(
     )
 
 
-def _write_batch(path: str) -> Callable[[DataFrame, int], None]:
+def _batches(spark: SparkSession, path: str) -> list[int]:
+    """Batch ids with a folder below ``path``, in order."""
+    found = [name.removeprefix("batch_id=") for name in names_in(spark, path) if name.startswith("batch_id=")]
+    return sorted(int(name) for name in found)
+
+
+def _write_batch(path: str, keep: int) -> Callable[[DataFrame, int], None]:
+    """Writes a batch to the table of snapshots, and the ``keep`` newest windows to the window
+    table.  A repeated batch starts from the same state and replaces its own folders, so a retry
+    never doubles rows; the state before it is kept for that, older ones are deleted."""
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        # A repeated batch replaces its own folder, so a retry never doubles rows.
+        spark = batch.sparkSession
         batch.write.mode("overwrite").parquet(f"{path}/snapshots/batch_id={batch_id}")
+        pushed = spark.read.schema(SNAPSHOT_COLUMNS).parquet(f"{path}/snapshots/batch_id={batch_id}")
+        earlier = [b for b in _batches(spark, f"{path}/window") if b < batch_id]
+        rows = pushed
+        if earlier:
+            state = spark.read.schema(SNAPSHOT_COLUMNS).parquet(f"{path}/window/batch_id={earlier[-1]}")
+            rows = state.unionByName(pushed)
+        last_n_snapshots(_not_cleared(spark, path, rows), keep).write.mode("overwrite").parquet(
+            f"{path}/window/batch_id={batch_id}"
+        )
+        for old in earlier[:-1]:
+            delete(spark, f"{path}/window/batch_id={old}")
 
     return write
 
@@ -61,9 +82,12 @@ def write_snapshots(
     checkpoint: str,
     after_batch: Callable[[SparkSession, str, int], None] | None = None,
     trigger: dict | None = None,
+    keep: int = 12,
 ) -> StreamingQuery:
-    """Appends closed buckets to the table below ``path`` and then calls ``after_batch``."""
-    push = _write_batch(path)
+    """Appends closed buckets to the table below ``path``, keeps the ``keep`` newest windows in a
+    table of their own, and then calls ``after_batch``.  The work of a batch is bounded by the
+    batch and these windows, however long the stream has run."""
+    push = _write_batch(path, keep)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         push(batch, batch_id)
@@ -88,18 +112,27 @@ def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def read_window(spark: SparkSession, path: str, n: int | None = 12) -> DataFrame:
-    """Snapshot rows of the ``n`` newest windows (all if None) that were not cleared."""
-    rows = _read(spark, f"{path}/snapshots", SNAPSHOT_SCHEMA)
+def _not_cleared(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
     cleared = _read(spark, f"{path}/cleared", "upto TIMESTAMP")
     limit = cleared.agg(F.max("upto").alias("u")).scalar()
-    rows = rows.where(limit.isNull() | (F.col("window_start") > limit)).drop("batch_id")
+    return rows.where(limit.isNull() | (F.col("window_start") > limit))
+
+
+def read_window(spark: SparkSession, path: str, n: int | None = 12) -> DataFrame:
+    """Snapshot rows of the ``n`` newest windows that were not cleared, from the window table, so
+    at most of those that the writer keeps; with None of all windows ever pushed."""
+    if n is None:
+        rows = _read(spark, f"{path}/snapshots", SNAPSHOT_SCHEMA).drop("batch_id")
+    else:
+        newest = _batches(spark, f"{path}/window")[-1:]
+        rows = _read(spark, f"{path}/window/batch_id={newest[0] if newest else 'none'}", SNAPSHOT_COLUMNS)
+    rows = _not_cleared(spark, path, rows)
     return rows if n is None else last_n_snapshots(rows, n)
 
 
 def clear_window(spark: SparkSession, path: str) -> None:
     """Forgets all windows pushed so far: a marker is written, no file is deleted."""
-    newest = read_window(spark, path, None).agg(F.max("window_start").alias("upto"))
+    newest = read_window(spark, path, 1).agg(F.max("window_start").alias("upto"))
     newest.where("upto IS NOT NULL").write.mode("append").parquet(f"{path}/cleared")
 
 
@@ -107,10 +140,10 @@ def score_latest(
     forecaster: Callable[[DataFrame], DataFrame], n: int = 12
 ) -> Callable[[SparkSession, str, int], None]:
     """Hook for ``write_snapshots``: if ``n`` windows are there, writes the forecast for the
-    newest one as ``predictions/batch_id=<id>``.
+    newest one as ``predictions/batch_id=<id>`` and deletes those of earlier batches.
 
-    It reads the table, not the batch, so a restarted query scores at once when the window
-    was already full.  Readers take the row with the highest time stamp.
+    It reads the window table, not the batch, so a restarted query scores at once when the
+    window was already full.  Readers take the row with the highest time stamp.
     """
 
     def run(spark: SparkSession, path: str, batch_id: int) -> None:
@@ -119,5 +152,8 @@ def score_latest(
             forecaster(window).write.mode("overwrite").parquet(
                 f"{path}/predictions/batch_id={batch_id}"
             )
+            for old in _batches(spark, f"{path}/predictions"):
+                if old < batch_id:
+                    delete(spark, f"{path}/predictions/batch_id={old}")
 
     return run
