@@ -7,18 +7,19 @@ components of the links.
 1. One pass over the texts gives each document the size and a 128-bit digest of its set, and
    ``BANDS`` band keys over MinHash samples.  Documents of equal sets form a class at once, by
    an aggregate; only the smallest doc_id of a class goes on.
-2. Documents that share a band key are joined to the smallest doc_id with that key.  The
-   connected components of these candidate edges hold every link (a pair at the threshold
+2. Documents that share a band key are put into one candidate group, named after the smallest
+   doc_id with that key, so every two that share a key meet in a group (a pair at the threshold
    shares no key with a probability below ``MISS``).
-3. Each candidate component is cut into blocks of bounded size.  In a block, the MinHash
+3. Each candidate group is cut into blocks of bounded size.  In a block, the MinHash
    samples of every document are folded into a parity bitmap (odd sketch): a sample flips one
    of ``BITS`` bits.  The population count z of two bitmaps' XOR estimates the similarity as
    1 + BITS / (4 SAMPLES) ln(1 - 2 z / BITS); pairs within ``SIGMAS`` standard deviations of
-   the threshold are confirmed on their full sets.  Pairs already in one group are skipped, so
-   a block gives a spanning forest of its links, never all pairs.
-4. A component of several blocks shares ``ANCHORS`` documents among them, which joins most of
-   it.  What stays outside its largest group is then compared with the whole component, in
-   blocks: one block is held in memory while the other documents stream past it.
+   the threshold are confirmed on their full sets.  Pairs already linked to one another, by any
+   path, are skipped, so a block gives one link for each document, never all pairs.
+4. A candidate group of several blocks shares ``ANCHORS`` documents among them, which joins most
+   of it.  What stays outside its largest part is then compared with the whole group, in blocks:
+   one block is held in memory while the other documents stream past it.
+5. The connected components of all links are the result.
 
 Nothing is capped: a large group only means more blocks.
 
@@ -183,9 +184,18 @@ class _Block:
                 yield own, self.ids[other]
                 self.label[self.label == self.label[other]] = label
 
-    def links(self) -> Iterator[tuple[int, int]]:
+    def stars(self) -> pa.RecordBatch:
+        """Every document that the block's links join to others, with the smallest of them."""
+        self.close()
         for i in range(len(self.ids)):
-            yield from self.links_of(self.ids[i], self.sets[i], self.sketch[i], self.label[i], i + 1)
+            for _ in self.links_of(self.ids[i], self.sets[i], self.sketch[i], self.label[i], i + 1):
+                pass
+        ids = np.array(self.ids, np.int64)
+        _, part = np.unique(self.label, return_inverse=True)
+        least = np.full(len(ids), np.iinfo(np.int64).max)
+        np.minimum.at(least, part, ids)
+        root = least[part]
+        return _edges(list(zip(ids[root != ids].tolist(), root[root != ids].tolist(), strict=True)))
 
 
 def sets_of(texts: pa.Array, k: int) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
@@ -212,7 +222,7 @@ def _runs(batch: pa.RecordBatch, columns: int) -> Iterator[tuple[tuple, int, int
 
 
 def _within(k: int, percent: int):
-    """Rows (comp, block, id, label, text), sorted by the first two: the links in each block."""
+    """Rows (comp, block, id, label, text), sorted by the first two: the stars of each block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, block = None, None
@@ -220,8 +230,7 @@ def _within(k: int, percent: int):
             for now, a, b in _runs(batch, 2):
                 if now != key:
                     if block:
-                        block.close()
-                        yield _edges(list(block.links()))
+                        yield block.stars()
                     key, block = now, _Block(k, percent)
                 block.add(
                     batch.column(2).slice(a, b - a).to_pylist(),
@@ -229,8 +238,7 @@ def _within(k: int, percent: int):
                     batch.column(4).slice(a, b - a),
                 )
         if block:
-            block.close()
-            yield _edges(list(block.links()))
+            yield block.stars()
 
     return run
 
@@ -266,26 +274,26 @@ def _across(k: int, percent: int):
 
 
 def _blocks_of(sizes: DataFrame) -> DataFrame:
-    """Number of blocks of each component ``(comp, rows, bytes)``."""
+    """Number of blocks of each candidate group ``(comp, rows, bytes)``."""
     return sizes.select(
         "comp", F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int").alias("nb")
     )
 
 
 def _links(members: DataFrame, texts: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Links inside the blocks of ``members (id, n, comp)``; and the members of split components."""
+    """Links inside the blocks of ``members (id, n, comp)``; and the members of split groups."""
     nb = _blocks_of(members.groupBy("comp").agg(F.count("*").alias("rows"), F.sum(F.col("n") * 8).alias("bytes")))
     placed = members.join(nb, "comp")
     split = placed.where("nb > 1")
     anchor = F.row_number().over(_by_hash("comp"))
+    home = F.pmod(F.xxhash64("id"), F.col("nb")).cast("int")
     anchors = (
-        split.select("id", "comp", "nb", anchor.alias("r")).where(F.col("r") <= ANCHORS)
-        .select("id", "comp", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("block"))
+        split.select("id", "comp", "nb", home.alias("home"), anchor.alias("r")).where(F.col("r") <= ANCHORS)
+        .select("id", "comp", "home", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("block")).where("block <> home")
     )
-    own = placed.select("id", "comp", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int").alias("block"))
-    rows = own.unionAll(anchors.select("id", "comp", "block")).distinct()
+    rows = placed.select("id", "comp", home.alias("block")).unionAll(anchors.select("id", "comp", "block"))
     sent = (
-        rows.join(texts, "id").select("comp", F.col("block").cast("long").alias("block"), "id", F.col("id").alias("label"), "text")
+        rows.join(texts.hint("merge"), "id").select("comp", F.col("block").cast("long").alias("block"), "id", F.col("id").alias("label"), "text")
         .repartition("comp", "block").sortWithinPartitions("comp", "block")
     )
     return map_batches(sent, _within(k, percent), "a long, b long"), split.select("id", "n", "comp")
@@ -298,7 +306,7 @@ def _by_hash(key: str):
 
 
 def _rest(split: DataFrame, roots: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links between what lies outside a split component's largest group, and all of it."""
+    """Links between what lies outside the largest part of a split group, and all of it."""
     named = split.join(roots.withColumnRenamed("node", "id"), "id", "left").select(
         "id", "n", "comp", F.coalesce("root", "id").alias("label")
     )
@@ -322,7 +330,7 @@ def _rest(split: DataFrame, roots: DataFrame, texts: DataFrame, k: int, percent:
         F.pmod(F.xxhash64("id", F.lit(7)), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("moving"), "id", "label",
     )
     sent = (
-        held.unionAll(moving).join(texts, "id")
+        held.unionAll(moving).join(texts.hint("merge"), "id")
         .select(*[F.col(c).cast("long").alias(c) for c in ("comp", "block", "salt", "moving", "id", "label")], "text")
         .repartition("comp", "block", "salt").sortWithinPartitions("comp", "block", "salt", "moving")
     )
@@ -343,19 +351,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
         "neardup-members",
     )
     release(described)
-    reps = members.where("keys is not null").select(F.col("rep").alias("id"), F.explode("keys").alias("key"))
+    reps = members.where("keys is not null").select(F.col("rep").alias("id"), "n", F.explode("keys").alias("key"))
     shared = reps.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last")
-    near = components(reps.join(shared.select("key", "hub"), "key").where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")), "neardup-candidates")
-    sizes = members.where("keys is not null").groupBy(F.col("rep").alias("node")).agg(F.max("n").alias("n"))
-    candidates = stage(near.join(sizes, "node").select(F.col("node").alias("id"), "n", F.col("root").alias("comp")), "neardup-blocks")
-    release(near)
+    grouped = reps.join(shared.select("key", F.col("hub").alias("comp")), "key").groupBy("id", "comp").agg(F.max("n").alias("n"))
+    candidates = stage(grouped, "neardup-candidates")
     links, split = _links(candidates, texts, k, percent)
     links = stage(links, "neardup-links")
-    roots = components(links, "neardup-groups")
+    roots = components(links, "neardup-groups", check_first=False)
     if split.limit(1).count():
         more = stage(_rest(split, roots, texts, k, percent), "neardup-rest")
-        release(roots)
-        roots = components(links.unionAll(more), "neardup-groups")
+        joined = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more)
+        merged = components(joined, "neardup-groups", check_first=False)
+        release(roots, more)
+        roots = merged
+    release(candidates, links)
     component = F.when(F.col("rep").isNull(), F.col("id")).otherwise(F.coalesce("root", "rep"))
     return members.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
@@ -367,4 +376,4 @@ def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col:
     """``docs`` without the documents that are not their group's smallest doc_id."""
     key = free_name(docs, "gone_id")
     gone = near_duplicates(docs, k, percent, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(gone, quoted(id_col).cast("long") == F.col(key), "left_anti")
+    return docs.join(gone.hint("merge"), quoted(id_col).cast("long") == F.col(key), "left_anti")
