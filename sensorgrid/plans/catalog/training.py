@@ -12,8 +12,9 @@ from sensorgrid.operators.evaluate import forecast_metrics
 from sensorgrid.operators.indexing import canonical_nodes
 from sensorgrid.plans.catalog import tables as t
 from sensorgrid.plans.catalog.registry import query
-from sensorgrid.sinks import model_config as build_config
-from sensorgrid.staging import stage
+from sensorgrid.sinks import model_config as build_config, write_config
+from sensorgrid.sources import canonical_nodes_from_config, read_config
+from sensorgrid.staging import new_path, stage
 
 
 def series_and_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -144,6 +145,21 @@ def model_config(spark, sf_dir):
     ).withColumn("pos", F.col("pos").cast("bigint"))
 
 
+@query(
+    "config_nodes",
+    """SELECT row_number() OVER (ORDER BY id) - 1 AS pos, id AS node_id
+        FROM (SELECT DISTINCT CAST(sensor_id AS VARCHAR) AS id FROM series)""",
+    ("series",),
+)
+def config_nodes(spark, sf_dir):
+    """The node order that a written model configuration gives back."""
+    series, split = series_and_split(spark, sf_dir)
+    path = new_path(spark, "config")
+    write_config(build_config(series, split, canonical_nodes(series)), path)
+    nodes = canonical_nodes_from_config(read_config(spark, path))
+    return nodes.withColumn("pos", F.col("pos").cast("bigint"))
+
+
 _ERRORS = " UNION ALL ".join(
     f"SELECT {h} AS horizon, v11 AS f, v{11 + h} AS a FROM {_WINDOWS} WHERE split = 'val' AND last_step IS NOT NULL"
     for h in (1, 2, 3)
