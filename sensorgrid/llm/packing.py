@@ -47,7 +47,7 @@ GROUPS = 48
 END_ID = 1
 #: Words and bytes of words whose ids a task remembers.
 KNOWN_WORDS, KNOWN_BYTES = 400_000, 16 << 20
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 512
 
 
 #: Small letters (of ASCII, or any other characters) and then ASCII signs without "'" and "<".
