@@ -35,7 +35,7 @@ def folder(spark, tmp_path_factory):
             text += " " + items[i % 5][1]
         rows.append((i, text, "en", "s", len(text)))
     for i in (0, 1, 2, 3):  # near copies: a few words changed in every line
-        rows.append((200 + i, rows[i][1].replace(" of word", " of other", 1).replace("\n", " extra\n"), "en", "s", 1))
+        rows.append((200 + i, rows[i][1].replace(" of word", " of other", 1).replace("\n", " extra\n") + " extra", "en", "s", 1))
     rows += [(300, None, None, None, None), (301, "", "en", "s", 0), (None, prose(rng, 30), "en", "s", 3)]
     spark.createDataFrame(rows, KIND).write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
@@ -68,7 +68,7 @@ def test_stages_like_brute_force(spark, folder):
     stage = near(spark, stage, path)
     groups = near_brute(now, 5, 80)
     now = [(i, t) for i, t in now if i is None or groups[i] == i]
-    assert len(now) < len(groups) and stage.columns == docs.columns and held(stage) == now
+    assert any(groups[i] != i for i in groups) and stage.columns == docs.columns and held(stage) == now
 
     stage = unseen(spark, stage, path)
     now = [(i, t) for i, t in now if not any(x in t for _, x in items)]
