@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sensorgrid.llm.chat import chat_digest, chat_examples
 from sensorgrid.llm.common import table
 from sensorgrid.llm.decontaminate import contaminated
+from sensorgrid.llm.hardnegatives import hard_negatives
 from sensorgrid.llm.html import extract_text
 from sensorgrid.llm.licenses import scan_licenses
 from sensorgrid.llm.linededup import drop_repeated_lines
@@ -17,6 +18,8 @@ from sensorgrid.llm.neardup import near_duplicates
 from sensorgrid.llm.neighbours import nearest
 from sensorgrid.llm.packing import pack
 from sensorgrid.llm.quality import fit, held_out, score
+from sensorgrid.llm.spelling import spelling_variants
+from sensorgrid.llm.toxicity import fit_toxicity, score_toxicity
 from sensorgrid.llm.warc import round_trip
 
 #: Folder of the tokenizer files.
@@ -152,3 +155,88 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_html")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"))
+
+
+@query("op11_toxicity")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+@query(
+    "op12_hard_negatives",
+    """
+    WITH r AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * cast(x AS DOUBLE))) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), s AS (
+        SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS id,
+               cast(list_dot_product(a.v, b.v) AS BIGINT) AS score
+        FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+    ), p AS (
+        SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+    )
+    SELECT anchor_id, positive_id,
+           cast(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+           id AS negative_id, positive_score, score AS negative_score
+    FROM p JOIN s USING (anchor_id)
+    WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+    QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) <= 5
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.select("vec_id", "embedding", label.alias("label")), F.col("id") % 100 == 0)
+
+
+@query(
+    "op13_spelling_variants",
+    f"""
+    WITH RECURSIVE tab AS (
+        SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+            lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t
+    ), runs AS (
+        SELECT doc_id, run, count(*) AS n, hex(encode(coalesce(doc_id || '', '') || ':' || run)) AS h
+        FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{_ROWS[0]}', '{_ROWS[1]}'), '[a-zÀ-ÿ]{{7,}}')) AS run FROM documents)
+        GROUP BY doc_id, run
+    ), hashed AS (
+        SELECT run, n, xor(list_reduce(list_transform(range(length(h) // 2), lambda i: cast('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)),
+            lambda c, b: xor(c >> 8, t[cast(xor(c, b) & 255 AS BIGINT) + 1]), 4294967295), 4294967295) AS crc
+        FROM runs, tab
+    ), w AS (
+        SELECT word, cast(sum(n) AS BIGINT) AS n FROM (
+            SELECT n, CASE WHEN crc % 31 = 0 THEN left(run, crc % length(run)) || substr(run, crc % length(run) + 2) ELSE run END AS word
+            FROM hashed)
+        WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+    ), v AS (
+        SELECT word, n, i, left(word, i) || substr(word, i + 2) AS d FROM (SELECT word, n, unnest(range(length(word))) AS i FROM w)
+    ), near AS (
+        SELECT a.word, b.word AS near, b.n AS near_n FROM v a JOIN v b ON a.i = b.i AND a.d = b.d AND a.word <> b.word
+        UNION SELECT v.word, w.word, w.n FROM v JOIN w ON v.d = w.word
+        UNION SELECT w.word, v.word, v.n FROM v JOIN w ON v.d = w.word
+    ), best AS (
+        SELECT word, near AS form, near_n AS form_n, count(*) OVER (PARTITION BY word) AS n_near FROM near
+        QUALIFY row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) = 1
+    ), f AS (
+        SELECT w.word, CASE WHEN form_n >= 10 * w.n THEN form END AS form, w.n, coalesce(n_near, 0) AS n_near,
+               CASE WHEN form_n >= 10 * w.n THEN form_n END AS form_n
+        FROM w LEFT JOIN best ON w.word = best.word
+    ), chain AS (
+        SELECT word, word AS reached, 0 AS steps FROM f
+        UNION ALL SELECT chain.word, f.form, steps + 1 FROM chain JOIN f ON chain.reached = f.word WHERE f.form IS NOT NULL
+    )
+    SELECT f.word, form, root, n, n_near, form_n
+    FROM f JOIN (SELECT word, arg_max(reached, steps) AS root FROM chain GROUP BY word) r ON f.word = r.word
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -16,5 +16,5 @@ def test_query(spark, name):
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert "pipeline" in names and {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in names if n[:2] == "op" and n[2].isdigit()}
+    assert "pipeline" in names and {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in names if n[:2] == "op" and n[2].isdigit()}
     assert set(__spark_entry__.oracle_sql()) <= set(names)
