@@ -5,6 +5,7 @@ Each query runs its stream to the end of the available data and returns the writ
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sensorgrid import sources
@@ -12,9 +13,12 @@ from sensorgrid.functions import from_utc_wall
 from sensorgrid.operators import forecast as fc
 from sensorgrid.plans.catalog import tables as t
 from sensorgrid.plans.catalog.registry import query
-from sensorgrid.staging import names_in, new_path, stage
+from sensorgrid.staging import names_in, new_path, release, stage
 from sensorgrid.streaming import (
     archive_stream,
+    clear_window,
+    open_bucket_stream,
+    read_open,
     read_window,
     score_latest,
     snapshot_stream,
@@ -134,3 +138,92 @@ def score(spark, sf_dir):
         .select("timestamp", "node_id", "pos", "horizon", "flow")
         .distinct()
     )
+
+
+PARTS = 6
+
+
+def _by_offset(spark: SparkSession, sf_dir: str, path: str, after_batch=None, first=0, last=PARTS, initial=None, faults=0) -> None:
+    """The messages arrive as one file per range of offsets, each a micro-batch; the query is
+    stopped and started again half way, and also after each of so many faults."""
+    inbox = new_path(spark, "inbox")
+    rows = stage(t.messages(spark, sf_dir), "arriving")
+    width = rows.agg(F.max("offset").alias("m")).first().m // PARTS + 1
+    for part in range(first, last):
+        rows.where(F.floor(F.col("offset") / width) == part).coalesce(1).write.mode("append").parquet(inbox)
+        while part in (first + (last - first) // 2, last - 1):
+            arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+            run = open_bucket_stream(sources.decode(arriving), path, f"{path}/checkpoint-{first}", "5m", t.TZ, after_batch, ONCE, initial=initial)
+            try:
+                run.awaitTermination()
+                break
+            except StreamingQueryException:
+                faults -= 1
+                if faults < 0:
+                    raise
+    release(rows)
+
+
+# Buckets in which late messages are counted with the open one, but for those still open.
+_MONOTONE = """(SELECT window_start, sensor AS node_id, CAST(format('{:.2f}', avg(num)) AS DOUBLE) AS flow, count(*) AS num_samples
+    FROM (SELECT *, max(window_start) OVER (PARTITION BY part) AS newest FROM (
+        SELECT *, max(time_bucket(INTERVAL '5 minutes', make_timestamp(ms * 1000)))
+            OVER (PARTITION BY part ORDER BY off ROWS UNBOUNDED PRECEDING) AS window_start FROM timed))
+    WHERE window_start < newest AND sensor IS NOT NULL AND num IS NOT NULL GROUP BY 1, 2)"""
+
+
+@query("open_bucket_stream", f"SELECT * FROM {_MONOTONE}", ("timed",))
+def open_buckets(spark, sf_dir):
+    """Late messages join the open bucket; six micro-batches, a restart after the fourth."""
+    path = new_path(spark, "live")
+    _by_offset(spark, sf_dir, path)
+    return read_window(spark, path, None)
+
+
+@query("open_bucket_handover", f"SELECT * FROM {_MONOTONE}", ("timed",))
+def open_bucket_handover(spark, sf_dir):
+    """A new query, with a checkpoint and tables of its own, takes the open buckets of the one before
+    as its initial state."""
+    paths = [new_path(spark, "live") for _ in range(2)]
+    _by_offset(spark, sf_dir, paths[0], last=3)
+    _by_offset(spark, sf_dir, paths[1], first=3, initial=read_open(spark, paths[0]))
+    return read_window(spark, paths[0], None).unionByName(read_window(spark, paths[1], None))
+
+
+@query("push_commit_fault", f"SELECT * FROM {_MONOTONE}", ("timed",))
+def push_commit_fault(spark, sf_dir):
+    """The third micro-batch fails after its push and before its commit, once; it is repeated."""
+    path, failed = new_path(spark, "live"), []
+
+    def fail_once(session: SparkSession, _: str, batch_id: int) -> None:
+        if batch_id == 2 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("between push and commit")
+
+    _by_offset(spark, sf_dir, path, fail_once, faults=1)
+    if not failed:
+        raise RuntimeError("nothing failed")
+    return read_window(spark, path, None)
+
+
+@query(
+    "window_cleared",
+    f"""SELECT window_start, node_id, flow, num_samples FROM {_MONOTONE} WHERE window_start IN (
+        SELECT DISTINCT window_start FROM {_MONOTONE} WHERE window_start > (
+            SELECT max(window_start) FROM (SELECT window_start, max(window_start) OVER (PARTITION BY part) AS newest FROM (
+                SELECT part, max(time_bucket(INTERVAL '5 minutes', make_timestamp(ms * 1000)))
+                    OVER (PARTITION BY part ORDER BY off ROWS UNBOUNDED PRECEDING) AS window_start
+                FROM timed WHERE off // ((SELECT max(off) FROM msgs) // {PARTS} + 1) < 3)) WHERE window_start < newest)
+        ORDER BY 1 DESC LIMIT 12)""",
+    ("timed", "msgs"),
+)
+def window_cleared(spark, sf_dir):
+    """The window after half of the messages is cleared; what is pushed later fills it again."""
+    paths = [new_path(spark, "live") for _ in range(2)]
+    _by_offset(spark, sf_dir, paths[0], last=3)
+    state = stage(read_open(spark, paths[0]), "open")
+    clear_window(spark, paths[0])
+    if not read_window(spark, paths[0]).isEmpty():
+        raise RuntimeError("the window was not cleared")
+    _by_offset(spark, sf_dir, paths[0], first=3, initial=state)
+    return read_window(spark, paths[0])

@@ -47,13 +47,13 @@ def snapshot_stream(
     )
 
 
-def _batches(spark: SparkSession, path: str) -> list[int]:
+def batches(spark: SparkSession, path: str) -> list[int]:
     """Batch ids with a folder below ``path``, in order."""
     found = [name.removeprefix("batch_id=") for name in names_in(spark, path) if name.startswith("batch_id=")]
     return sorted(int(name) for name in found)
 
 
-def _write_batch(path: str, keep: int) -> Callable[[DataFrame, int], None]:
+def push_batch(path: str, keep: int) -> Callable[[DataFrame, int], None]:
     """Writes a batch to the table of snapshots, and the ``keep`` newest windows to the window
     table.  A repeated batch starts from the same state and replaces its own folders, so a retry
     never doubles rows; the state before it is kept for that, older ones are deleted."""
@@ -62,7 +62,7 @@ def _write_batch(path: str, keep: int) -> Callable[[DataFrame, int], None]:
         spark = batch.sparkSession
         batch.write.mode("overwrite").parquet(f"{path}/snapshots/batch_id={batch_id}")
         pushed = spark.read.schema(SNAPSHOT_COLUMNS).parquet(f"{path}/snapshots/batch_id={batch_id}")
-        earlier = [b for b in _batches(spark, f"{path}/window") if b < batch_id]
+        earlier = [b for b in batches(spark, f"{path}/window") if b < batch_id]
         rows = pushed
         if earlier:
             state = spark.read.schema(SNAPSHOT_COLUMNS).parquet(f"{path}/window/batch_id={earlier[-1]}")
@@ -87,7 +87,7 @@ def write_snapshots(
     """Appends closed buckets to the table below ``path``, keeps the ``keep`` newest windows in a
     table of their own, and then calls ``after_batch``.  The work of a batch is bounded by the
     batch and these windows, however long the stream has run."""
-    push = _write_batch(path, keep)
+    push = push_batch(path, keep)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         push(batch, batch_id)
@@ -124,7 +124,7 @@ def read_window(spark: SparkSession, path: str, n: int | None = 12) -> DataFrame
     if n is None:
         rows = _read(spark, f"{path}/snapshots", SNAPSHOT_SCHEMA).drop("batch_id")
     else:
-        newest = _batches(spark, f"{path}/window")[-1:]
+        newest = batches(spark, f"{path}/window")[-1:]
         rows = _read(spark, f"{path}/window/batch_id={newest[0] if newest else 'none'}", SNAPSHOT_COLUMNS)
     rows = _not_cleared(spark, path, rows)
     return rows if n is None else last_n_snapshots(rows, n)
@@ -152,7 +152,7 @@ def score_latest(
             forecaster(window).write.mode("overwrite").parquet(
                 f"{path}/predictions/batch_id={batch_id}"
             )
-            for old in _batches(spark, f"{path}/predictions"):
+            for old in batches(spark, f"{path}/predictions"):
                 if old < batch_id:
                     delete(spark, f"{path}/predictions/batch_id={old}")
 

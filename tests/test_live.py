@@ -10,7 +10,7 @@ from sensorgrid import sources
 from sensorgrid.operators import forecast as fc
 from sensorgrid.operators import snapshots as sn
 from sensorgrid.streaming import (
-    archive_stream, clear_window, read_window, score_latest, snapshot_stream, write_snapshots,
+    archive_stream, clear_window, open_bucket_stream, read_open, read_window, score_latest, snapshot_stream, write_snapshots,
 )
 from tests.helpers import at, utc
 
@@ -145,6 +145,54 @@ def test_snapshot_stream_restarts_and_scores(spark, tmp_path):
     assert read_window(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_late_messages_join_the_open_bucket(spark, tmp_path):
+    source, table, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
+    offset = iter(range(1000))
+
+    def feed(name, *values, partition=0):
+        rows = [(json.dumps(v), partition, next(offset), at(0)) for v in values]
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{source}/{name}")
+
+    def run(folder=table, initial=None, after=None):
+        stream = sources.decode(_stream(spark, source))
+        open_bucket_stream(stream, folder, f"{state}{folder[-3:]}", "5m", "+07:00", after, ONCE, initial=initial).awaitTermination()
+        return {(utc(r.window_start), r.node_id): (r.flow, r.num_samples) for r in read_window(spark, folder, None).collect()}
+
+    def still_open(folder=table):
+        return {(r.partition, utc(r.bucket), r.node_id): (r.total, r.num_samples) for r in read_open(spark, folder).collect()}
+
+    feed("a", _message(1), _message(2, count=6.0), _message(6, count=10.0))
+    assert run() == {(at(0), "1"): (5.0, 2)}
+    assert still_open() == {(0, at(5), "1"): (10.0, 1)}
+    # Late by a bucket, by an hour before the start; no sample, but it opens the next bucket.
+    feed("b", _message(2, count=20.0), _message(-60, count=30.0), _message(1, "2", 7.0), _message(11, count=None))
+    want = {(at(0), "1"): (5.0, 2), (at(5), "1"): (20.0, 3), (at(5), "2"): (7.0, 1)}
+    assert run() == want and still_open() == {(0, at(10), None): (0.0, 0)}
+    assert run() == want
+    # Another partition has a bucket of its own; nothing is closed by it.
+    feed("c", _message(3, "9"), _message(8, "9"), {"sensor_id": "9", "count": 1, "ts": 0}, partition=1)
+    want[at(0), "9"] = (4.0, 1)
+    assert run() == want and still_open() == {(0, at(10), None): (0.0, 0), (1, at(5), "9"): (4.0, 1)}
+    failed = []
+
+    def fail_once(session, path, batch_id):
+        if not failed:
+            failed.append(batch_id)
+            raise RuntimeError("between push and commit")
+
+    feed("d", _message(0, count=5.0), _message(30))
+    with pytest.raises(Exception, match="between push and commit"):
+        run(after=fail_once)
+    want[at(10), "1"] = (5.0, 1)
+    assert run(after=fail_once) == want and failed
+    handed = read_open(spark, table)
+    fresh = str(tmp_path / "new")
+    source = str(tmp_path / "in2")
+    feed("e", _message(1, count=8.0), _message(40))
+    assert run(fresh, handed) == {(at(30), "1"): (6.0, 2)}
+    assert still_open(fresh)[1, at(5), "9"] == (4.0, 1)
+
+
 def test_archive_stream_appends_after_restart(spark, tmp_path):
     source, target, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
 
