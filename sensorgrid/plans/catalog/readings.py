@@ -13,8 +13,8 @@ from sensorgrid.operators import sequence as s
 from sensorgrid.operators.indexing import canonical_nodes
 from sensorgrid.plans.catalog import tables as t
 from sensorgrid.plans.catalog.registry import query
-from sensorgrid.sources import flatten_history, flatten_strict, history_rejects, read_wide_panel
-from sensorgrid.staging import new_path
+from sensorgrid.sources import flatten_history, flatten_strict, history_rejects, read_history, read_history_rejects, read_wide_panel
+from sensorgrid.staging import move, names_in, new_path, stage
 
 AS_OF = datetime(2024, 1, 25, tzinfo=timezone.utc)
 
@@ -79,6 +79,59 @@ def scan_nested_history(spark, sf_dir):
     return flatten_history(nested_documents(spark, sf_dir)).select("ts", "sensor_id", "count")
 
 
+def _history_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document with all dates, one line of text per date and each record of many kinds.
+
+    Dates and sensors follow each other in order, so the lines, written in that order, are a whole
+    document; one of 50 records holds an object and a brace in a string.
+    """
+    rows = t.events(spark, sf_dir).select(
+        fn.local_date(F.col("ts"), t.TZ).cast("string").alias("date"), F.col("user_id").alias("sensor"), _file_name().alias("name"),
+        F.when(F.col("k") % 10 != 9, F.col("value")).alias("count"), "event_id",
+    )
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('": '))
+    odd = F.when(F.col("event_id") % 50 == 0, ', "more": {"brace": "}{\\"", "list": [1, {}]}').otherwise("")
+    number = F.when(F.col("count").isNull(), "").otherwise(F.concat(F.lit('"count": '), F.col("count").cast("string"), F.lit(", ")))
+    record = F.concat(quoted(F.col("name")), F.lit("{"), number, F.lit('"camera": "c"'), odd, F.lit("}"))
+    # A sensor's records of a day and a day's sensors: bounded groups.
+    sensors = rows.groupBy("date", "sensor").agg(F.array_join(F.array_sort(F.collect_list(record)), ", ").alias("files"))
+    sensor = F.concat(quoted(F.col("sensor").cast("string")), F.lit("{"), F.col("files"), F.lit("}"))
+    days = sensors.groupBy("date").agg(F.array_join(F.array_sort(F.collect_list(sensor)), ", ").alias("sensors"))
+    return days.select("date", F.concat(quoted(F.col("date")), F.lit("{"), F.col("sensors"), F.lit("}")).alias("value"))
+
+
+@query(
+    "scan_history_ranges",
+    f"""SELECT date_trunc('millisecond', ts) AS ts, user_id AS sensor_id,
+        CASE WHEN k % 10 = 9 THEN 0 ELSE value END AS count
+        FROM {_NAMES} WHERE k >= 15""",
+    ("ev",),
+)
+def scan_history_ranges(spark, sf_dir):
+    """A single file with all dates, read in many byte ranges."""
+    path = new_path(spark, "history")
+    days = _history_lines(spark, sf_dir)
+    first = days.agg(F.min("date").alias("m")).scalar()
+    lines = days.select("date", F.concat(F.when(F.col("date") == first, "{").otherwise(", "), "value").alias("value"))
+    end = spark.range(1).select(F.lit("9999").alias("date"), F.lit("}").alias("value"))
+    # One file is the point of this query.
+    lines.unionAll(end).coalesce(1).sortWithinPartitions("date").select("value").write.text(path)
+    for name in names_in(spark, path):
+        if name.startswith("part-"):
+            move(spark, f"{path}/{name}", f"{path}/all.json")
+    before = {name: spark.conf.get(name, None) for name in _SMALL_RANGES}
+    for name, size in _SMALL_RANGES.items():
+        spark.conf.set(name, size)
+    try:
+        return stage(read_history(spark, path).select("ts", "sensor_id", "count"), "read-history")
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+_SMALL_RANGES = {"spark.sql.files.maxPartitionBytes": "200k", "spark.sql.files.openCostInBytes": "0"}
+
+
 #: Kinds of broken parts, by the event's number.
 _BROKEN = {0: "record is not an object", 1: "count is not a number", 2: "date is not an object", 3: "document is not an object"}
 

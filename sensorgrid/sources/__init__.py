@@ -15,7 +15,13 @@ from sensorgrid.sources.graph import (
     read_metadata,
     sensor_metadata,
 )
-from sensorgrid.sources.history import flatten_history, flatten_strict, history_rejects, read_history
+from sensorgrid.sources.history import (
+    flatten_history,
+    flatten_strict,
+    history_rejects,
+    read_history,
+    read_history_rejects,
+)
 from sensorgrid.sources.messages import (
     accepted,
     decode,
@@ -47,6 +53,7 @@ __all__ = [
     "read_config",
     "read_graph",
     "read_history",
+    "read_history_rejects",
     "read_metadata",
     "read_wide_panel",
     "select_by_date",

@@ -1,7 +1,8 @@
 """Nested history documents: ``{date: {sensor: {file name: {count, timestamp}}}}``.
 
-The time of a record is carried in its file name.  A document is parsed in one piece, so
-keep histories as one file per date (or finer); files are the unit of parallelism.
+The time of a record is carried in its file name.  ``read_history`` reads files in byte ranges
+(``pieces``), so one file may hold all dates; documents that are rows of a table are parsed in one
+piece each.
 """
 
 from __future__ import annotations
@@ -15,9 +16,11 @@ from sensorgrid.functions import (
     filename_epoch_lenient,
     filename_epoch_strict,
     local_wall,
+    normalize_sensor_id,
 )
 from sensorgrid.functions.once import with_once
 from sensorgrid.sources.dated import between_dates
+from sensorgrid.sources.pieces import history_parts
 
 
 def read_documents(
@@ -36,24 +39,49 @@ def read_documents(
     return between_dates(files, since, until)
 
 
+def file_records(spark: SparkSession, path: str, since: date | None = None, until: date | None = None) -> DataFrame:
+    """``history_records`` of all files below ``path``, read in byte ranges (runs jobs)."""
+    parts, whole = history_parts(spark, path, since, until)
+    out = _parsed(parts.select("date", "sensor", "filename", F.col("text").alias("_t3"), F.col("reason").alias("_r3")))
+    return out.unionByName(history_records(spark.read.text(whole, wholetext=True))) if whole else out
+
+
 def read_history(
     spark: SparkSession, path: str, source: str = "history", since: date | None = None, until: date | None = None
 ) -> DataFrame:
-    return flatten_history(read_documents(spark, path, since, until), source=source)
+    return _readings(file_records(spark, path, since, until).where("reason is null"), source)
+
+
+def read_history_rejects(spark: SparkSession, path: str, since: date | None = None, until: date | None = None) -> DataFrame:
+    """What ``read_history`` leaves out, as ``history_rejects``."""
+    return _rejects(file_records(spark, path, since, until))
 
 
 _LEVEL = "map<string,string>"
+_RECORD = "struct<count: string, timestamp: array<int>>"
 
 
 def history_records(docs: DataFrame, value: str = "value") -> DataFrame:
     """``date, sensor, filename, record, reason``: every record of every document, and every part
     that is none.
 
-    Each level is parsed on its own, so a part of another shape costs that part and nothing
-    beside it.  ``reason`` is NULL for usable records; a document that does not parse, a cut off
-    one for example, gives one row.  Empty documents and levels hold no records.
+    ``reason`` is NULL for usable records; a document that does not parse, a cut off one for
+    example, gives one row.  Empty documents and levels hold no records.  A document whose parts
+    all have the expected shape is parsed at once; of others each level is parsed on its own, so a
+    part of another shape costs that part and nothing beside it.
     """
-    rows = with_once(docs.select(F.col(value).alias("_text")), F.from_json("_text", _LEVEL).alias("_dates"))
+    shape = F.from_json("_text", f"map<string,map<string,map<string,{_RECORD}>>>").alias("_dates")
+    rows = with_once(docs.select(F.col(value).alias("_text")), shape)
+    full = lambda fits: lambda m: m.isNotNull() & F.forall(F.map_values(m), fits)
+    regular = F.coalesce(full(full(full(lambda r: r.isNotNull())))(F.col("_dates")), F.lit(False))
+    days = rows.where(regular).select(F.explode("_dates").alias("date", "_sensors"))
+    sensors = days.select("date", F.explode("_sensors").alias("sensor", "_files"))
+    good = sensors.select("date", "sensor", F.explode("_files").alias("filename", "_record"))
+    return _checked(good, F.lit(None)).unionByName(_by_level(rows.where(~regular).select("_text")))
+
+
+def _by_level(docs: DataFrame) -> DataFrame:
+    rows = with_once(docs, F.from_json("_text", _LEVEL).alias("_dates"))
     whole = rows.select(
         F.when(F.col("_dates").isNull(), "document is not an object").alias("_r1"), F.explode_outer("_dates").alias("date", "_t1")
     ).where("_r1 is not null or date is not null")
@@ -67,53 +95,65 @@ def history_records(docs: DataFrame, value: str = "value") -> DataFrame:
         F.coalesce("_r2", F.when(F.col("_files").isNull(), "sensor is not an object")).alias("_r3"),
         F.explode_outer("_files").alias("filename", "_t3"),
     ).where("_r3 is not null or filename is not null")
-    fields = F.from_json("_t3", "struct<count: string, timestamp: array<int>>").alias("_record")
-    parsed = with_once(sensors, fields, F.trim(F.col("_t3")).startswith("{").alias("_object"))
+    return _parsed(sensors)
+
+
+def _parsed(sensors: DataFrame) -> DataFrame:
+    """Records from their text ``_t3``; rows with a reason ``_r3`` already are passed on."""
+    fields = F.from_json("_t3", _RECORD).alias("_record")
+    rows = with_once(sensors, fields, F.trim(F.col("_t3")).startswith("{").alias("_object"))
+    none = ~F.coalesce("_object", F.lit(False)) | F.col("_record").isNull()
+    return _checked(rows, F.coalesce("_r3", F.when(none, "record is not an object")))
+
+
+def _checked(rows: DataFrame, reason: Column) -> DataFrame:
     count = F.col("_record.count")
-    reason = F.coalesce(
-        "_r3",
-        F.when(~F.coalesce("_object", F.lit(False)) | F.col("_record").isNull(), "record is not an object"),
-        F.when(count.isNotNull() & count.try_cast("double").isNull(), "count is not a number"),
-    )
-    return parsed.select(
+    wrong = F.when(count.isNotNull() & count.try_cast("double").isNull(), "count is not a number")
+    return rows.select(
         "date", "sensor", "filename",
         F.struct(count.try_cast("double").alias("count"), F.col("_record.timestamp").alias("timestamp")).alias("record"),
-        reason.alias("reason"),
+        F.coalesce(reason, wrong).alias("reason"),
     )
 
 
+def _rejects(rows: DataFrame) -> DataFrame:
+    late = F.when(filename_epoch_lenient(F.col("filename")).isNull(), "no time in the file name").when(
+        normalize_sensor_id(F.col("sensor")).isNull(), "no sensor"
+    )
+    reason = F.coalesce(F.col("reason"), late)
+    return rows.select("date", "sensor", "filename", reason.alias("reason")).where("reason is not null")
+
+
 def history_rejects(docs: DataFrame, value: str = "value") -> DataFrame:
     """Side output: ``date, sensor, filename, reason`` of everything ``flatten_history`` leaves out."""
-    rows = history_records(docs, value)
-    timeless = F.when(filename_epoch_lenient(F.col("filename")).isNull(), "no time in the file name")
-    reason = F.coalesce(F.col("reason"), timeless)
-    return rows.select("date", "sensor", "filename", reason.alias("reason")).where("reason is not null")
+    return _rejects(history_records(docs, value))
 
 
 def _records(docs: DataFrame, value: str) -> DataFrame:
     return history_records(docs, value).where("reason is null").drop("reason")
 
 
+def _readings(records: DataFrame, source: str) -> DataFrame:
+    epoch, sensor = filename_epoch_lenient(F.col("filename")), normalize_sensor_id(F.col("sensor"))
+    return records.select("filename", "record", epoch.alias("epoch_ms"), sensor.alias("sensor_id")).where(
+        "epoch_ms is not null and sensor_id is not null"
+    ).select(
+        epoch_ms_to_ts(F.col("epoch_ms")).alias("ts"),
+        "sensor_id",
+        F.coalesce(F.col("record.count"), F.lit(0.0)).alias("count"),
+        F.lit(source).alias("source"),
+        F.col("epoch_ms").alias("seq"),
+        F.col("filename").alias("tie"),
+    )
+
+
 def flatten_history(docs: DataFrame, value: str = "value", source: str = "history") -> DataFrame:
     """Readings of all documents; what is left out is in ``history_rejects``.
 
-    A missing count is 0.  ``seq`` is the epoch value; records of equal time and sensor are
-    told apart by ``tie``, the file name.
+    A missing count is 0; ``node_007`` is sensor 7.  ``seq`` is the epoch value; records of equal
+    time and sensor are told apart by ``tie``, the file name.
     """
-    epoch = filename_epoch_lenient(F.col("filename"))
-    return (
-        _records(docs, value)
-        .withColumn("epoch_ms", epoch)
-        .where(F.col("epoch_ms").isNotNull())
-        .select(
-            epoch_ms_to_ts(F.col("epoch_ms")).alias("ts"),
-            F.col("sensor").try_cast("bigint").alias("sensor_id"),
-            F.coalesce(F.col("record.count"), F.lit(0.0)).alias("count"),
-            F.lit(source).alias("source"),
-            F.col("epoch_ms").alias("seq"),
-            F.col("filename").alias("tie"),
-        )
-    )
+    return _readings(_records(docs, value), source)
 
 
 def flatten_strict(

@@ -56,6 +56,11 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
     return [entry.getPath().getName() for entry in files.listStatus(where)] if files.exists(where) else []
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    where, files = _folder(spark, path)
+    files.rename(where, spark._jvm.org.apache.hadoop.fs.Path(to))
+
+
 def delete(spark: SparkSession, path: str) -> None:
     where, files = _folder(spark, path)
     files.delete(where, True)

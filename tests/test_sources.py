@@ -1,4 +1,6 @@
 import json
+import random
+from collections import Counter
 from datetime import date, datetime
 
 import pytest
@@ -24,9 +26,14 @@ def test_history_files(spark, tmp_path):
 
 
 def test_history_edges(spark):
-    doc = {"d": {"1": {"x_1704067200000.txt": {}, "bad.txt": {"count": 9}}, "s": {"y_1704067200000.txt": {"count": 4}}}}
+    doc = {"d": {"1": {"x_1704067200000.txt": {}, "bad.txt": {"count": 9}}, "s": {"y_1704067200000.txt": {"count": 4}},
+                 "node_007": {"z_1704067200000.txt": {"count": 3}}}}
     got = {(r.sensor_id, r["count"]) for r in sources.flatten_history(_docs(spark, doc, "not json")).collect()}
-    assert got == {(1, 0.0), (None, 4.0)}
+    assert got == {(1, 0.0), (7, 3.0)}
+    bad = sources.history_rejects(_docs(spark, doc, "not json")).collect()
+    assert {(r.sensor, r.filename, r.reason) for r in bad} == {
+        ("1", "bad.txt", "no time in the file name"), ("s", "y_1704067200000.txt", "no sensor"), (None, None, "document is not an object")
+    }
 
 
 def test_history_rejects(spark):
@@ -50,6 +57,63 @@ def test_history_rejects(spark):
     ]
 
 
+def _random_document(rng):
+    """Records of all kinds, some with objects and braces inside, and parts of other shapes."""
+    def record(i):
+        return rng.choice([
+            {"count": i}, {"count": i, "timestamp": [7, 30]}, {}, {"count": None, "note": 'a}{"\\'}, {"more": {"a": [{}, {"b": {}}]}, "count": i},
+            {"count": "many"}, 7, [1, {"count": 2}], None, "text }", {"count": i, "é}": "ü" * 40},
+        ])
+
+    def sensor(s):
+        files = {f"f{i}_{1704067200000 + 1000 * i}.txt" if i % 9 else f"f{i}": record(i) for i in range(rng.randrange(40))}
+        return rng.choice([files, files, files, {}, 5, [{}], None])
+
+    days = {}
+    for d in range(rng.randrange(1, 6)):
+        days[f"2024-01-0{d + 1}"] = rng.choice([{str(s): sensor(s) for s in range(rng.randrange(12))}] * 6 + [3, [], {}])
+    return days
+
+
+@pytest.mark.parametrize("size, many", [("400", 3), ("4000", 12), ("20000", 30)])
+def test_files_in_byte_ranges(spark, tmp_path, size, many):
+    """Any range size gives the rows and rejects of documents that are parsed in one piece."""
+    rng = random.Random(size)
+    texts = []
+    for i in range(many):
+        doc = _random_document(rng)
+        text = json.dumps(doc, indent=rng.choice([None, None, 1]), ensure_ascii=bool(i % 2)) + rng.choice(["", "", "\n", " \n\n"])
+        texts.append(text[: rng.randrange(len(text) - 1)] if i % 8 == 0 else text)
+    texts += ["[]", "5", '[{"a": 1}]', "{", "{}", '{"2024-01-01": {"1": {"a}b_1704067200000.txt": {"count": 8}, "c_1704067200001.txt": {"count": 1}}}}']
+    texts += [json.dumps({"2024-01-01": {"1": {f"a}}b{i}_{1704067200000 + i}.txt": {"count": i} for i in range(60)}}})]
+    for i, text in enumerate(texts):
+        (tmp_path / f"{i}.json").write_text(text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = Counter(map(tuple, sources.read_history(spark, str(tmp_path)).select("ts", "sensor_id", "count", "tie").collect()))
+        bad = Counter(map(tuple, sources.read_history_rejects(spark, str(tmp_path)).collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    docs = _docs(spark, *[t for t in texts if t])
+    assert got == Counter(map(tuple, sources.flatten_history(docs).select("ts", "sensor_id", "count", "tie").collect()))
+    assert bad == Counter(map(tuple, sources.history_rejects(docs).collect()))
+    assert len(got) > 7 * many and len(bad) > many
+
+
+def test_one_file_many_tasks(spark, tmp_path):
+    doc = {f"2024-01-{d:02d}": {str(s): {f"x_{1704067200000 + 1000 * i}.txt": {"count": i} for i in range(50)} for s in range(20)} for d in range(1, 21)}
+    (tmp_path / "all.json").write_text(json.dumps(doc))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        rows = sources.read_history(spark, str(tmp_path)).withColumn("task", F.spark_partition_id())
+        per_task = [r["count"] for r in rows.groupBy("task").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sum(per_task) == 20_000 and len(per_task) >= 6 and max(per_task) < 6000
+
+
 def test_only_files_of_the_dates_are_read(spark, tmp_path):
     for day in range(1, 8):
         folder = tmp_path / f"dump_date=2024-01-0{day}"
