@@ -3,20 +3,26 @@
 The linear model keeps the task of a graph network for such data (12 steps in, 3 steps
 out, neighbours at t and t-1, recursive decoding) in a form that is trained and scored as
 Spark jobs: one model for all sensors, with only its coefficients on the driver.
+
+Windows are never written out: a window is an offset into a chunk of ``chunked_series``, and tasks
+work on the chunks' arrays.  One pass adds up the products of all features and the target; the
+normal equations of every penalty are solved from this one matrix.  All penalties are decoded
+together, step by step, and only the forecasts of a step are exchanged between neighbours.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import LinearRegression
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sensorgrid.functions import parse_duration
-from sensorgrid.operators.evaluate import forecast_metrics
 from sensorgrid.operators.graph import join_links, neighbors
-from sensorgrid.staging import stage
+from sensorgrid.operators.training import CHUNK, chunked_series
+from sensorgrid.staging import release, stage
+
 
 def forecast_persistence(
     snapshot: DataFrame,
@@ -94,117 +100,194 @@ def neighbor_means(values: DataFrame, edges: DataFrame, key: list[str], **means:
     )
 
 
-def windows_with_neighbors(windows: DataFrame, edges: DataFrame) -> DataFrame:
-    """Adds ``nb_t`` and ``nb_t1``: neighbour means at the last and the previous input step.
-    A sensor without neighbours uses its own values."""
-    key = ["split", "start_idx"]
-    last, previous = F.element_at("x", -1), F.element_at("x", -2)
-    means = neighbor_means(windows, edges, key, nb_t=last, nb_t1=previous)
-    return windows.join(means, ["sensor_id", *key], "left").withColumns(
-        {"nb_t": F.coalesce("nb_t", last), "nb_t1": F.coalesce("nb_t1", previous)}
-    )
+def model_chunks(
+    series: DataFrame, split: DataFrame, edges: DataFrame, factor: Column | None = None, input_len: int = 12, output_len: int = 3,
+    encoding: DataFrame | None = None, chunk: int = CHUNK,
+) -> DataFrame:
+    """``chunked_series`` of the values and the neighbours' means beside them (a sensor without
+    neighbours uses its own values), with the columns of ``encoding``."""
+    means = neighbor_means(series, edges, ["pos"], nb=F.col("value"))
+    rows = series.join(means, ["sensor_id", "pos"], "left").withColumn("nb", F.coalesce("nb", "value"))
+    chunks = chunked_series(rows, split, input_len + output_len, factor, chunk, ("value", "nb"))
+    if encoding is not None:
+        chunks = chunks.join(encoding, "sensor_id", "left").fillna(0.0, [c for c in encoding.columns if c != "sensor_id"])
+    return chunks
 
 
 @dataclass(frozen=True)
 class GraphModel:
-    """Coefficients of the linear model: the lags oldest first, then the two neighbour means,
-    then the encoding columns."""
+    """Coefficients of the linear model: the lags oldest first, then the neighbours' means, newest
+    first, then the encoding columns."""
 
     coefficients: tuple[float, ...]
     intercept: float
     input_len: int
+    neighbor_steps: int = 2
     extra: tuple[str, ...] = ()
     reg_param: float = 0.0
 
-    def predict(self) -> Column:
-        terms = [F.get("x", i) * F.lit(c) for i, c in enumerate(self.coefficients[: self.input_len])]
-        names = ("nb_t", "nb_t1", *self.extra)
-        terms += [F.col(n) * F.lit(c) for n, c in zip(names, self.coefficients[self.input_len :])]
-        out = F.lit(self.intercept)
-        for term in terms:
-            out = out + term
-        return F.greatest(out, F.lit(0.0))
+    def predict(self, features: np.ndarray) -> np.ndarray:
+        return np.maximum(features @ np.array(self.coefficients) + self.intercept, 0.0)
 
 
-def fit(windows: DataFrame, input_len: int = 12, extra: tuple[str, ...] = (), reg_param: float = 0.0) -> GraphModel:
-    """One linear model for the next step of every sensor (MLlib; runs jobs)."""
-    features = F.concat(
-        F.col("x"), F.array("nb_t", "nb_t1", *extra).cast("array<double>")
-    )
-    rows = windows.select(array_to_vector(features).alias("features"), F.get("y", 0).alias("label"))
-    model = LinearRegression(regParam=reg_param, solver="normal").fit(rows)
-    return GraphModel(
-        tuple(float(c) for c in model.coefficients), float(model.intercept), input_len, extra, reg_param
-    )
+def _offsets(row, need: int, chunk: int) -> np.ndarray:
+    """Offsets of the windows of a chunk; of those without a gap only."""
+    out = np.arange(max(0, min(len(row.value) - need + 1, chunk)))
+    for gap in row.gaps:
+        out = out[(out + need <= gap) | (out > gap)]
+    return out
 
 
-def score(windows: DataFrame, edges: DataFrame, model: GraphModel, steps: int = 3) -> DataFrame:
-    """``sensor_id, split, start_idx, horizon, flow, actual``, each step fed by the one before
-    (runs a job per step but the last)."""
-    key = ["split", "start_idx"]
-    state = windows
-    parts = []
+def _features(row, at: np.ndarray, past: list[np.ndarray], near: list[np.ndarray], shape: tuple[int, int, tuple[str, ...]]) -> np.ndarray:
+    """Features of the step after ``past``: earlier forecasts and their neighbours' means."""
+    input_len, neighbor_steps, extra = shape
+    value, nb, h = np.asarray(row.value, float), np.asarray(row.nb, float), len(past)
+    lags = [value[at + i] for i in range(h, input_len)] + past[max(0, h - input_len) :]
+    means = (near[::-1] + [nb[at + input_len - 1 - i] for i in range(neighbor_steps)])[:neighbor_steps]
+    return np.column_stack([*lags, *means, *[np.full(len(at), float(getattr(row, e))) for e in extra]])
+
+
+def _moments(chunks: DataFrame, shape: tuple[int, int, tuple[str, ...]], need: int, chunk: int) -> np.ndarray:
+    """Sums of products of a one, the features and the target over all training windows, one
+    partial sum per task, added up in Spark."""
+    width = 2 + shape[0] + shape[1] + len(shape[2])
+
+    def partial(frames):
+        total = np.zeros((width, width))
+        for frame in frames:
+            for row in frame.itertuples():
+                at = _offsets(row, need, chunk)
+                if len(at):
+                    x = _features(row, at, [], [], shape)
+                    block = np.column_stack([np.ones(len(at)), x, np.asarray(row.value, float)[at + shape[0]]])
+                    total += block.T @ block
+        yield pd.DataFrame({"i": np.arange(width * width), "v": total.ravel()})
+
+    names = ["value", "nb", "gaps", *shape[2]]
+    parts = chunks.where("split = 'train'").select(*names).mapInPandas(partial, "i INT, v DOUBLE")
+    out = np.zeros(width * width)
+    for row in parts.groupBy("i").agg(F.sum("v").alias("v")).collect():
+        out[row["i"]] = row["v"]
+    return out.reshape(width, width)
+
+
+def solve(moments: np.ndarray, reg_param: float) -> tuple[np.ndarray, float]:
+    """Coefficients and intercept that minimise the mean squared error / 2 plus ``reg_param`` / 2 times
+    the squares of the coefficients in units of the features' deviations."""
+    mean = moments[0] / max(moments[0, 0], 1.0)
+    cov = moments / max(moments[0, 0], 1.0) - np.outer(mean, mean)
+    x, y = slice(1, -1), -1
+    left = cov[x, x] + reg_param * np.diag(np.diag(cov[x, x]))
+    # Constant features have no variance; the shortest solution gives them no weight.
+    weights = np.linalg.lstsq(left, cov[x, y], rcond=1e-12)[0]
+    return weights, float(mean[y] - mean[x] @ weights)
+
+
+def fit(
+    chunks: DataFrame, input_len: int = 12, output_len: int = 3, extra: tuple[str, ...] = (), reg_params: tuple[float, ...] = (0.0,),
+    neighbor_steps: int = 2, chunk: int = CHUNK,
+) -> list[GraphModel]:
+    """A linear model for the next step of every sensor for each penalty (one pass over the chunks)."""
+    shape = (input_len, neighbor_steps, extra)
+    moments = _moments(chunks, shape, input_len + output_len, chunk)
+    out = []
+    for reg in reg_params:
+        weights, intercept = solve(moments, reg)
+        out.append(GraphModel(tuple(map(float, weights)), intercept, input_len, neighbor_steps, extra, reg))
+    return out
+
+
+def _decode(models: list[GraphModel], step: int, need: int, chunk: int, names: list[str]):
+    """Adds the forecasts of a step, an array of each model by window, to the rows of chunks."""
+    first = models[0]
+    shape = (first.input_len, first.neighbor_steps, first.extra)
+
+    def run(frames):
+        for frame in frames:
+            new = [[] for _ in models]
+            for row in frame.itertuples():
+                at = _offsets(row, need, chunk)
+                for m, model in enumerate(models):
+                    past = [np.asarray(getattr(row, f"p{h}_{m}"), float) for h in range(1, step)]
+                    near = [np.asarray(getattr(row, f"nb{h}_{m}"), float) for h in range(1, step)]
+                    new[m].append(model.predict(_features(row, at, past, near, shape)) if len(at) else np.zeros(0))
+            for m in range(len(models)):
+                frame[f"p{step}_{m}"] = new[m]
+            yield frame[[*names, *[f"p{step}_{m}" for m in range(len(models))]]]
+
+    return run
+
+
+def _own_offsets(need: int, chunk: int) -> Column:
+    """The offsets of ``_offsets`` as an array."""
+    top = F.least(F.size("value") - need, F.lit(chunk - 1))
+    clear = lambda o: ~F.exists("gaps", lambda g: (g >= o) & (g < o + need))
+    return F.when(top >= 0, F.filter(F.sequence(F.lit(0), top), clear)).otherwise(F.array().cast("array<int>"))
+
+
+def score(chunks: DataFrame, edges: DataFrame, models: list[GraphModel], steps: int = 3, output_len: int = 3, chunk: int = CHUNK) -> DataFrame:
+    """``sensor_id, split, start_idx, horizon, model, flow, actual`` of each model, by its place in
+    the list; each step is fed by the one before (runs a job per step; a staged table)."""
+    need = models[0].input_len + output_len
+    key = ["sensor_id", "split", "chunk"]
+    state, kept = chunks, []
     for step in range(1, steps + 1):
-        state = state.withColumn("flow", model.predict())
-        parts.append(
-            state.select("sensor_id", *key, F.lit(step).alias("horizon"), "flow", F.get("y", step - 1).alias("actual"))
-        )
+        made = [f"p{step}_{m}" for m in range(len(models))]
+        schema = ", ".join([f"`{n}` {t}" for n, t in state.dtypes] + [f"{n} array<double>" for n in made])
+        state = stage(state.mapInPandas(_decode(models, step, need, chunk, state.columns), schema), "decode")
+        kept.append(state)
         if step < steps:
-            # Each step reads the one before twice, so it is written first.
-            state = stage(state, "decode")
-            means = neighbor_means(state, edges, key, nb_next=F.col("flow"))
-            state = (
-                state.join(means, ["sensor_id", *key], "left")
-                .withColumns(
-                    {
-                        "x": F.concat(F.slice("x", 2, model.input_len - 1), F.array("flow")),
-                        "nb_t1": F.col("nb_t"),
-                        "nb_t": F.coalesce("nb_next", "flow"),
-                    }
-                )
-                .drop("nb_next")
+            zipped = F.arrays_zip(_own_offsets(need, chunk).alias("o"), *made)
+            flows = state.select(*key, "first", F.inline(zipped)).withColumn("start_idx", F.col("first") + F.col("o"))
+            flows = flows.select("sensor_id", "split", "start_idx", *[F.col(n) for n in made], "chunk", "o")
+            near = neighbor_means(flows, edges, ["split", "start_idx"], **{f"n{m}": F.col(n) for m, n in enumerate(made)})
+            both = flows.join(near, ["sensor_id", "split", "start_idx"], "left")
+            columns = [F.coalesce(f"n{m}", n).alias(f"nb{step}_{m}") for m, n in enumerate(made)]
+            rows = both.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("o", *columns))).alias("r"))
+            rows = rows.select(*key, *[F.col(f"r.nb{step}_{m}").alias(f"nb{step}_{m}") for m in range(len(models))])
+            state = state.join(rows, key, "left")
+    parts = []
+    for m in range(len(models)):
+        zipped = F.arrays_zip(_own_offsets(need, chunk).alias("o"), *[F.col(f"p{h}_{m}").alias(f"p{h}") for h in range(1, steps + 1)])
+        rows = state.select("sensor_id", "split", "first", "value", F.inline(zipped))
+        flows = F.array(*[F.struct(F.lit(h).alias("horizon"), F.col(f"p{h}").alias("flow")) for h in range(1, steps + 1)])
+        parts.append(
+            rows.select("sensor_id", "split", (F.col("first") + F.col("o")).alias("start_idx"), "value", "o", F.inline(flows)).select(
+                "sensor_id", "split", "start_idx", "horizon", F.lit(m).alias("model"), "flow",
+                F.get("value", F.col("o") + models[0].input_len + F.col("horizon") - 1).alias("actual"),
             )
+        )
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
+    out = stage(out, "scores")
+    release(*kept)
     return out
 
 
-def train_and_score(
-    windows: DataFrame,
-    edges: DataFrame,
-    input_len: int = 12,
-    steps: int = 3,
-    reg_params: tuple[float, ...] = (0.0, 0.01),
-    encoding: DataFrame | None = None,
-) -> tuple[GraphModel, DataFrame]:
-    """Fits on the training split, keeps the penalty with the lowest validation MAE, and
-    returns the model with its validation scores (runs jobs; the windows are staged)."""
-    results = candidates(windows, edges, input_len, steps, reg_params, encoding)
-    _, model, scored = min(results, key=lambda r: r[0])
-    return model, scored
-
-
 def candidates(
-    windows: DataFrame,
+    series: DataFrame,
+    split: DataFrame,
     edges: DataFrame,
+    factor: Column | None = None,
     input_len: int = 12,
     steps: int = 3,
     reg_params: tuple[float, ...] = (0.0, 0.01),
     encoding: DataFrame | None = None,
+    neighbor_steps: int = 2,
+    chunk: int = CHUNK,
 ) -> list[tuple[float, GraphModel, DataFrame]]:
     """Validation MAE, model and validation scores for each penalty (runs jobs)."""
-    extra: tuple[str, ...] = ()
-    data = windows_with_neighbors(windows, edges)
-    if encoding is not None:
-        extra = tuple(c for c in encoding.columns if c != "sensor_id")
-        data = data.join(encoding, "sensor_id", "left").fillna(0.0, list(extra))
-    data = stage(data, "windows")
-    val = data.where("split = 'val'")
-    out = []
-    for reg in reg_params:
-        model = fit(data.where("split = 'train'"), input_len, extra, reg)
-        scored = stage(score(val, edges, model, steps), "scores")
-        overall = forecast_metrics(scored).where("horizon = 0").first()
-        out.append((overall["mae"], model, scored))
-    return out
+    extra = () if encoding is None else tuple(c for c in encoding.columns if c != "sensor_id")
+    chunks = stage(model_chunks(series, split, edges, factor, input_len, steps, encoding, chunk), "model-chunks")
+    models = fit(chunks, input_len, steps, extra, reg_params, neighbor_steps, chunk)
+    scored = score(chunks.where("split = 'val'"), edges, models, steps, steps, chunk)
+    release(chunks)
+    errors = {r.model: r.mae for r in scored.groupBy("model").agg(F.avg(F.abs(F.col("flow") - F.col("actual"))).alias("mae")).collect()}
+    return [(errors.get(m, float("nan")), model, scored.where(F.col("model") == m).drop("model")) for m, model in enumerate(models)]
+
+
+def train_and_score(series: DataFrame, split: DataFrame, edges: DataFrame, **options) -> tuple[GraphModel, DataFrame]:
+    """The model with the lowest validation MAE of ``candidates``, and its validation scores."""
+    _, model, scored = min(candidates(series, split, edges, **options), key=lambda r: r[0])
+    return model, scored

@@ -47,6 +47,56 @@ def unscale(value: Column, factor: Column) -> Column:
     return value * factor
 
 
+def chunked_series(
+    series: DataFrame, split: DataFrame, need: int, factor: Column | None = None, chunk: int = CHUNK, columns: tuple[str, ...] = ("value",)
+) -> DataFrame:
+    """``sensor_id, split, chunk, first``, an array of each column, ``gaps`` and ``changes``.
+
+    This is the form in which windows are stored: a window of ``need`` steps is a chunk and an
+    offset into its arrays.  A chunk holds ``chunk`` steps from ``first`` on and the ``need - 1``
+    steps after them, so every window lies in one chunk.  ``gaps`` lists offsets of steps that the
+    series does not hold, ``changes`` those at which a new day begins.
+    """
+    if chunk < need:
+        raise ValueError("chunk must hold at least one window")
+    scaled = [(F.col(c) if factor is None else scale(F.col(c), factor)).alias(c) for c in columns]
+    rows = series.join(split, "pos").select("sensor_id", "split", "step", "local_date", *scaled)
+    own = F.floor(F.col("step") / chunk)
+    halo = (F.col("step") % chunk < need - 1) & (own > 0)
+    rows = rows.withColumn("chunk", F.explode(F.when(halo, F.array(own, own - 1)).otherwise(F.array(own))))
+    # At most chunk + need - 1 rows.
+    held = rows.groupBy("sensor_id", "split", "chunk").agg(
+        F.array_sort(F.collect_list(F.struct("step", "local_date", *columns))).alias("r")
+    ).withColumn("first", F.col("chunk") * chunk)
+    offsets = F.transform("r", lambda x: (x["step"] - F.col("first")).cast("int"))
+    last = F.element_at("r", -1)["step"] - F.col("first")
+    complete = F.size("r") == last + 1
+    slots = F.sequence(F.lit(0), last.cast("int"))
+    filled = F.transform(slots, lambda i: F.get("r", F.array_position(offsets, i).cast("int") - 1))
+    held = held.withColumn("gaps", F.when(complete, F.array().cast("array<int>")).otherwise(F.array_except(slots, offsets)))
+    held = held.withColumn("r", F.when(complete, F.col("r")).otherwise(filled))
+    new_day = F.filter(slots, lambda i: (i > 0) & (F.get("r", i)["local_date"] != F.get("r", F.greatest(i - 1, F.lit(0)))["local_date"]))
+    return held.select(
+        "sensor_id", "split", "chunk", "first", *[F.col(f"r.{c}").alias(c) for c in columns], "gaps", new_day.alias("changes")
+    )
+
+
+def chunk_windows(chunks: DataFrame, input_len: int = 12, output_len: int = 3, within_day: bool = False, chunk: int = CHUNK) -> DataFrame:
+    """``sensor_id, split, start_idx, x, y`` of all windows of ``chunked_series``."""
+    need = input_len + output_len
+    top = F.least(F.size("value") - need, F.lit(chunk - 1))
+    offsets = F.when(top >= 0, F.sequence(F.lit(0), top))
+    rows = chunks.select("sensor_id", "split", "first", "value", "gaps", "changes", F.explode(offsets).alias("o"))
+    o = F.col("o")
+    rows = rows.where((F.size("gaps") == 0) | ~F.exists("gaps", lambda g: (g >= o) & (g < o + need)))
+    if within_day:
+        rows = rows.where(~F.exists("changes", lambda d: (d > o) & (d < o + need)))
+    return rows.select(
+        "sensor_id", "split", (F.col("first") + o).alias("start_idx"),
+        F.slice("value", o + 1, input_len).alias("x"), F.slice("value", o + 1 + input_len, output_len).alias("y"),
+    )
+
+
 def training_windows(
     series: DataFrame,
     split: DataFrame,
@@ -58,36 +108,10 @@ def training_windows(
 ) -> DataFrame:
     """``sensor_id, split, start_idx, x, y`` with stride 1; no window crosses the split.
 
-    A series is cut into chunks of ``chunk`` steps.  The first rows of a chunk are copied to
-    the chunk before it, so every window is complete inside one group of bounded size.
+    An export form: each window is an array of its own.  What is stored are the chunks.
     """
-    need = input_len + output_len
-    if chunk < need:
-        raise ValueError("chunk must hold at least one window")
-    value = F.col("value") if factor is None else scale(F.col("value"), factor)
-    rows = series.join(split, "pos").select(
-        "sensor_id", "split", "step", "local_date", value.alias("value")
-    )
-    own = F.floor(F.col("step") / chunk)
-    is_head = (F.col("step") % chunk < need - 1) & (own > 0)
-    rows = rows.withColumn(
-        "chunk", F.explode(F.when(is_head, F.array(own, own - 1)).otherwise(F.array(own)))
-    )
-    w = Window.partitionBy("sensor_id", "split", "chunk").orderBy("step")
-    steps = [F.col("value")] + [F.lead("value", i).over(w) for i in range(1, need)]
-    out = rows.select(
-        "sensor_id",
-        "split",
-        F.col("step").alias("start_idx"),
-        "chunk",
-        F.array(*steps[:input_len]).alias("x"),
-        F.array(*steps[input_len:]).alias("y"),
-        F.lead("step", need - 1).over(w).alias("last_step"),
-        (F.lead("local_date", need - 1).over(w) == F.col("local_date")).alias("same_day"),
-    ).where((F.col("last_step") == F.col("start_idx") + need - 1) & (F.col("chunk") == F.floor(F.col("start_idx") / chunk)))
-    if within_day:
-        out = out.where("same_day")
-    return out.select("sensor_id", "split", "start_idx", "x", "y")
+    chunks = chunked_series(series, split, input_len + output_len, factor, chunk)
+    return chunk_windows(chunks, input_len, output_len, within_day, chunk)
 
 
 def check_length(split: DataFrame, input_len: int = 12, output_len: int = 3) -> None:

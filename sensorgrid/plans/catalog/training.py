@@ -195,8 +195,7 @@ def forecast_invariants(spark, sf_dir):
     factor = tr.max_flow(series, split).scalar()
     edges = t.edges(spark, sf_dir)
     _, encoding = spectral.spectral_encoding(edges, t.nodes(spark, sf_dir), k=2)
-    windows = tr.training_windows(series, split, factor=factor)
-    found = fc.candidates(windows, edges, encoding=encoding.withColumnRenamed("node_id", "sensor_id"))
+    found = fc.candidates(series, split, edges, factor, encoding=encoding.withColumnRenamed("node_id", "sensor_id"))
     mae, model, scored = min(found, key=lambda r: r[0])
     best = all(mae <= other for other, _, _ in found) and len(found) == 2
     return scored.groupBy("horizon").agg(
@@ -205,13 +204,48 @@ def forecast_invariants(spark, sf_dir):
     )
 
 
-@query("forecast_train_score")
+_STEPS = """c AS (SELECT covar_pop(v, v) AS vv, covar_pop(nb, nb) AS nn, covar_pop(v, nb) AS vn, covar_pop(v, y1) AS vy,
+        covar_pop(nb, y1) AS ny, avg(v) AS mv, avg(nb) AS mn, avg(y1) AS my FROM w WHERE split = 'train'),
+    k AS (SELECT a, b, my - a * mv - b * mn AS i FROM (SELECT *, (vy * nn - ny * vn) / (vv * nn - vn * vn) AS a,
+        (ny * vv - vy * vn) / (vv * nn - vn * vn) AS b FROM c)),
+    p1 AS (SELECT w.*, greatest(0, a * v + b * nb + i) AS p FROM w, k WHERE split = 'val'),
+    n1 AS (SELECT src AS sensor_id, step, avg(p) AS n FROM l JOIN p1 ON sensor_id = dst GROUP BY 1, 2),
+    p2 AS (SELECT p1.* EXCLUDE (p), greatest(0, a * p + b * coalesce(n, p) + i) AS p FROM k, p1 LEFT JOIN n1 USING (sensor_id, step)),
+    n2 AS (SELECT src AS sensor_id, step, avg(p) AS n FROM l JOIN p2 ON sensor_id = dst GROUP BY 1, 2),
+    p3 AS (SELECT p2.* EXCLUDE (p), greatest(0, a * p + b * coalesce(n, p) + i) AS p FROM k, p2 LEFT JOIN n2 USING (sensor_id, step)),
+    e AS (SELECT 1 AS horizon, p * m AS f, y1 * m AS a FROM p1, m UNION ALL SELECT 2, p * m, y2 * m FROM p2, m
+        UNION ALL SELECT 3, p * m, y3 * m FROM p3, m)"""
+
+
+@query(
+    "forecast_train_score",
+    f"""SELECT horizon, count(*) AS n, round(avg(abs(f - a)), 6) AS mae, round(sqrt(avg((f - a) * (f - a))), 6) AS rmse,
+        round(avg(CASE WHEN a <> 0 THEN abs(f - a) / abs(a) END) * 100, 6) AS mape
+        FROM (WITH m AS (SELECT max(value) AS m FROM series WHERE split = 'train'),
+        l AS (SELECT src, dst FROM edges WHERE weight > 0 AND src <> dst),
+        s AS (SELECT sensor_id, split, step, value / m AS v FROM series, m),
+        near AS (SELECT src AS sensor_id, split, step, avg(v) AS nb FROM l JOIN s ON sensor_id = dst GROUP BY 1, 2, 3),
+        w AS (SELECT * FROM (SELECT sensor_id, split, step, v, coalesce(nb, v) AS nb, lead(v, 1) OVER w AS y1, lead(v, 2) OVER w AS y2,
+            lead(v, 3) OVER w AS y3 FROM s LEFT JOIN near USING (sensor_id, split, step)
+            WINDOW w AS (PARTITION BY sensor_id, split ORDER BY step)) WHERE y3 IS NOT NULL),
+        {_STEPS} SELECT unnest([horizon, 0]) AS horizon, f, a FROM e) GROUP BY 1""",
+    ("series", "edges"),
+)
 def forecast_train_score(spark, sf_dir):
-    """Errors of the linear graph model on the validation windows."""
+    """Errors of the graph model of one lag and one neighbours' mean, which SQL can solve, too."""
+    return _errors(spark, sf_dir, input_len=1, neighbor_steps=1, reg_params=(0.0,))
+
+
+@query("forecast_full_score")
+def forecast_full_score(spark, sf_dir):
+    """Errors of the graph model of twelve lags on the validation windows."""
+    return _errors(spark, sf_dir)
+
+
+def _errors(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     series, split = series_and_split(spark, sf_dir)
     factor = tr.max_flow(series, split).scalar()
-    windows = tr.training_windows(series, split, factor=factor)
-    _, scored = fc.train_and_score(windows, t.edges(spark, sf_dir))
+    _, scored = fc.train_and_score(series, split, t.edges(spark, sf_dir), factor=factor, **options)
     return forecast_metrics(
         scored.withColumns({"flow": F.col("flow") * factor, "actual": F.col("actual") * factor})
     )

@@ -92,19 +92,87 @@ def test_metrics(spark):
         assert r.mape == pytest.approx(100 * sum(share) / len(share))
 
 
-def test_graph_model_beats_persistence(spark):
-    steps = np.arange(160)
-    data = np.stack([50 + 30 * np.sin(steps / 4 + p) for p in (0.0, 0.7, 1.4)], axis=1)
+def _graph_case(spark, steps=160):
+    at_ = np.arange(steps)
+    rng = np.random.default_rng(4)
+    data = np.stack([50 + 30 * np.sin(at_ / 4 + p) for p in (0.0, 0.7, 1.4, 2.0)], axis=1) + rng.normal(size=(steps, 4))
     series, split = _series(spark, data)
+    # Sensor 3 has no neighbour.
     graph = stage(edges(spark, [(0, 1, 1, 1), (1, 0, 1, 1), (1, 2, 1, 1), (2, 1, 1, 1)]).coalesce(1), "edges")
+    return data, series, split, graph
+
+
+def test_graph_model_beats_persistence(spark):
+    _, series, split, graph = _graph_case(spark)
     factor = tr.max_flow(series, split).scalar()
-    windows = stage(tr.training_windows(series, split, factor=factor), "windows")
     encoding = spark.createDataFrame([(0, 0.1), (1, -0.2), (2, 0.1)], "sensor_id BIGINT, pe0 DOUBLE")
-    model, scored = fc.train_and_score(windows, graph, reg_params=(0.0,), encoding=encoding)
-    val = windows.where("split = 'val'")
-    n = val.count()
-    assert len(model.coefficients) == 15 and scored.count() == 3 * n
+    model, scored = fc.train_and_score(series, split, graph, factor=factor, reg_params=(0.0,), encoding=encoding)
+    val = tr.training_windows(series, split, factor=factor).where("split = 'val'")
+    assert len(model.coefficients) == 15 and scored.count() == 3 * val.count()
     assert scored.where("flow IS NULL OR isnan(flow)").count() == 0
     mine = evaluate.forecast_metrics(scored).where("horizon = 0").first().mae
     naive = evaluate.forecast_metrics(fc.persistence_scores(val)).where("horizon = 0").first().mae
-    assert mine < naive / 4
+    assert mine < naive / 3
+
+
+@pytest.mark.parametrize("input_len, neighbor_steps, chunk", [(12, 2, 1024), (12, 2, 20), (3, 1, 7), (1, 0, 1024)])
+def test_graph_model_like_least_squares(spark, input_len, neighbor_steps, chunk):
+    """Coefficients and recursive forecasts of all penalties against plain loops."""
+    data, series, split, graph = _graph_case(spark, 90)
+    near = {0: [1], 1: [0, 2], 2: [1]}
+    cut, regs = math.floor(90 * 0.8), (0.0, 0.1)
+
+    def mean(values, s):
+        return np.mean([values[n] for n in near[s]]) if s in near else values[s]
+
+    def features(past, means):
+        return [*past[-input_len:], *means[::-1][:neighbor_steps]]
+
+    x, y = [], []
+    for i in range(cut - input_len - 2):
+        for s in range(4):
+            means = [mean(data[j], s) for j in range(i, i + input_len)]
+            x.append(features(list(data[i : i + input_len, s]), means))
+            y.append(data[i + input_len, s])
+    x, y = np.array(x), np.array(y)
+    found = fc.candidates(series, split, graph, input_len=input_len, reg_params=regs, neighbor_steps=neighbor_steps, chunk=chunk)
+    val = data[cut:]
+    for reg, (mae, model, scored) in zip(regs, found, strict=True):
+        center = x - x.mean(axis=0)
+        root = np.sqrt(reg * len(x)) * np.diag(center.std(axis=0))
+        w = np.linalg.lstsq(np.vstack([center, root]), np.concatenate([y - y.mean(), np.zeros(len(root))]), rcond=None)[0]
+        b = y.mean() - x.mean(axis=0) @ w
+        assert np.allclose(model.coefficients, w, atol=1e-6) and abs(model.intercept - b) < 1e-5
+        want = {}
+        for i in range(len(val) - input_len - 2):
+            past = [list(val[i : i + input_len, s]) for s in range(4)]
+            means = [[mean(val[j], s) for j in range(i, i + input_len)] for s in range(4)]
+            for h in range(3):
+                flows = [max(0.0, np.dot(w, features(past[s], means[s])) + b) for s in range(4)]
+                for s in range(4):
+                    past[s].append(flows[s])
+                    means[s].append(mean(flows, s))
+                    want[s, i, h + 1] = (flows[s], val[i + input_len + h, s])
+        got = {(r.sensor_id, r.start_idx, r.horizon): (r.flow, r.actual) for r in scored.collect()}
+        assert got.keys() == want.keys()
+        assert all(np.allclose(got[k], want[k], atol=1e-6) for k in want)
+        assert mae == pytest.approx(np.mean([abs(f - a) for f, a in want.values()]))
+
+
+def test_chunks_take_the_panel_s_room(spark):
+    data = np.random.default_rng(0).normal(size=(3000, 2))
+    series, split = _series(spark, data)
+    chunks = tr.chunked_series(series, split, 15).collect()
+    assert sum(len(r.value) for r in chunks) <= 1.1 * data.size and all(not r.gaps for r in chunks)
+
+
+def test_windows_skip_gaps(spark):
+    data = np.arange(400, dtype=float).reshape(200, 2)
+    series, split = _series(spark, data)
+    holes = {(0, 30), (0, 31), (1, 99), (1, 0)}
+    kept = series.where(" AND ".join(f"NOT (sensor_id = {s} AND pos = {p})" for s, p in holes))
+    want = {(s, i) for s in range(2) for i in range(160 - 14) if not any((s, p) in holes for p in range(i, i + 15))}
+    for chunk in (16, 50, 1024):
+        got = tr.training_windows(kept, split, chunk=chunk).where("split = 'train'").collect()
+        assert {(r.sensor_id, r.start_idx) for r in got} == want
+        assert all(r.x == [float(2 * (r.start_idx + j) + r.sensor_id) for j in range(12)] for r in got)
