@@ -74,28 +74,45 @@ def history_records(docs: DataFrame, value: str = "value") -> DataFrame:
     rows = with_once(docs.select(F.col(value).alias("_text")), shape)
     full = lambda fits: lambda m: m.isNotNull() & F.forall(F.map_values(m), fits)
     regular = F.coalesce(full(full(full(lambda r: r.isNotNull())))(F.col("_dates")), F.lit(False))
-    days = rows.where(regular).select(F.explode("_dates").alias("date", "_sensors"))
-    sensors = days.select("date", F.explode("_sensors").alias("sensor", "_files"))
-    good = sensors.select("date", "sensor", F.explode("_files").alias("filename", "_record"))
-    return _checked(good, F.lit(None)).unionByName(_by_level(rows.where(~regular).select("_text")))
 
+    def entries(m: Column, inner) -> Column:
+        return F.flatten(F.transform(F.map_entries(m), lambda e: inner(e["key"], e["value"])))
 
-def _by_level(docs: DataFrame) -> DataFrame:
-    rows = with_once(docs, F.from_json("_text", _LEVEL).alias("_dates"))
+    none = F.lit(None).cast("string")
+    flat = entries(F.col("_dates"), lambda date_, sensors: entries(sensors, lambda sensor, files: F.transform(
+        F.map_entries(files), lambda e: F.struct(date_.alias("date"), sensor.alias("sensor"), e["key"].alias("filename"), e["value"].alias("_record"), none.alias("_rest"))
+    )))
+    odd = F.array(F.struct(none.alias("date"), none.alias("sensor"), none.alias("filename"), F.lit(None).cast(_RECORD).alias("_record"), F.col("_text").alias("_rest")))
+    found = rows.withColumn("_regular", regular).select(F.inline(F.when(F.col("_regular"), flat).otherwise(odd)))
+    return _by_level(found)
+
+
+def _by_level(found: DataFrame) -> DataFrame:
+    """Records of regular documents as they are, and the texts ``_rest`` of others, level by level."""
+    done = F.col("_record").isNotNull()
+    level = lambda text: F.from_json(text, _LEVEL)
+    rows = with_once(found, level("_rest").alias("_dates"))
     whole = rows.select(
-        F.when(F.col("_dates").isNull(), "document is not an object").alias("_r1"), F.explode_outer("_dates").alias("date", "_t1")
-    ).where("_r1 is not null or date is not null")
-    days = with_once(whole, F.from_json("_t1", _LEVEL).alias("_sensors")).select(
-        "date",
-        F.coalesce("_r1", F.when(F.col("_sensors").isNull(), "date is not an object")).alias("_r2"),
+        "_record", "sensor", "filename", F.col("date").alias("_date"), done.alias("_done"),
+        F.when(~done & F.col("_dates").isNull(), "document is not an object").alias("_r1"), F.explode_outer("_dates").alias("date", "_t1"),
+    ).where("_done or _r1 is not null or date is not null")
+    days = with_once(whole, level("_t1").alias("_sensors")).select(
+        "_record", "_done", "filename", F.coalesce("_date", "date").alias("date"), F.col("sensor").alias("_sensor"),
+        F.coalesce("_r1", F.when(~F.col("_done") & F.col("_sensors").isNull(), "date is not an object")).alias("_r2"),
         F.explode_outer("_sensors").alias("sensor", "_t2"),
-    ).where("_r2 is not null or sensor is not null")
-    sensors = with_once(days, F.from_json("_t2", _LEVEL).alias("_files")).select(
-        "date", "sensor",
-        F.coalesce("_r2", F.when(F.col("_files").isNull(), "sensor is not an object")).alias("_r3"),
+    ).where("_done or _r2 is not null or sensor is not null")
+    sensors = with_once(days, level("_t2").alias("_files")).select(
+        "_record", "_done", "date", F.coalesce("_sensor", "sensor").alias("sensor"), F.col("filename").alias("_name"),
+        F.coalesce("_r2", F.when(~F.col("_done") & F.col("_files").isNull(), "sensor is not an object")).alias("_r3"),
         F.explode_outer("_files").alias("filename", "_t3"),
-    ).where("_r3 is not null or filename is not null")
-    return _parsed(sensors)
+    ).where("_done or _r3 is not null or filename is not null")
+    rows = with_once(
+        sensors.select("_done", "date", "sensor", F.coalesce("_name", "filename").alias("filename"), "_r3", "_t3", F.col("_record").alias("_known")),
+        F.from_json("_t3", _RECORD).alias("_parsed"),
+    )
+    none = ~F.col("_done") & (~F.coalesce(F.trim(F.col("_t3")).startswith("{"), F.lit(False)) | F.col("_parsed").isNull())
+    reason = F.coalesce("_r3", F.when(none, "record is not an object"))
+    return _checked(rows.withColumn("_record", F.coalesce("_known", "_parsed")), reason)
 
 
 def _parsed(sensors: DataFrame) -> DataFrame:
