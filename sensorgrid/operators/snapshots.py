@@ -87,8 +87,61 @@ def discover_nodes(snapshot: DataFrame) -> DataFrame:
     return snapshot.select("node_id").distinct()
 
 
+#: Positions in a block of the model input.
+BLOCK = 4096
+
+
+def _windows_and_flows(snapshot: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``window_start, unknown, missing, n`` of each window, and ``window_start, pos, flow`` of its nodes."""
+    total = nodes.agg(F.count(F.lit(1)).alias("n")).scalar()
+    placed = snapshot.join(nodes.select("node_id", "pos"), "node_id", "left")
+    windows = placed.groupBy("window_start").agg(F.count_if(F.col("pos").isNull()).alias("unknown"), F.count("pos").alias("seen"))
+    windows = windows.withColumn("n", total).withColumn("missing", F.col("n") - F.col("seen")).drop("seen")
+    return windows, placed.where("pos is not null").select("window_start", "pos", F.coalesce("flow", F.lit(0.0)).alias("flow"))
+
+
+def _blocks(windows: DataFrame, block: int) -> DataFrame:
+    """A row for each block of positions of each window: ``block, size`` beside its columns."""
+    own = F.when(F.col("n") > 0, F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / block)))
+    return windows.select("*", F.explode(own).alias("block")).withColumn(
+        "size", F.least(F.lit(block).cast("long"), F.col("n") - F.col("block") * block).cast("int")
+    )
+
+
+def align_long(snapshot: DataFrame, nodes: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Model input as rows: ``window_start, pos, flow, unknown, missing`` for each window and each node
+    of ``nodes(node_id, pos)``; a node without a flow counts as 0.0.
+
+    Positions are generated block by block and meet the flows in a join, so no task holds a window.
+    """
+    windows, flows = _windows_and_flows(snapshot, nodes)
+    start = F.col("block") * block
+    grid = _blocks(windows, block).select(
+        "window_start", "unknown", "missing", F.explode(F.sequence(start, start + F.col("size") - 1)).alias("pos")
+    )
+    return grid.join(flows, ["window_start", "pos"], "left").select(
+        "window_start", "pos", F.coalesce("flow", F.lit(0.0)).alias("flow"), "unknown", "missing"
+    )
+
+
+def input_blocks(snapshot: DataFrame, nodes: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Model input as stored: ``window_start, block, unknown, missing, flows`` with the
+    flows of ``block`` positions in the layout of a sparse vector (``type`` 0, ``size, indices, values``); a window is as many rows as its nodes need, none of unbounded size."""
+    windows, flows = _windows_and_flows(snapshot, nodes)
+    own = flows.groupBy("window_start", F.floor(F.col("pos") / block).alias("block")).agg(
+        F.array_sort(F.collect_list(F.struct((F.col("pos") % block).cast("int").alias("i"), "flow"))).alias("seen")
+    )
+    rows = _blocks(windows, block).join(own, ["window_start", "block"], "left")
+    vector = F.struct(
+        F.lit(0).cast("tinyint").alias("type"), F.col("size").alias("size"),
+        F.coalesce(F.col("seen.i"), F.array().cast("array<int>")).alias("indices"),
+        F.coalesce(F.col("seen.flow"), F.array().cast("array<double>")).alias("values"),
+    )
+    return rows.select("window_start", "block", "unknown", "missing", vector.alias("flows"))
+
+
 def align_to_nodes(snapshot: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Model input: ``window_start, flows, unknown, missing`` with one flow per node of
+    """Export form of the model input, a window per row: ``window_start, flows, unknown, missing`` with one flow per node of
     ``nodes(node_id, pos)`` in its order.
 
     A node without a flow counts as 0.0 and a sensor that is no node is ignored.  Per window

@@ -311,18 +311,34 @@ def discover_nodes(spark, sf_dir):
     return sn.discover_nodes(snapshot_table(spark, sf_dir))
 
 
-@query(
-    "align_to_nodes",
-    """SELECT w.window_start, l.pos, coalesce(s.flow, 0) AS flow,
+_ALIGNED = """SELECT w.window_start, l.pos, coalesce(s.flow, 0) AS flow,
         (SELECT count(*) FROM snaps u WHERE u.window_start = w.window_start
             AND NOT EXISTS (SELECT 1 FROM linked m WHERE m.node_id = u.node_id)) AS unknown,
         (SELECT count(*) FROM linked m WHERE NOT EXISTS (SELECT 1 FROM snaps u
             WHERE u.window_start = w.window_start AND u.node_id = m.node_id)) AS missing
         FROM (SELECT DISTINCT window_start FROM snaps) w CROSS JOIN linked l
-        LEFT JOIN snaps s ON s.window_start = w.window_start AND s.node_id = l.node_id""",
-    ("snaps", "linked"),
-)
+        LEFT JOIN snaps s ON s.window_start = w.window_start AND s.node_id = l.node_id"""
+
+
+@query("align_to_nodes", _ALIGNED, ("snaps", "linked"))
 def align_to_nodes(spark, sf_dir):
+    return sn.align_long(snapshot_table(spark, sf_dir), stage(t.linked_nodes(spark, sf_dir), "nodes"))
+
+
+@query("input_blocks", _ALIGNED, ("snaps", "linked"))
+def input_blocks(spark, sf_dir):
+    """The stored form, in small blocks, taken apart again."""
+    rows = sn.input_blocks(snapshot_table(spark, sf_dir), stage(t.linked_nodes(spark, sf_dir), "nodes"), 64)
+    flow = F.transform(F.sequence(F.lit(0), F.col("flows.size") - 1), lambda i: F.coalesce(
+        F.get("flows.values", F.array_position("flows.indices", i).cast("int") - 1), F.lit(0.0)))
+    return rows.select("window_start", "block", "unknown", "missing", F.posexplode(flow).alias("i", "flow")).select(
+        "window_start", (F.col("block") * 64 + F.col("i")).alias("pos"), "flow", "unknown", "missing"
+    )
+
+
+@query("aligned_arrays", _ALIGNED, ("snaps", "linked"))
+def aligned_arrays(spark, sf_dir):
+    """The export form, an array per window, taken apart again."""
     aligned = sn.align_to_nodes(snapshot_table(spark, sf_dir), stage(t.linked_nodes(spark, sf_dir), "nodes"))
     return aligned.select(
         "window_start", F.posexplode("flows").alias("pos", "flow"), "unknown", "missing"

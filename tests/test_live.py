@@ -89,6 +89,17 @@ def test_alignment(spark):
         at(5): ([1.0, 0.0, 0.0, 0.0], 0, 3),
         at(10): ([0.0] * 4, 2, 4),
     }
+    for block in (1, 3, 100):
+        long = sn.align_long(snap, nodes, block).orderBy("window_start", "pos").collect()
+        assert [(utc(r.window_start), r.pos, r.flow, r.unknown, r.missing) for r in long] == [
+            (w, i, f, u, m) for w, (flows, u, m) in sorted(got.items()) for i, f in enumerate(flows)
+        ]
+        for r in sn.input_blocks(snap, nodes, block).collect():
+            flows = [0.0] * r.flows["size"]
+            for i, v in zip(r.flows["indices"], r.flows["values"], strict=True):
+                flows[i] = v
+            assert flows == got[utc(r.window_start)][0][r.block * block : (r.block + 1) * block]
+    assert sn.align_long(snap, nodes.limit(0)).count() == 0
     assert {r.unknown for r in sn.unknown_sensors(snap, nodes).collect()} == {1, 2}
     assert {utc(r.window_start): r.missing for r in sn.missing_sensors(snap, nodes).collect()} == {at(0): 2, at(5): 3, at(10): 4}
     forecast = fc.forecast_persistence(snap.where("window_start < '2024-01-01 00:05:00'"), nodes, steps=2)
