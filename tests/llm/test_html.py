@@ -1,6 +1,8 @@
+import time
+
 import pytest
 
-from sensorgrid.llm.html import DEPTH, extract_text, render
+from sensorgrid.llm.html import extract_text, render
 
 CASES = [
     ("<p>a<p>b", "a\n\nb"),
@@ -19,6 +21,15 @@ CASES = [
     ("<textarea>a <b>\n c</textarea>", "a <b>\n c"),
     ("<nav>menu</nav><footer>&copy; foot</footer>", "menu\n© foot"),
     ("", ""),
+    ("<svg><title>t</title><desc>d</desc><text>drawn</text></svg><math><mi>x</mi><annotation>tex</annotation></math>", "drawnx"),
+    ("<input type=submit value=Send><input type=text value=typed>", "Send"),
+    ("<p style='visibility:hidden'>no <b style='visibility: visible'>yes</b> no", "yes"),
+    ("<style>.h, #i, p.k{display:none} @media print{.x{display:none}} .y{color:red}</style>"
+     "<p class='a h'>no<p id=i>no<p class=k>no<div class=k>k</div><p class=x>x<p class=y>y", "k\n\nx\n\ny"),
+    ("<details><summary>more</summary>inside</details><details open><summary>s</summary>in</details>", "more\ns\nin"),
+    ("<div style='white-space: pre'> a\n  b</div>", " a\n  b"),
+    ("<table><tr><td colspan=2>a long heading here<td>x<tr><td>1<td>2<td>3</table>", "a long heading here | x\n1 | 2               | 3"),
+    ("<a title='x <b>bold</b> <i>end", "bold end"),
 ]
 
 
@@ -31,7 +42,22 @@ def test_title_and_depth():
     assert render("<head><title> A &amp;\n B </title></head><body>x")[:2] == ("A & B", "x")
     deep = "<div>" * 5000 + "deep" + "</div>" * 5000
     assert render(deep)[1] == "deep"
-    assert render("<ul><li>" * 3000 + "deep")[1].endswith("deep") and DEPTH < 1000
+    assert render("<ul><li>" * 3000 + "deep")[1].endswith("deep")
+    inside = "<p hidden>SECRET</p><textarea>kept</textarea><table><tr><td>a<td>b<tr><td>cc<td>d</table>"
+    assert render("<div>" * 10_000 + inside)[1] == render(inside)[1] == "kept\n\na  | b\ncc | d"
+    assert render("<table><tr><td>" * 2000 + "deep")[1] == "deep"
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<a '", "<a x='", "<a x='\"", "<a '\">", "</a ", "<p", "<!-", "<b><i>", "</b>", "<li>", "<table>", "<td>", "&", "<style>", "<a x=''"])
+def test_any_megabyte_in_linear_time(piece):
+    """Twice the text takes about twice the time, and no text of a megabyte takes long."""
+    many = 1_000_000 // len(piece) if len(piece) > 1 and piece[-1] != ">" else 20_000
+    times = []
+    for n in (many // 4, many):
+        start = time.perf_counter()
+        render(piece * n + "end")
+        times.append(time.perf_counter() - start)
+    assert times[1] < 8 and times[1] < 8 * times[0] + 0.3
 
 
 def test_query_form(spark):
