@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sensorgrid.operators.gaps import impute_temporal
 from sensorgrid.operators.graph import join_links, neighbors
-from sensorgrid.staging import stage
+from sensorgrid.staging import reads, stage
 
 COLUMNS = ["sensor_id", "bucket", "weekday", "tod", "value", "filled_by"]
 MIN_DISTANCE = 1e-6
@@ -130,10 +130,11 @@ def sensor_means(panel: DataFrame) -> DataFrame:
     )
 
 
-def impute_global(panel: DataFrame, threshold: float = 0.05) -> DataFrame:
+def impute_global(panel: DataFrame, threshold: float = 0.05, means: DataFrame | None = None) -> DataFrame:
     """Layer 4: the sensor's mean, for sensors with a null share below ``threshold``."""
     known, holes = _split(panel)
-    rescue = sensor_means(panel).where((F.col("share") > 0) & (F.col("share") < threshold))
+    means = sensor_means(panel) if means is None else means
+    rescue = means.where((F.col("share") > 0) & (F.col("share") < threshold))
     filled = holes.join(rescue, "sensor_id", "left")
     return known.select(COLUMNS).unionByName(_fill(filled, F.col("mean"), "global"))
 
@@ -147,12 +148,11 @@ def drop_unresolved(panel: DataFrame) -> DataFrame:
     return panel.join(unresolved_sensors(panel), "sensor_id", "left_anti")
 
 
-def rescue_or_drop(panel: DataFrame, threshold: float = 0.05) -> DataFrame:
+def rescue_or_drop(panel: DataFrame, threshold: float = 0.05, means: DataFrame | None = None) -> DataFrame:
     """``impute_global`` and ``drop_unresolved`` in one pass: which sensors stay unresolved
     follows from the same per-sensor figures that decide on the rescue."""
-    kept = sensor_means(panel).where(
-        (F.col("share") == 0) | ((F.col("share") < threshold) & F.col("mean").isNotNull())
-    )
+    means = sensor_means(panel) if means is None else means
+    kept = means.where((F.col("share") == 0) | ((F.col("share") < threshold) & F.col("mean").isNotNull()))
     hole = F.col("value").isNull()
     return panel.join(kept, "sensor_id").select(
         "sensor_id",
@@ -172,32 +172,57 @@ def impute_to_weekly(
     null_weighting: str = "available",
     use_distance: bool = True,
     by: str = "row",
-) -> DataFrame:
-    """Layers 1 to 3.
+) -> tuple[DataFrame, DataFrame]:
+    """Layers 1 to 3, and ``sensor_means`` of the result.
 
     The panel is written once, after layer 1, known rows and holes apart; layers 2 and 3 then
-    write their fills only (three jobs), and read no more of the panel than they need.
+    write their fills only, and read no more of the panel than they need.  The means come from the
+    profile's sums, so the panel is not read again for them.
     """
     panel = impute_temporal(cells, buckets, limit_rows, by).withColumn("hole", F.col("value").isNull())
     panel = stage(panel, "temporal", ["hole"])
     known = panel.where("NOT hole").drop("hole")
     sensors = cells.select("sensor_id").distinct()
     fills = stage(spatial_fills(panel, edges, null_weighting, use_distance, sensors), "spatial")
-    panel = known.select(COLUMNS).unionByName(fills)
-    left = fills.where("value IS NULL").join(weekly_profile(panel), ["sensor_id", "weekday", "tod"], "left")
+    after = known.select(COLUMNS).unionByName(fills)
+    # Sums by sensor, weekday and time: the profile, and with what layer 3 adds the sensors' means.
+    sums = stage(profile_sums(after), "profile")
+    profile = sums.select("sensor_id", "weekday", "tod", (F.col("sum") / F.col("n")).alias("profile"))
+    left = fills.where("value IS NULL").join(profile, ["sensor_id", "weekday", "tod"], "left")
     late = stage(_fill(left, F.col("profile"), "historical"), "historical")
-    return known.select(COLUMNS).unionByName(fills.where("value IS NOT NULL")).unionByName(late)
+    out = known.select(COLUMNS).unionByName(fills.where("value IS NOT NULL")).unionByName(late)
+    return reads(out, panel, fills, sums, late), _means(
+        sums.groupBy("sensor_id").agg(F.sum("sum").alias("sum"), F.sum("n").alias("n"), F.lit(0).cast("long").alias("holes")).unionByName(
+            late.groupBy("sensor_id").agg(
+                F.sum("value").alias("sum"), F.count("value").alias("n"), F.count_if(F.col("value").isNull()).alias("holes")
+            )
+        )
+    )
+
+
+def profile_sums(panel: DataFrame) -> DataFrame:
+    """``sensor_id, weekday, tod, sum, n`` of the known values."""
+    known = panel.where("value IS NOT NULL")
+    return known.groupBy("sensor_id", "weekday", "tod").agg(F.sum("value").alias("sum"), F.count("value").alias("n"))
+
+
+def _means(parts: DataFrame) -> DataFrame:
+    """``sensor_id, mean, share`` (as ``sensor_means``) from sums of parts of the panel."""
+    total = parts.groupBy("sensor_id").agg(*[F.sum(c).alias(c) for c in ("sum", "n", "holes")])
+    return total.select("sensor_id", F.try_divide("sum", "n").alias("mean"), (F.col("holes") / (F.col("n") + F.col("holes"))).alias("share"))
 
 
 def impute_layers(
     cells: DataFrame, buckets: DataFrame, edges: DataFrame, threshold: float = 0.05, **options
 ) -> DataFrame:
     """All four layers; unresolved cells stay, with ``filled_by = 'none'``."""
-    return impute_global(impute_to_weekly(cells, buckets, edges, **options), threshold)
+    panel, means = impute_to_weekly(cells, buckets, edges, **options)
+    return reads(impute_global(panel, threshold, means), panel)
 
 
 def impute(
     cells: DataFrame, buckets: DataFrame, edges: DataFrame, threshold: float = 0.05, **options
 ) -> DataFrame:
     """The imputed panel without unresolved sensors: no null cell is left."""
-    return rescue_or_drop(impute_to_weekly(cells, buckets, edges, **options), threshold)
+    panel, means = impute_to_weekly(cells, buckets, edges, **options)
+    return reads(rescue_or_drop(panel, threshold, means), panel)

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from sensorgrid.operators.graph import scaled_adjacency
-from sensorgrid.staging import stage
+from sensorgrid.staging import release, stage
 
 
 def _multiply(links: DataFrame, rows: DataFrame, names: list[str]) -> DataFrame:
@@ -62,6 +62,7 @@ def _ritz(
     """Rayleigh-Ritz step: eigenvalues (largest first), orthonormal vectors, and the largest
     residual ``|S v - theta v|`` of the first ``want``."""
     rows = stage(_multiply(links, vectors, names), "ritz")
+    release(vectors)
     size = len(names)
     gram = _gram(rows, [*names, *[f"p_{n}" for n in names]])
     xx, xp, pp = gram[:size, :size], gram[:size, size:], gram[size:, size:]
@@ -78,7 +79,9 @@ def _ritz(
         square = w @ pp @ w - 2 * theta * (w @ xp @ w) + theta**2 * (w @ xx @ w)
         worst = max(worst, float(np.sqrt(max(square, 0.0))))
     out = [f"x{j}" for j in range(weights.shape[1])]
-    return values, _combine(rows, names, weights, out), worst
+    turned = _combine(rows, names, weights, out)
+    turned._staged_at = rows._staged_at
+    return values, turned, worst
 
 
 def spectral_encoding(
@@ -101,7 +104,8 @@ def spectral_encoding(
     want = min(k + 1, n)
     block = min(want + oversample, n)
     names = [f"x{j}" for j in range(block)]
-    links = stage(scaled_adjacency(edges), "scaled").where("s <> 0")
+    scaled = stage(scaled_adjacency(edges), "scaled")
+    links = scaled.where("s <> 0")
     start = nodes.select(
         "node_id",
         *[
@@ -120,7 +124,9 @@ def spectral_encoding(
         raise RuntimeError(f"the spectral encoding has not converged: residual {worst:.2e} after {cycles} filters")
     chosen = list(range(1, min(want, len(values))))
     encoding = vectors.select("node_id", *[F.col(f"x{j}").alias(f"pe{j - 1}") for j in chosen])
-    return [float(1.0 - values[j]) for j in chosen], stage(encoding, "encoding")
+    encoding = stage(encoding, "encoding")
+    release(scaled, vectors)
+    return [float(1.0 - values[j]) for j in chosen], encoding
 
 
 def residuals(edges: DataFrame, values: list[float], encoding: DataFrame) -> list[tuple[float, float, float]]:
@@ -149,15 +155,18 @@ def _filter(links: DataFrame, vectors: DataFrame, names: list[str], degree: int,
     cut = min(max(cut, -0.9), 0.999)
     center, half = (cut - 1.0) / 2.0, (cut + 1.0) / 2.0
 
-    rows = stage(_multiply(links, vectors, names), "filter").selectExpr(
-        "node_id",
-        *[f"{n} AS old_{n}" for n in names],
-        *[f"(p_{n} - {n} * {center!r}D) / {half!r}D AS {n}" for n in names],
-    )
-    for _ in range(degree - 1):
-        rows = stage(_multiply(links, rows, names), "filter").selectExpr(
+    rows, held = vectors, vectors
+    for step in range(degree):
+        # One table at a time is kept: a step's is written before the one it reads is deleted.
+        written = stage(_multiply(links, rows, names), "filter")
+        release(held)
+        held = written
+        scale = f"{half!r}D" if not step else f"{half!r}D * 2D - old_{{n}}"
+        rows = written.selectExpr(
             "node_id",
             *[f"{n} AS old_{n}" for n in names],
-            *[f"(p_{n} - {n} * {center!r}D) / {half!r}D * 2D - old_{n} AS {n}" for n in names],
+            *[f"(p_{n} - {n} * {center!r}D) / {scale.format(n=n)} AS {n}" for n in names],
         )
-    return rows.select("node_id", *names)
+    out = rows.select("node_id", *names)
+    out._staged_at = held._staged_at
+    return out

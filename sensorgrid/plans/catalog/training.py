@@ -14,14 +14,16 @@ from sensorgrid.plans.catalog import tables as t
 from sensorgrid.plans.catalog.registry import query
 from sensorgrid.sinks import model_config as build_config, write_config
 from sensorgrid.sources import canonical_nodes_from_config, read_config
-from sensorgrid.staging import new_path, stage
+from sensorgrid.staging import new_path, release, stage
 
 
 def series_and_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The clean panel with bucket positions, written once, and its split."""
     cells, buckets = t.staged_cells(spark, sf_dir)
     panel = im.impute(cells, buckets, t.edges(spark, sf_dir))
-    return stage(tr.to_series(panel, buckets), "series"), stage(tr.chrono_split(buckets), "split")
+    out = stage(tr.to_series(panel, buckets), "series"), stage(tr.chrono_split(buckets), "split")
+    release(panel, cells, buckets)
+    return out
 
 
 @query(

@@ -66,9 +66,16 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(where, True)
 
 
+def reads(df: DataFrame, *staged: DataFrame) -> DataFrame:
+    """``df``, which reads these staged tables: they go when ``df`` is released."""
+    df._reads = staged
+    return df
+
+
 def release(*staged: DataFrame) -> None:
     """Delete staged tables that no later step reads; other frames are left alone."""
     for df in staged:
         path = getattr(df, "_staged_at", None)
         if path:
             delete(df.sparkSession, path)
+        release(*getattr(df, "_reads", ()))
