@@ -12,7 +12,7 @@ from sensorgrid.plans.catalog import tables as t
 from sensorgrid.plans.catalog.registry import query
 from sensorgrid.plans.clean import CleanOptions, clean_panel, observed_cells
 from sensorgrid.sinks import landing_manifest, write_panel
-from sensorgrid.staging import new_path, stage
+from sensorgrid.staging import new_path, release, stage
 
 _FILLED = "SELECT sensor_id, bucket, weekday, tod, round(filled, 6) AS value, filled_by FROM "
 
@@ -188,12 +188,16 @@ def clean(spark, sf_dir):
 @query(
     "sink_panel",
     "SELECT CAST(bucket + INTERVAL 7 HOUR AS DATE) AS local_date, count(*) AS cells,"
-    " round(sum(value), 6) AS total FROM cells GROUP BY 1",
-    ("cells",),
+    " round(sum(filled), 6) AS total FROM clean_avail GROUP BY 1",
+    ("clean_avail",),
 )
 def sink_panel(spark, sf_dir):
+    """The clean panel as it is written, by date."""
     path = new_path(spark, "panel")
-    write_panel(t.cells(spark, sf_dir), path, t.TZ)
+    cells, buckets = t.staged_cells(spark, sf_dir)
+    panel = im.impute(cells, buckets, t.edges(spark, sf_dir))
+    write_panel(panel, path, t.TZ)
+    release(panel, cells, buckets)
     return (
         spark.read.parquet(path)
         .groupBy("local_date")

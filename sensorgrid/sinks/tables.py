@@ -7,16 +7,15 @@ from pyspark.sql import DataFrame, functions as F
 from sensorgrid.functions import local_date
 
 
-def write_panel(panel: DataFrame, path: str, tz: str, files_per_date: int = 8) -> None:
+def write_panel(panel: DataFrame, path: str, tz: str) -> None:
     """Long panel, one folder per local date.
 
-    A date is written by at most ``files_per_date`` tasks, each with its share of the sensors:
-    no task holds a whole date, and no date is scattered over thousands of small files.
+    Dates are rebalanced by their size as it turns out at run time: a large date is written by many
+    tasks, and small dates share one, so there are neither huge nor thousands of tiny files.
     """
-    part = F.pmod(F.xxhash64("sensor_id"), F.lit(files_per_date))
     (
         panel.withColumn("local_date", local_date(F.col("bucket"), tz))
-        .repartition("local_date", part)
+        .hint("rebalance", F.col("local_date"))
         .sortWithinPartitions("local_date", "sensor_id", "bucket")
         .write.mode("overwrite")
         .partitionBy("local_date")
