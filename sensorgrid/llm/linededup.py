@@ -10,9 +10,11 @@ stay only in the smallest doc_id that holds them; there all their lines stay.
    (levels of collision-free bits, ranked) and three arrays it indexes: 32-bit fingerprints,
    counts and first holders.  A shard has about ``SHARD_LINES`` lines, however many there are.
 3. The documents' hashes are sent to the shards.  A shard's arrays arrive first, are held, and
-   the probes stream past them; lines are never joined.  Lines held by more than 1 / ``HOT`` of
-   all probes - there are fewer than ``HOT`` such lines, whatever the input - are answered
-   beside the shards from a broadcast table, so no shard is hot.
+   the probes stream past them; lines are never joined.  A shard that holds frequent lines gets
+   more probes than others: its arrays are copied, and its probes are dealt to the copies by
+   document.  Copies are counted so that none gets over ``SHARE`` times the mean of a shard (or
+   1 / ``HOT`` of all probes, if that is more); what is broadcast is the number of copies of the
+   shards that have several, fewer than ``HOT`` rows whatever the input.
 4. The lines to drop go back to their documents by doc_id.
 
 Every probe is a member of the hash's key set, so an answer is exact; the fingerprint guards
@@ -39,7 +41,8 @@ from sensorgrid.staging import release, stage
 
 SPACE = " \t\n\x0b\x0c\r"
 SHARD_LINES = 1 << 15
-HOT = 1000
+#: Probes of a copy of a shard: at most SHARE times the mean, or 1 / HOT of all.
+SHARE, HOT = 4, 1000
 #: Bits per key on each level of the hash.
 SPREAD = 2
 
@@ -150,12 +153,17 @@ def _lines(min_chars: int):
 
 
 def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (shard, h1, h2, n, first) sorted by shard: one row of arrays for each shard."""
+    """Rows (shard, h1, h2, count, first, n) sorted by shard: a row of arrays for each shard, with
+    the number of its probes."""
 
     def packed(shard, parts):
         keys = np.concatenate([p[0] for p in parts])
         blob = pack_shard(keys, *(np.concatenate([p[i] for p in parts]) for i in (1, 2)))
-        return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([blob], pa.binary())], names=["shard", "arrays"])
+        probes = sum(int(p[3].sum()) for p in parts)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([shard], pa.int64()), pa.array([probes], pa.int64()), pa.array([blob], pa.binary())],
+            names=["shard", "probes", "arrays"],
+        )
 
     shard, parts = None, []
     for batch in batches:
@@ -164,7 +172,7 @@ def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield packed(shard, parts)
                 parts = []
             shard = now
-            parts.append((_keys_of(batch, a, b, 1, 2), *(_numbers(batch.column(c).slice(a, b - a)) for c in (3, 4))))
+            parts.append((_keys_of(batch, a, b, 1, 2), *(_numbers(batch.column(c).slice(a, b - a)) for c in (3, 4, 5))))
     if parts:
         yield packed(shard, parts)
 
@@ -178,7 +186,7 @@ def _shards(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int]]:
 
 
 def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (shard, arrays, h1, h2, id) sorted by shard, arrays first: the lines to drop."""
+    """Rows (place, arrays, h1, h2, id) sorted by place, arrays first: the lines to drop."""
     held: Shard | None = None
     for batch in batches:
         for _, a, b in _shards(batch):
@@ -230,21 +238,25 @@ def _cut(text_at: int, lost_at: int, min_chars: int):
 
 
 def line_index(lines: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """Shards ``(shard, arrays)`` over the distinct lines of ``(h1, h2, id)``, the hot lines
-    ``(h1, h2, count, first)``, and the number of shards."""
+    """Shards ``(shard, probes, arrays)`` over the distinct lines of ``(h1, h2, id)``, the shards
+    of several ``copies``, and the number of shards."""
     spark = lines.sparkSession
     found = stage(
         lines.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("id").alias("first"), F.max("id").alias("last"))
-        .select("h1", "h2", F.when(F.col("first") == F.col("last"), 1).otherwise(F.col("n")).alias("count"), "first"),
+        .select("h1", "h2", F.when(F.col("first") == F.col("last"), 1).otherwise(F.col("n")).alias("count"), "first", "n"),
         "lines-distinct",
     )
-    total, distinct_lines = found.agg(F.sum("count"), F.count("*")).first()
+    total, distinct_lines = found.agg(F.sum("n"), F.count("*")).first()
     shards = max(8 * partitions(spark), -(-distinct_lines // SHARD_LINES))
-    dealt = found.select(F.pmod("h1", F.lit(shards)).alias("shard"), "h1", "h2", "count", "first")
-    index = map_batches(dealt.repartition("shard").sortWithinPartitions("shard"), _build, "shard long, arrays binary")
-    hot = found.where(F.col("count") > (total or 0) / HOT)
-    hot._staged_at = found._staged_at
-    return stage(index, "lines-index"), hot, shards
+    dealt = found.select(F.pmod("h1", F.lit(shards)).alias("shard"), "h1", "h2", "count", "first", "n")
+    index = stage(
+        map_batches(dealt.repartition("shard").sortWithinPartitions("shard"), _build, "shard long, probes long, arrays binary"),
+        "lines-index",
+    )
+    release(found)
+    most = max(SHARE * (total or 0) / shards, (total or 0) / HOT, 1.0)
+    split = index.where(F.col("probes") > most).select("shard", F.ceil(F.col("probes") / most).cast("long").alias("copies"))
+    return index, split, shards
 
 
 def drop_repeated_lines(docs: DataFrame, min_chars: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -252,20 +264,23 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = 10, id_col: str = "doc
     docs = docs.drop(*[c for c in docs.columns if c.lower() in ("n_lines", "n_dropped")])
     texts = docs.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).alias("text")).where("id is not null")
     lines = stage(map_batches(texts, _lines(min_chars), "h1 long, h2 long, id long"), "lines")
-    index, few, shards = line_index(lines)
-    # Fewer than HOT rows: their counts add up to at most the total.
-    hot = F.broadcast(few)
-    probes = lines.join(hot, ["h1", "h2"], "left_anti").select(
-        F.pmod("h1", F.lit(shards)).alias("shard"), F.lit(None).cast("binary").alias("arrays"), "h1", "h2", "id"
+    index, split, shards = line_index(lines)
+    # Fewer than HOT rows: each has over 1 / HOT of all probes.
+    split = F.broadcast(split)
+    copies = F.coalesce("copies", F.lit(1))
+    probes = lines.withColumn("shard", F.pmod("h1", F.lit(shards))).join(split, "shard", "left").select(
+        (F.col("shard") + shards * F.pmod(F.xxhash64("id"), copies)).alias("place"),
+        F.lit(None).cast("binary").alias("arrays"), "h1", "h2", "id",
     )
-    arrays = index.select("shard", "arrays", *[F.lit(None).cast("long").alias(c) for c in ("h1", "h2", "id")])
-    sent = arrays.unionAll(probes).repartition("shard").sortWithinPartitions("shard", F.col("arrays").isNull())
-    lost = map_batches(sent, _probe, "id long, h1 long, h2 long").unionAll(
-        lines.join(hot, ["h1", "h2"]).where("count > 1 and id <> first").select("id", "h1", "h2")
+    arrays = index.join(split, "shard", "left").withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1))).select(
+        (F.col("shard") + shards * F.col("copy")).alias("place"), "arrays",
+        *[F.lit(None).cast("long").alias(c) for c in ("h1", "h2", "id")],
     )
+    sent = arrays.unionAll(probes).repartition("place").sortWithinPartitions("place", F.col("arrays").isNull())
+    lost = map_batches(sent, _probe, "id long, h1 long, h2 long")
     key, gone = free_name(docs, "lost_id"), free_name(docs, "lost_lines")
     lost = stage(lost.groupBy(F.col("id").alias(key)).agg(F.collect_list(F.struct("h1", "h2")).alias(gone)), "lines-lost")
-    release(lines, index, few)
+    release(lines, index)
     joined = docs.join(lost, quoted(id_col).cast("long") == F.col(key), "left").drop(key)
     schema = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
     names = docs.columns

@@ -1,6 +1,7 @@
 import hypothesis.strategies as st
 import numpy as np
 from hypothesis import given, settings
+from pyspark.sql import functions as F
 
 from sensorgrid.llm import linededup
 from sensorgrid.llm.linededup import PerfectHash, Shard, drop_repeated_lines, pack_shard
@@ -45,8 +46,8 @@ def test_like_brute_force(spark, monkeypatch):
     pool = [f"Line number {i} of the pool" for i in range(40)] + ["short", "", "  É a line with accents ", "é a line with accents"]
     rows = [(int(i), "\n".join(rng.choice(pool, rng.integers(0, 9)))) for i in rng.permutation(120)]
     rows += [(500, None), (501, ""), (None, pool[0]), (None, pool[0]), (3, pool[1] + "\n" + pool[1]), (502, "\t line NUMBER 1 of the pool\r")]
-    for hot in (1000, 30):  # without and with lines answered from the broadcast table
-        monkeypatch.setattr(linededup, "HOT", hot)
+    for share in (1000, 1):  # without and with shards of several copies
+        monkeypatch.setattr(linededup, "SHARE", share)
         df = spark.createDataFrame([(9, *r, "x") for r in rows], "n_lines int, doc_id long, text string, lost_id string")
         out = drop_repeated_lines(df)
         assert out.columns == ["doc_id", "text", "lost_id", "n_lines", "n_dropped"]
@@ -55,3 +56,18 @@ def test_like_brute_force(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert drop_repeated_lines(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_frequent_line_goes_to_copies_of_its_shard(spark):
+    rows = [(i, f"this line is in every document\nonly number {i} holds this line") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    index, split, shards = linededup.line_index(
+        df.select(F.xxhash64(F.lit("a")).alias("h1"), F.lit(1).cast("long").alias("h2"), F.col("doc_id").alias("id"))
+        .unionAll(df.select(F.xxhash64("text").alias("h1"), F.lit(2).cast("long").alias("h2"), F.col("doc_id").alias("id")))
+    )
+    probes = {r.shard: r.probes for r in index.collect()}
+    copies = {r.shard: r.copies for r in split.collect()}
+    assert sum(probes.values()) == 800 and copies
+    most = linededup.SHARE * 800 / shards
+    assert all(n / copies.get(shard, 1) <= most for shard, n in probes.items())
+    assert sorted(((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in drop_repeated_lines(df).collect()), key=str) == brute(rows)
