@@ -1,10 +1,11 @@
 """License scans by diagonal voting (operator 10).
 
 1. One pass gives the hashes of all rolling word k-grams of every text, in order.
-2. They are joined with the k-grams of the templates (a fixed list of a few hundred rows).  A
+2. They are joined with the k-grams of the templates (a fixed list, a row per k-gram).  A
    match at word p of a text and word q of a template votes for the diagonal p - q.
 3. Votes are counted by text, template and diagonal; a bit for each template word tells which
-   of its k-grams matched.
+   of its k-grams matched (``BITS`` words a column, as many columns as the longest template
+   needs, so whole license texts may be templates).
 4. Neighbouring diagonals (up to ``SLACK`` words inserted or left out) are merged into a span.
 5. A span is verified: the matches must cover ``COVER`` of the template's words within a
    stretch of at most ``STRETCH`` times its length.
@@ -21,6 +22,7 @@ one by one, so rows that share a doc_id, and null ids, each get a row.  Other co
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +35,8 @@ K = 3
 SLACK = 4
 COVER = 0.7
 STRETCH = 1.5
+#: Template words a column of bits stands for.
+BITS = 62
 
 # Phrases and labels that are counted word for word.
 PHRASES = {
@@ -41,7 +45,7 @@ PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
-# Sentences of public license notices, and their labels (62 words at most each).
+# Sentences of public license notices, and their labels.
 NOTICES = {
     "permission is hereby granted free of charge to any person obtaining a copy of this software and "
     "associated documentation files the software to deal in the software without restriction": "mit",
@@ -71,17 +75,19 @@ def _words(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(data, offsets, SYMBOLS)
 
 
-def templates(spark: SparkSession, phrases: dict[str, str], notices: dict[str, str], k: int) -> DataFrame:
-    """``gram, template, place, n_words, label, exact``: one row per k-gram of each template."""
+def templates(spark: SparkSession, phrases: dict[str, str], notices: dict[str, str], k: int) -> tuple[DataFrame, int]:
+    """``gram, template, place, n_template, label, exact``, one row per k-gram of each template,
+    and the number of words of the longest one."""
     rows = [(END, -1, 0, 0, None, False)]
     for number, (text, label) in enumerate([*phrases.items(), *notices.items()]):
         words = _words(*utf8(pa.array([text])))
         n = int(words.counts()[0])
-        if not k <= n <= 62:
-            raise ValueError(f"a template has {k} to 62 words: {text}")
+        if n < k:
+            raise ValueError(f"a template has at least {k} words: {text}")
         grams = words.grams(k)[0].view(np.int64)
         rows += [(int(g), number, q, n, label, number < len(phrases)) for q, g in enumerate(grams)]
-    return spark.createDataFrame(rows, "gram long, template int, place int, n_template int, label string, exact boolean")
+    kind = "gram long, template int, place int, n_template int, label string, exact boolean"
+    return spark.createDataFrame(rows, kind), max(row[3] for row in rows)
 
 
 def _grams(k: int):
@@ -109,22 +115,40 @@ def license_votes(docs: DataFrame, phrases: dict[str, str], notices: dict[str, s
     kind = texts.schema["doc_id"].dataType.simpleString()
     grams = map_batches(texts, _grams(k), f"uid long, doc_id {kind}, n_words long, grams array<long>")
     rolling = grams.select("uid", "doc_id", "n_words", F.posexplode("grams").alias("at", "gram"))
-    # A few hundred rows, fixed by the lists above.
-    matches = rolling.join(F.broadcast(templates(docs.sparkSession, phrases, notices, k)), "gram")
+    # As many rows as the caller's list of templates has words.
+    known, longest = templates(docs.sparkSession, phrases, notices, k)
+    matches = rolling.join(F.broadcast(known), "gram")
     start = F.when(F.col("template") < 0, 0).otherwise(F.col("at") - F.col("place"))
     return matches.groupBy(
         "uid", "doc_id", "n_words", "template", "n_template", "label", "exact", start.cast("long").alias("start")
     ).agg(
-        F.bit_or(F.expr("shiftleft(1L, place)")).alias("bits"), F.min("at").alias("low"), F.max("at").alias("high")
+        *[
+            F.bit_or(F.expr(f"if(place div {BITS} = {i}, shiftleft(1L, place % {BITS}), 0L)")).alias(f"bits{i}")
+            for i in range(max(1, -(-longest // BITS)))
+        ],
+        F.min("at").alias("low"), F.max("at").alias("high"),
     )
 
 
-def _covered(bits, k: int):
-    """Template words under the matched k-grams."""
-    wide = bits
-    for j in range(1, k):
-        wide = wide.bitwiseOR(F.shiftleft(bits, j))
-    return F.bit_count(wide)
+def _bits(votes: DataFrame) -> list[str]:
+    return [f"bits{i}" for i in range(sum(c.startswith("bits") for c in votes.columns))]
+
+
+def _count(columns):
+    return reduce(lambda a, b: a + b, [F.bit_count(c) for c in columns])
+
+
+def _covered(names: list[str], k: int):
+    """Template words under the matched k-grams: the words of a k-gram may lie in two columns."""
+    words = []
+    for i, name in enumerate(names):
+        wide = F.col(name)
+        for j in range(1, k):
+            wide = wide.bitwiseOR(F.shiftleft(name, j))
+            if i:
+                wide = wide.bitwiseOR(F.shiftrightunsigned(names[i - 1], BITS - j))
+        words.append(wide.bitwiseAND(F.lit((1 << BITS) - 1)))
+    return _count(words)
 
 
 def license_spans(votes: DataFrame, k: int = K) -> DataFrame:
@@ -135,13 +159,14 @@ def license_spans(votes: DataFrame, k: int = K) -> DataFrame:
     order = Window.partitionBy("uid", "template").orderBy("start")
     opens = F.when(F.col("start") - F.lag("start").over(order) <= SLACK, 0).otherwise(1)
     marked = votes.withColumn("opens", opens).withColumn("span", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    place = F.col("exact") & (F.bit_count("bits") == F.col("n_template") - k + 1)
+    names = _bits(votes)
+    place = F.col("exact") & (_count(map(F.col, names)) == F.col("n_template") - k + 1)
     spans = marked.groupBy("uid", "doc_id", "n_words", "template", "n_template", "label", "span").agg(
-        F.bit_or("bits").alias("bits"), F.min("low").alias("low"), F.max("high").alias("high"),
+        *[F.bit_or(c).alias(c) for c in names], F.min("low").alias("low"), F.max("high").alias("high"),
         F.count_if(place).alias("places"),
         F.min(F.when(place, F.col("start"))).alias("first"), F.max(F.when(place, F.col("start"))).alias("last"),
     )
-    cover = F.when(F.col("template") < 0, 0.0).otherwise(_covered(F.col("bits"), k) / F.col("n_template"))
+    cover = F.when(F.col("template") < 0, 0.0).otherwise(_covered(names, k) / F.col("n_template"))
     near = (F.col("high") - F.col("low") + k) <= STRETCH * F.col("n_template")
     return spans.withColumn("cover", cover).withColumn("found", (F.col("places") > 0) | ((F.col("cover") >= COVER) & near))
 

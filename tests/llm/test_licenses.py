@@ -45,3 +45,30 @@ def test_edited_notices(spark):
     out = {r.doc_id: r for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert all(label in out[i].labels.split(",") for i, label in want.items())
     assert out[99].labels == "" and 0 < out[99].score < 0.7
+
+
+def covered(text, template, k=3):
+    """Words of the template under its k-grams that stand in the text, by plain loops."""
+    grams = {tuple(text[i : i + k]) for i in range(len(text) - k + 1)}
+    return len({q + j for q in range(len(template) - k + 1) if tuple(template[q : q + k]) in grams for j in range(k)})
+
+
+def test_long_templates_like_brute_force(spark):
+    template = [f"t{i}" for i in range(400)]
+    rng = random.Random(8)
+    rows = [(0, " ".join(template)), (1, " ".join(template[:290])), (2, " ".join(template[:150])), (3, None)]
+    for i in range(4, 24):  # scattered words replaced: spans cross the borders of bit columns
+        text = template[:]
+        for _ in range(rng.randrange(1, 40)):
+            text[rng.randrange(400)] = "other"
+        rows.append((i, " ".join(["before", *text, "after"])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r for r in scan_licenses(df, {" ".join(template[:130]): "part"}, {" ".join(template): "long"}).collect()}
+    for i, text in rows:
+        # The share of the phrase, if it is the larger one, is the score.
+        share = max(covered(words(text), template) / 400, covered(words(text), template[:130]) / 130)
+        assert abs(out[i].score - share) < 1e-12
+        long = covered(words(text), template) / 400 >= 0.7
+        part = covered(words(text), template[:130]) / 130 >= 0.7
+        assert out[i].labels == ",".join(x for x, y in (("long", long), ("part", part)) if y)
+    assert [out[i].n_base for i in (0, 1, 2, 3)] == [1, 1, 1, 0] and out[0].base_labels == "part"
