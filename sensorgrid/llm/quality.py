@@ -7,14 +7,16 @@ attention weight, softmax(w . (tanh(V h) * sigmoid(U h))), and scores the weight
 encodings.  Only document labels are needed.
 
 Scoring runs in the tasks that read the texts; the model, some 100 kB, travels with the task.
-Fitting takes a bounded sample: the ``TRAIN_DOCUMENTS`` labelled documents whose ids hash
-lowest, and of each at most ``TRAIN_PASSAGES`` passages, evenly spread.  Everything else covers
-all rows and all passages.
+Fitting takes a bounded sample: of the labelled documents whose ids hash lowest, at most
+``max_documents`` with at most ``max_passages`` passages in all.  A document is in the sample
+with all its passages or not at all; one that no longer fits is passed over.  Everything else
+covers all rows.
 
 Defined cases: a null or empty text is a bag of one passage of zeros and gets a score like any
 other; with no usable labels every score is 0.5; documents with two different labels count
-under both; a null doc_id is scored and is never held out.  Columns named like the results are
-replaced, others kept.
+under both; equal rows of a doc_id count once, rows of a doc_id with different texts are bags of
+their own, all within the bounds; a null doc_id is scored and is never held out.  Columns named
+like the results are replaced, others kept.
 """
 
 from __future__ import annotations
@@ -28,13 +30,14 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sensorgrid.llm.common import map_batches, quoted
 from sensorgrid.llm.words import SPACES, Words, chunks, utf8
+from sensorgrid.staging import release, stage
 
 PASSAGE_WORDS = 100
 TRIPLES = 256
 #: Byte shares, triple shares, and the ratios of ``_ratios``.
 WIDTH = 256 + TRIPLES + 6
-TRAIN_DOCUMENTS = 3000
-TRAIN_PASSAGES = 32
+#: Bounds of the sample a model is fitted on, if the caller names no others.
+TRAIN_DOCUMENTS, TRAIN_PASSAGES = 3000, 100_000
 HIDDEN, ATTENTION = 24, 16
 
 
@@ -167,37 +170,55 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (quality, text): the label and the features of at most TRAIN_PASSAGES passages."""
+    """Rows (id, quality, text): the features of all passages of each text."""
     for batch in batches:
-        data, off = utf8(batch.column(1))
+        data, off = utf8(batch.column(2))
         for a, b in chunks(off):
             x, first = passages(data[off[a] : off[b]], off[a : b + 1] - off[a])
-            bags = []
-            for i, j in zip(first[:-1], first[1:], strict=True):
-                chosen = np.unique(np.linspace(i, j - 1, min(j - i, TRAIN_PASSAGES)).astype(int))
-                bags.append(x[chosen].astype(np.float16).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(bags, pa.binary())], names=["quality", "bag"])
+            bags = [x[i:j].astype(np.float16).tobytes() for i, j in zip(first[:-1], first[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [*(c.slice(a, b - a) for c in batch.columns[:2]), pa.array(np.diff(first), pa.int64()), pa.array(bags, pa.binary())],
+                names=["id", "quality", "n", "bag"],
+            )
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> AttentionModel:
-    """A model of ``labels (doc_id, quality)``, from rows that are not held out."""
+def fit(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    max_documents: int = TRAIN_DOCUMENTS, max_passages: int = TRAIN_PASSAGES,
+) -> AttentionModel:
+    """A model of ``labels (doc_id, quality)``, from rows that are not held out (runs jobs).
+
+    The driver gets at most ``max_passages`` passages of about 1 kB each."""
     usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     chosen = (
         usable.select(F.col("doc_id").cast("long").alias("label_id"), F.col("quality").cast("int").alias("quality")).distinct()
-        .orderBy(F.xxhash64("label_id"), "label_id", "quality").limit(TRAIN_DOCUMENTS)
+        .orderBy(F.xxhash64("label_id"), "label_id", "quality").limit(max_documents)
     )
-    # At most TRAIN_DOCUMENTS ids and labels.
+    # At most max_documents ids and labels.
     texts = docs.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).alias("text"))
-    rows = texts.join(F.broadcast(chosen), F.col("id") == F.col("label_id")).select("quality", "text", "id")
-    rows = map_batches(rows.select("quality", "text"), _bags, "quality int, bag binary").collect()
+    rows = texts.join(F.broadcast(chosen), F.col("id") == F.col("label_id")).select("id", "quality", "text")
+    bags = stage(
+        map_batches(rows, _bags, "id long, quality int, n long, bag binary").withColumn("mark", F.xxhash64("bag")), "quality-bags"
+    )
+    sizes = bags.select("id", "quality", "mark", "n").distinct().orderBy(F.xxhash64("id"), "id", "quality", "mark").limit(max_documents)
+    taken, room = [], max_passages
+    for r in sizes.collect():
+        if r.n <= room:
+            taken.append((r.id, r.quality, r.mark))
+            room -= r.n
     model = AttentionModel.fresh()
-    if not rows:
+    if not taken:
+        release(bags)
         model.weights["c"][:] = 0
         return model
+    key = ["id", "quality", "mark"]
+    sample = docs.sparkSession.createDataFrame(taken, "id long, quality int, mark long")
+    rows = bags.join(F.broadcast(sample), key).groupBy(key).agg(F.first("bag").alias("bag")).select("quality", "bag").collect()
+    release(bags)
     rows.sort(key=lambda r: (r.bag, r.quality))
-    bags = [np.frombuffer(r.bag, np.float16).reshape(-1, WIDTH) for r in rows]
-    first = np.concatenate([[0], np.cumsum([len(b) for b in bags])])
-    return model.train(np.concatenate(bags).astype(np.float32), first, np.array([r.quality for r in rows]))
+    parts = [np.frombuffer(r.bag, np.float16).reshape(-1, WIDTH) for r in rows]
+    first = np.concatenate([[0], np.cumsum([len(b) for b in parts])])
+    return model.train(np.concatenate(parts).astype(np.float32), first, np.array([r.quality for r in rows]))
 
 
 def _score(model: AttentionModel, text_at: int):
