@@ -54,6 +54,7 @@ def test_copies_and_clean_documents(spark):
     out = contaminated(df, tests).collect()
     found = {(r.doc_id, r.item_id) for r in out}
     assert found == want | {(202, 2)} and len(out) == len(found)
+    assert {(r.doc_id, r.item_id) for r in contaminated(df, tests, short=False).collect()} == found
     exact = next(r for r in out if r.doc_id == 202)
     assert (exact.score, exact.first_word, exact.last_word) == (1.0, 0, len(items[2][1].split()) - 1)
     kept = drop_contaminated(df, tests)
@@ -68,3 +69,36 @@ def test_empty_tables(spark):
     assert contaminated(docs.limit(0), items).collect() == []
     assert contaminated(docs, items.limit(0)).collect() == []
     assert len(contaminated(docs, items).collect()) == 1
+
+
+def test_short_items_like_brute_force(spark):
+    rng = random.Random(4)
+    docs = [(i, " ".join(rng.choice(["Red", "blue,", "GREEN", "\u00e9t\u00e9"]) for _ in range(rng.randrange(12)))) for i in range(60)]
+    docs += [(70, None), (None, "red blue"), (0, docs[0][1])]
+    items = [(1, "red blue"), (2, "Green"), (3, "blue red green"), (4, "\u00c9t\u00e9 red"), (5, "red blue"), (6, ""), (7, "black"), (None, "red")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    want = set()
+    for i, text in docs:
+        has = (text or "").lower().replace(",", "").split()
+        for item, phrase in items:
+            p = phrase.lower().split()
+            at = [k for k in range(len(has) - len(p) + 1) if has[k : k + len(p)] == p]
+            if i is not None and item is not None and p and at:
+                want.add((i, item, 1.0, at[0], at[0] + len(p) - 1))
+    out = contaminated(df, tests).collect()
+    assert {tuple(r) for r in out} == want and len(out) == len(want) > 20
+    assert drop_contaminated(df, tests).count() == len(docs)
+    gone = {i for i, *_ in want}
+    assert drop_contaminated(df, tests, short=True).count() == sum(i not in gone for i, _ in docs)
+
+
+def test_one_rule_for_all_lengths(spark):
+    """Half of the words decides, for long items too."""
+    item = [f"w{i}" for i in range(400)]
+    docs = [(0, " ".join(item)), (1, " ".join(item[:210])), (2, " ".join(item[:150])), (3, " ".join(item[100:310]))]
+    out = contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame([(9, " ".join(item))], "item_id long, text string"),
+    ).collect()
+    assert {r.doc_id: r.score for r in out} == {0: 1.0, 1: 210 / 400, 3: 210 / 400}

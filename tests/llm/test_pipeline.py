@@ -97,3 +97,28 @@ def test_empty_documents(spark, folder, tmp_path):
     empty = spark.read.parquet(f"{path}/documents.parquet").limit(0)
     for name, apply in corpus_pipeline.STAGES[:-1]:
         assert apply(spark, empty, path).collect() == [], name
+
+
+def test_columns_named_like_results_are_carried(spark, folder):
+    path, rows, _ = folder
+    docs = spark.createDataFrame(
+        [(*r, 0.25, i, "x", 7) for i, r in enumerate(rows)], KIND + ", Score double, n_lines long, n_dropped string, given_score int"
+    )
+    for _, apply in corpus_pipeline.STAGES[:4]:
+        out = apply(spark, docs, path)
+        assert out.columns == docs.columns
+        docs = spark.createDataFrame(out.collect(), docs.schema)
+    got = docs.collect()
+    number = {(r[0]): i for i, r in enumerate(rows)}
+    assert len(got) > 20 and all((r.Score, r.n_lines, r.n_dropped, r.given_score) == (0.25, number[r.doc_id], "x", 7) for r in got)
+
+
+def test_empty_tables_pass_through(spark, folder, tmp_path):
+    path, rows, items = folder
+    for name in ("documents", "benchmark", "labels"):
+        spark.read.parquet(f"{path}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+    # Without labels every score is 0.5, without test items nothing is found: all documents stay.
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    good, _, _, unseen, _ = (f for _, f in corpus_pipeline.STAGES)
+    assert good(spark, docs, str(tmp_path)).count() == unseen(spark, docs, str(tmp_path)).count() == len(rows)
