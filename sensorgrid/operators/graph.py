@@ -13,6 +13,8 @@ from sensorgrid.operators.indexing import dense_position
 # Tolerances of the symmetry test: |a - b| <= ATOL + RTOL * |b|.
 ATOL = 1e-6
 RTOL = 1e-5
+# A node is a hub if it has more than PIECE edges and more than 1 / HUBS of all edges.
+PIECE, HUBS = 100_000, 1000
 
 
 def neighbors(edges: DataFrame) -> DataFrame:
@@ -34,6 +36,29 @@ def join_links(
     return salted.join(copies, [key, "_salt"], how).drop("_salt")
 
 
+def join_nodes(
+    edges: DataFrame, values: DataFrame, key: str, how: str = "inner", piece: int = PIECE,
+    counted: DataFrame | None = None,
+) -> DataFrame:
+    """``edges`` joined on ``key`` (src or dst) with a table of one row per node.
+
+    The edges of a hub are dealt to as many copies of its row as it has pieces of edges; all
+    other nodes are joined plainly.  Edges are counted before the shuffle, and what is broadcast
+    are the hubs, fewer than ``HUBS`` rows.  ``counted`` is the table the edges come from, if
+    they are the result of a join that need not run again for the counts.
+    """
+    counts = (edges if counted is None else counted).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    share = counts.agg((F.sum("_n") / HUBS).alias("share")).scalar()
+    most = F.greatest(share, F.lit(float(piece)))
+    hubs = F.broadcast(
+        counts.where(F.col("_n") > most).select(key, F.ceil(F.col("_n") / most).cast("int").alias("_copies"))
+    )
+    copies = F.coalesce("_copies", F.lit(1))
+    dealt = edges.join(hubs, key, "left").withColumn("_copy", F.pmod(F.xxhash64("src", "dst"), copies).cast("int"))
+    rows = values.join(hubs, key, "left").withColumn("_copy", F.explode(F.sequence(F.lit(0), copies - 1)))
+    return dealt.drop("_copies").join(rows.drop("_copies"), [key, "_copy"], how).drop("_copy")
+
+
 def has_node(candidates: DataFrame, nodes: DataFrame, key: str = "node_id") -> DataFrame:
     """The candidates that are nodes of the graph."""
     return candidates.join(nodes.select(F.col("node_id").alias(key)), key, "left_semi")
@@ -166,13 +191,12 @@ def graph_normalize(edges: DataFrame, method: str = "symmetric", zero_degree: st
     else:
         value = F.nullif(F.coalesce(F.col("degree"), F.lit(0.0)), F.lit(0.0))
     deg = degrees(edges)
-    left = edges.join(deg.withColumnRenamed("node_id", "src"), "src", "left").withColumn("ds", value)
+    left = join_nodes(edges, deg.withColumnRenamed("node_id", "src"), "src", "left").withColumn("ds", value)
     if method == "row":
         scaled = left.select("src", "dst", (F.lit(1.0) / F.col("ds") * F.col("weight")).alias("weight"))
     else:
         scaled = (
-            left.drop("degree")
-            .join(deg.withColumnRenamed("node_id", "dst"), "dst", "left")
+            join_nodes(left.drop("degree"), deg.withColumnRenamed("node_id", "dst"), "dst", "left", counted=edges)
             .withColumn("dd", value)
             .select(
                 "src",
@@ -223,7 +247,7 @@ def subgraph(edges: DataFrame, nodes: DataFrame, keep: DataFrame) -> tuple[DataF
     index = dense_position(common, ["node_id"])
     src = index.select(F.col("node_id").alias("src"), F.col("pos").alias("src_pos"))
     dst = index.select(F.col("node_id").alias("dst"), F.col("pos").alias("dst_pos"))
-    return index, edges.join(src, "src").join(dst, "dst").select(
+    return index, join_nodes(join_nodes(edges, src, "src"), dst, "dst", counted=edges).select(
         "src", "dst", "weight", "distance", "src_pos", "dst_pos"
     )
 
@@ -239,7 +263,7 @@ def align_graph(edges: DataFrame, nodes: DataFrame, order: DataFrame, check: boo
         raise ValueError("graph is missing a sensor of the panel")
     src = ids.select(F.col("node_id").alias("src"), F.col("pos").alias("src_pos"))
     dst = ids.select(F.col("node_id").alias("dst"), F.col("pos").alias("dst_pos"))
-    return edges.join(src, "src").join(dst, "dst").select("src_pos", "dst_pos", "src", "dst", "weight")
+    return join_nodes(join_nodes(edges, src, "src"), dst, "dst", counted=edges).select("src_pos", "dst_pos", "src", "dst", "weight")
 
 
 def alignment_preview(order: DataFrame, n: int = 5) -> DataFrame:
@@ -272,9 +296,9 @@ def laplacian(edges: DataFrame, nodes: DataFrame, eps: float = 1e-8) -> DataFram
 def scaled_adjacency(edges: DataFrame, eps: float = 1e-8) -> DataFrame:
     deg = degrees(edges)
     root = F.lit(1.0) / F.sqrt(F.coalesce(F.col("degree"), F.lit(0.0)) + F.lit(eps))
-    left = edges.join(deg.withColumnRenamed("node_id", "src"), "src", "left").select(
+    left = join_nodes(edges, deg.withColumnRenamed("node_id", "src"), "src", "left").select(
         "src", "dst", (root * F.col("weight")).alias("w")
     )
-    return left.join(deg.withColumnRenamed("node_id", "dst"), "dst", "left").select(
+    return join_nodes(left, deg.withColumnRenamed("node_id", "dst"), "dst", "left", counted=edges).select(
         "src", "dst", (F.col("w") * root).alias("s")
     )

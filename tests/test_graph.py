@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sensorgrid.operators import graph as g
 from sensorgrid.operators.spectral import spectral_encoding
@@ -138,3 +139,29 @@ def test_hub_links_are_spread(spark):
     assert salted.count() == salted.distinct().count() == 50 * 39 + 50
     lonely = spark.createDataFrame([(9, 1)], "sensor_id BIGINT, bucket BIGINT")
     assert g.join_links(lonely, links, "sensor_id", "bucket", "left").collect()[0].neighbor is None
+
+
+@pytest.mark.parametrize("key", ["src", "dst"])
+def test_hub_edges_are_dealt_to_copies(spark, key):
+    """One node has a third of all edges: same rows as a plain join, and no large task."""
+    pairs = {(0, i) for i in range(1, 2001)} | {(i, 1 + (i * 7 + j) % 2000) for i in range(1, 2001) for j in range(2)}
+    other = "dst" if key == "src" else "src"
+    df = stage(spark.createDataFrame(sorted(pairs), f"{key} BIGINT, {other} BIGINT"), "hub")
+    # Node 5 has no value, node 9999 has no edge.
+    values = spark.createDataFrame([(i, i * 2) for i in [*range(5), *range(6, 2001), 9999]], f"{key} BIGINT, v BIGINT")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        for how in ("inner", "left"):
+            joined = g.join_nodes(df, values, key, how, piece=50)
+            rows = joined.select(key, other, "v", F.spark_partition_id().alias("task")).collect()
+            plain = {(r[key], r[other], r.v) for r in df.join(values, key, how).collect()}
+            assert {(r[key], r[other], r.v) for r in rows} == plain and len(rows) == len(plain)
+            tasks = np.bincount([r.task for r in rows], minlength=16)
+            assert tasks.max() < 3 * np.median(tasks)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert g.join_nodes(df.limit(0), values, key).collect() == []
