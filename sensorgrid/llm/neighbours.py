@@ -2,7 +2,7 @@
 
 1. Equal vectors are one point: of each point the smallest ``k + 1`` ids are enough for any
    query's k nearest, so a vector that a third of all rows share is reduced before the shuffle.
-2. Points are dealt to shards of about ``SHARD_POINTS`` by hash.  A shard becomes a hierarchical
+2. Points are dealt to shards of about ``SHARD_POINTS`` (fewer if longer than ``SHARD_BYTES``) by hash.  A shard becomes a hierarchical
    navigable small-world graph: points get levels with geometrically falling chances; on each
    level a point is tied to neighbours chosen among its ``WIDE`` nearest, leaving out those that
    lie closer to one already chosen, and ties are made mutual.  Neighbours are stored as flat
@@ -34,12 +34,16 @@ from sensorgrid.llm.common import map_batches, partitions, quoted
 from sensorgrid.llm.words import mix
 from sensorgrid.staging import stage
 
-SHARD_POINTS = 2000
+SHARD_POINTS = 16000
+#: Bytes of vectors, which make shards of long vectors smaller.
+SHARD_BYTES = 32 << 20
 #: Ties per point on the upper levels; twice as many on the lowest.
 TIES = 16
 WIDE = 64
-BEAM = 96
+BEAM = 160
 QUERY_BLOCK = 256
+#: Points of a shard whose products with all others are held at a time.
+ROWS = 512
 
 
 def usable(vector: Column) -> Column:
@@ -48,32 +52,54 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & sound & F.exists(wide, lambda x: x != 0)
 
 
+def _spread(unit: np.ndarray, nearest: np.ndarray, close: np.ndarray, most: int) -> np.ndarray:
+    """Of each row's points, nearest first, up to ``most`` that are closer to the row than to any taken before."""
+    rows = np.arange(len(nearest))
+    chosen, counts = np.full((len(rows), most), -1), np.zeros(len(rows), np.int64)
+    between = np.full(nearest.shape, -np.inf, np.float32)
+    for rank in range(nearest.shape[1]):
+        take = np.flatnonzero((counts < most) & (between[:, rank] < close[:, rank]))
+        chosen[take, counts[take]] = nearest[take, rank]
+        counts[take] += 1
+        later = nearest[take, rank + 1 :]
+        sims = np.einsum("qd,qkd->qk", unit[nearest[take, rank]], unit[later])
+        between[take, rank + 1 :] = np.maximum(between[take, rank + 1 :], sims)
+    return chosen
+
+
 def _ties(unit: np.ndarray, most: int) -> np.ndarray:
-    """(n, most) neighbour numbers of unit vectors, -1 where there are fewer."""
+    """(n, most or a few more) neighbour numbers of unit vectors, -1 where there are fewer."""
     n = len(unit)
     if n < 2:
         return np.full((n, most), -1, np.int32)
-    near = unit @ unit.T
-    np.fill_diagonal(near, -np.inf)
     wide = min(WIDE, n - 1)
-    nearest = np.argpartition(-near, wide - 1, axis=1)[:, :wide]
-    rows = np.arange(n)[:, None]
-    nearest = nearest[rows, np.argsort(-near[rows, nearest], axis=1, kind="stable")]
-    chosen, counts = np.full((n, most // 2), -1), np.zeros(n, np.int64)
-    for rank in range(wide):
-        new = nearest[:, rank]
-        between = np.where(chosen >= 0, near[new[:, None], chosen], -np.inf).max(axis=1)
-        take = (counts < most // 2) & (between < near[np.arange(n), new])
-        chosen[take, counts[take]] = new[take]
-        counts += take
+    chosen = np.full((n, most // 2), -1)
+    for first in range(0, n, ROWS):
+        own = np.arange(first, min(first + ROWS, n))
+        near = unit[own] @ unit.T
+        near[np.arange(len(own)), own] = -np.inf
+        nearest = np.argpartition(-near, wide - 1, axis=1)[:, :wide]
+        close = np.take_along_axis(near, nearest, axis=1)
+        order = np.argsort(-close, axis=1, kind="stable")
+        chosen[own] = _spread(unit, np.take_along_axis(nearest, order, axis=1), np.take_along_axis(close, order, axis=1), most // 2)
     a, b = np.nonzero(chosen >= 0)[0], chosen[chosen >= 0]
     edges = np.unique(np.concatenate([np.column_stack([a, b]), np.column_stack([b, a])]), axis=0)
-    order = np.lexsort((-near[edges[:, 0], edges[:, 1]], edges[:, 0]))
+    order = np.lexsort((-np.einsum("ed,ed->e", unit[edges[:, 0]], unit[edges[:, 1]]), edges[:, 0]))
     a, b = edges[order, 0], edges[order, 1]
     place = np.arange(len(a)) - np.searchsorted(a, a)
     out = np.full((n, most), -1, np.int32)
     fits = place < most
     out[a[fits], place[fits]] = b[fits]
+    # A point that all its neighbours have dropped for nearer ones is added to its nearest one's list.
+    lost = np.setdiff1d(np.arange(n), out[out >= 0])
+    if len(lost):
+        hosts = chosen[lost, 0]
+        by_host = np.argsort(hosts, kind="stable")
+        hosts, lost = hosts[by_host], lost[by_host]
+        place = np.arange(len(hosts)) - np.searchsorted(hosts, hosts)
+        more = np.full((n, place.max() + 1), -1, np.int32)
+        more[hosts, place] = lost
+        out = np.concatenate([out, more], axis=1)
     return out
 
 
@@ -235,7 +261,8 @@ def build_index(vectors: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
     few = vectors.distinct().withColumn("r", F.row_number().over(own)).where(F.col("r") <= k + 1)
     points = stage(few.groupBy("v").agg(F.collect_list("vec_id").alias("ids")).withColumn("width", F.size("v")), "vectors")
     widths = points.groupBy("width").count()
-    count = F.greatest(F.lit(1), F.ceil(F.col("count") / SHARD_POINTS))
+    size = F.greatest(F.col("count") / SHARD_POINTS, F.col("count") * F.col("width") * 8 / SHARD_BYTES)
+    count = F.greatest(F.lit(1), F.ceil(size))
     # One row per vector length.
     shards = widths.select("width", count.alias("shards"), (F.sum(count).over(
         Window.orderBy("width").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - count).alias("first"))

@@ -68,3 +68,21 @@ def test_graph_reaches_all_points():
     assert len(graph.levels) > 1
     found = graph.search(graph.unit, 64)
     assert (found[:, 0] == np.arange(300)).mean() > 0.99
+
+
+def test_every_point_is_on_a_list():
+    rng = np.random.default_rng(3)
+    # Hubs: all points lie around few centres, whose own lists are full of nearer points.
+    x = np.concatenate([rng.normal(size=(2000, 48)), rng.normal(size=(200, 48)) * 0.05 + 1])
+    graph = Graph.build(x, 1)
+    for points, ties in graph.levels:
+        if len(points) > 1:
+            assert set(ties[ties >= 0].tolist()) == set(range(len(points)))
+
+
+def test_long_vectors_make_smaller_shards(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SHARD_BYTES", 40 * 16 * 8)
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, rng.normal(size=16).tolist(), 0) for i in range(200)], KIND)
+    index, shards = neighbours.build_index(df.selectExpr("vec_id", "transform(embedding, x -> cast(x as double)) v"), 5)
+    assert [r.shards for r in shards.collect()] == [5] and index.count() == 5
