@@ -10,7 +10,7 @@ from sensorgrid.operators.indexing import canonical_nodes
 from sensorgrid.plans.catalog import tables as t
 from sensorgrid.plans.catalog.registry import query
 from sensorgrid.sinks import write_graph
-from sensorgrid.sources import edges_from_documents, sensor_metadata
+from sensorgrid.sources import edges_from_documents, read_graph, sensor_metadata
 from sensorgrid import schemas
 from sensorgrid.staging import new_path, stage
 
@@ -283,6 +283,39 @@ def graph_edges_from_matrix(spark, sf_dir):
     return edges_from_documents(docs)
 
 
+@query(
+    "graph_document_file",
+    """SELECT l_suppkey AS src, (l_partkey + 3 * l_linenumber) % n AS dst, CAST(count(*) AS DOUBLE) AS weight,
+        CAST(sum(l_quantity) AS DOUBLE) AS distance
+        FROM lineitem, (SELECT max(s_suppkey) + 1 AS n FROM supplier) GROUP BY 1, 2""",
+)
+def graph_document_file(spark, sf_dir):
+    """A dense document of the suppliers, written as one file and read in byte ranges; it has a cell
+    for each pair of suppliers and a text line for each row of a matrix."""
+    n = t.table(spark, sf_dir, "supplier").agg((F.max("s_suppkey") + 1).cast("bigint").alias("n")).scalar()
+    links = t.table(spark, sf_dir, "lineitem").groupBy(
+        F.col("l_suppkey").cast("bigint").alias("src"), F.pmod(F.col("l_partkey") + 3 * F.col("l_linenumber"), n).cast("bigint").alias("dst")
+    ).agg(F.count(F.lit(1)).cast("double").alias("weight"), F.sum("l_quantity").cast("double").alias("distance"))
+    rows = links.groupBy("src").agg(F.map_from_entries(F.collect_list(F.struct("dst", F.struct("weight", "distance")))).alias("m"))
+    count = t.table(spark, sf_dir, "supplier").select(n.alias("n")).limit(1)
+    whole = count.select("n", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("src")).join(rows, "src", "left")
+
+    def lines(order: int, name: str, field: str) -> DataFrame:
+        cells = F.transform(
+            F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1),
+            lambda j: F.coalesce(F.try_element_at("m", j)[field], F.lit(0.0)).cast("string"),
+        )
+        row = F.concat(F.lit("["), F.concat_ws(",", cells), F.lit("]"))
+        first, final = F.col("src") == 0, F.col("src") == F.col("n") - 1
+        opening = F.when(first, F.lit(("{" if order == 0 else ", ") + f'"{name}": [')).otherwise(F.lit(", "))
+        return whole.select(F.lit(order).alias("o"), "src", F.concat(opening, row, F.when(final, F.lit("]" if order == 0 else "]}")).otherwise(F.lit(""))).alias("value"))
+
+    path = new_path(spark, "document")
+    document = lines(0, "adjacency-matrix", "weight").unionAll(lines(1, "distance-matrix", "distance"))
+    document.repartition(1).sortWithinPartitions("o", "src").select("value").write.text(path)
+    return read_graph(spark, path)
+
+
 @query(
     "sensor_metadata",
     """SELECT s_suppkey AS sensor_id, CASE WHEN s_suppkey % 5 <> 1 THEN round(s_acctbal, 6) END AS first,

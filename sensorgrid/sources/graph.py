@@ -1,20 +1,24 @@
 """Graph documents: a dense matrix of weights, optionally one of distances, and a
 dictionary of sensor locations.
 
-A dense document only fits graphs of a few thousand nodes; the engine itself works on
-sparse ``edges(src, dst, weight, distance)`` tables, which have no such bound.
+A document that is a row of a table is parsed by one task; a file (``read_graph``) is read row by row of
+its matrices.  The engine itself works on sparse ``edges(src, dst, weight, distance)`` tables.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from sensorgrid import schemas
+from sensorgrid.staging import reads, stage
 
 ADJACENCY = "adjacency-matrix"
 DISTANCE = "distance-matrix"
 METADATA = "camera-dictionary"
 
+#: Where a matrix begins, and a later row of it.  A name inside a string ends with a backslash.
+_OPENS = rf'"({ADJACENCY}|{DISTANCE})"\s*:'
+_ROW = r'^\s*,\s*\[([^\[\]{}"]*)$'
+
 _METADATA_DOC = T.StructType(
     [T.StructField(METADATA, T.MapType(T.StringType(), T.StringType()))]
 )
@@ -53,9 +57,87 @@ def edges_from_documents(docs: DataFrame, check: bool = True) -> DataFrame:
     )
 
 
+def _matrix_pieces(spark: SparkSession, path: str) -> DataFrame:
+    """The text between closing brackets, with its byte range and its order there; a row of a matrix
+    is one piece, so a document is read by as many tasks as its file has ranges."""
+    files = spark.read.option("lineSep", "]").text(path)
+    return files.select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"), "value",
+    )
+
+
+def _outline(pieces: DataFrame) -> DataFrame:
+    """``path, block, first, before, opened, tail``, a row for each byte range: its first id, the number of
+    pieces before it, the matrices that it opens and the last character."""
+    name = F.regexp_extract("value", _OPENS, 1)
+    # A matrix without rows opens nothing.
+    opens = F.when(F.rlike("value", F.lit(_OPENS + r"\s*\[\s*\[[^\[\]]*$")), F.struct("id", name.alias("name")))
+    ranges = pieces.groupBy("path", "block").agg(
+        F.min("id").alias("first"), F.count(F.lit(1)).alias("n"), F.collect_list(opens).alias("opened"),
+        F.max_by(F.regexp_extract("value", r"(\S)\s*$", 1), "id").alias("tail"),
+    )
+    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return ranges.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+
+
 def read_graph(spark: SparkSession, path: str) -> DataFrame:
-    docs = spark.read.schema(schemas.GRAPH_DOC).option("multiLine", True).json(path)
-    return edges_from_documents(docs)
+    """``edges`` of the one graph document at ``path``, as of ``edges_from_documents``.
+
+    The file may be as large as a matrix of many thousand nodes and be a single line: it is read in
+    byte ranges, a matrix row at a time, and no task holds more than a row of each matrix.  It is
+    gone through three times: to count the rows of each range and find the matrices, to find where they
+    end, and for the cells.  Raises on more than one document, a cut off one, a missing or
+    non-square matrix, a matrix given twice and a row that is no list of numbers.
+    """
+    pieces = _matrix_pieces(spark, path)
+    outline = stage(_outline(pieces), "graph-ranges")
+    if outline.select("path").distinct().limit(2).count() > 1:
+        raise ValueError("more than one graph document")
+    last = outline.orderBy(F.desc("block")).select("tail").first()
+    if last is not None and last.tail != "}":
+        raise ValueError("graph document is cut off")
+    found = (
+        outline.select("first", "before", F.explode("opened").alias("o"))
+        .select(F.col("o.name").alias("name"), (F.col("o.id") - F.col("first") + F.col("before")).alias("at"))
+        .limit(3).collect()
+    )
+    start = {r.name: r["at"] for r in found}
+    if len(start) < len(found):
+        raise ValueError("a matrix is given twice in graph document")
+    if ADJACENCY not in start:
+        raise ValueError("no adjacency-matrix in graph document")
+    ranges = outline.select("path", "block", "first", "before")
+    placed = pieces.join(ranges, ["path", "block"], "left").select(
+        F.coalesce(F.col("id") - F.col("first") + F.col("before"), F.raise_error(F.lit("byte ranges changed while reading"))).alias("at"),
+        "value",
+    )
+    blank = F.trim(F.regexp_replace("value", r"\s", "")) == ""
+    ends = placed.where(blank).agg(*[F.min(F.when(F.col("at") > at, F.col("at"))).alias(name) for name, at in start.items()]).first()
+    if None in ends:
+        raise ValueError("graph document is cut off")
+
+    def rows(name: str) -> DataFrame:
+        own = F.when(F.col("at") == start[name], F.regexp_extract("value", r"\[([^\[\]]*)$", 1)).when(
+            F.rlike("value", F.lit(_ROW)), F.regexp_extract("value", _ROW, 1)
+        )
+        cells = F.from_json(F.concat(F.lit("["), own, F.lit("]")), "array<double>")
+        fault = F.raise_error(F.concat(F.lit(f"a row of {name} is no list of numbers: row "), (F.col("at") - start[name]).cast("string")))
+        return placed.where(F.col("at").between(start[name], ends[name] - 1)).select(
+            (F.col("at") - start[name]).cast("bigint").alias("src"), F.coalesce(cells, fault).alias("cells")
+        )
+
+    n = ends[ADJACENCY] - start[ADJACENCY]
+    square = F.when(F.size("cells") == n, F.col("cells")).otherwise(F.raise_error(F.lit("adjacency matrix is not square")))
+    weights = rows(ADJACENCY).select("src", square.alias("weight"))
+    none = F.array().cast("array<double>")
+    if DISTANCE in start:
+        both = weights.join(rows(DISTANCE).withColumnRenamed("cells", "distance"), "src", "left")
+    else:
+        both = weights.withColumn("distance", none)
+    zipped = F.arrays_zip(F.col("weight"), F.coalesce(F.col("distance"), none).alias("distance"))
+    edges = both.select("src", F.posexplode(zipped).alias("dst", "cell")).where("cell.weight <> 0")
+    return reads(edges.select("src", F.col("dst").cast("bigint").alias("dst"), "cell.weight", "cell.distance"), outline)
 
 
 def sensor_metadata(docs: DataFrame, value: str = "value") -> DataFrame:

@@ -277,6 +277,46 @@ def test_one_graph_document(spark, tmp_path):
     assert len(got) == 4 and all(r.distance is None for r in got)
 
 
+@pytest.mark.parametrize("size", ["64", "1000", "100m"])
+@pytest.mark.parametrize("indent", [None, 1])
+def test_graph_document_in_ranges(spark, tmp_path, size, indent):
+    rng = random.Random(4)
+    n = 23
+    weights = [[rng.choice([0, 0, 1, 2.5, -3e-2]) for _ in range(n)] for _ in range(n)]
+    far = [[rng.randint(0, 900) / 4 for _ in range(n)] for _ in range(n)]
+    odd = {"1": [[10.0, 100.0], 'a ] [ "adjacency-matrix": [[7]] b'], "2": [[], "]]"]}
+    want = {(i, j): (weights[i][j], far[i][j]) for i in range(n) for j in range(n) if weights[i][j]}
+    path = tmp_path / "graph.json"
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        for doc in (
+            {"adjacency-matrix": weights, "distance-matrix": far, "camera-dictionary": odd},
+            {"camera-dictionary": odd, "distance-matrix": far, "adjacency-matrix": weights},
+        ):
+            path.write_text(json.dumps(doc, indent=indent))
+            frame = sources.read_graph(spark, str(path))
+            assert {(r.src, r.dst): (r.weight, r.distance) for r in frame.collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_faulty_graph_documents(spark, tmp_path):
+    path = tmp_path / "graph.json"
+    whole = json.dumps({"adjacency-matrix": [[1, 2], [3, 4]]})
+    for text, message in (
+        (whole[:-1], "cut off"),
+        (whole[:-3], "cut off"),
+        ("{}", "no adjacency-matrix"),
+        ('{"adjacency-matrix": null}', "no adjacency-matrix"),
+        ('{"adjacency-matrix": [[1]], "adjacency-matrix": [[1]]}', "given twice"),
+        ('{"adjacency-matrix": [[1, 2], [3, x]]}', "no list of numbers"),
+        ('{"adjacency-matrix": [[1, 2], "a", [3, 4]]}', "no list of numbers"),
+    ):
+        path.write_text(text)
+        with pytest.raises(Exception, match=message):
+            sources.read_graph(spark, str(path)).collect()
+
+
 def test_wide_panel_lists_all_sensors(spark):
     cells = spark.createDataFrame([(1, 10, 1.0), (1, 2, 2.0), (2, 10, 3.0)], "bucket INT, sensor_id BIGINT, value DOUBLE")
     assert wide_panel(cells).columns == ["timestamp", "10", "2"]
