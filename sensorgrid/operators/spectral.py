@@ -4,6 +4,10 @@ The smallest eigenvalues of ``L = I - S`` belong to the largest of ``S``.  They
 subspace iteration with a Chebyshev filter.  The vectors are a DataFrame with one row per
 node; every product with ``S`` is a join and an aggregate, and only matrices of the size of
 the subspace (about twenty columns) reach the driver.
+
+The filter's degree follows the gap between the wanted values and the cut.  A graph of many parts
+has the value 1 many times, so the block lies within that cluster and the gap is next to nothing: a
+short filter would gain a few percent a cycle, while the gain of a long one grows exponentially.
 """
 
 from __future__ import annotations
@@ -15,6 +19,10 @@ from pyspark.sql import DataFrame, functions as F
 from sensorgrid.operators.graph import scaled_adjacency
 from sensorgrid.staging import release, stage
 
+#: How much a filter may amplify the wanted vectors, and its largest degree.
+GROWTH = 1e4
+LONGEST = 128
+
 
 def _multiply(links: DataFrame, rows: DataFrame, names: list[str]) -> DataFrame:
     """``rows`` with ``p_<name>`` columns holding ``S x``; nodes without edges get 0.
@@ -97,7 +105,8 @@ def spectral_encoding(
     """The ``k`` smallest eigenvalues after the first, and ``node_id, pe0 .. pe{k-1}``.
 
     ``edges`` must be symmetric.  Stops when the largest residual ``|L v - lambda v|`` of the
-    wanted vectors is below ``tol``; raises if it is not after ``cycles`` filters (runs jobs).
+    wanted vectors is below ``tol``; raises if it is not after ``cycles`` filters of at least ``degree``
+    (runs jobs).
     Signs, and the basis of repeated eigenvalues, are arbitrary.
     """
     n = nodes.count()
@@ -118,7 +127,9 @@ def spectral_encoding(
         if worst < tol:
             break
         names = [c for c in vectors.columns if c != "node_id"]
-        vectors = _filter(links, vectors, names, degree, cut=float(values[-1]))
+        cut = float(values[-1])
+        length = _degree(float(values[min(want, len(values)) - 1]), cut, 10 * worst / tol, degree)
+        vectors = _filter(links, vectors, names, length, cut)
         values, vectors, worst = _ritz(links, vectors, names, want)
     if worst >= tol:
         raise RuntimeError(f"the spectral encoding has not converged: residual {worst:.2e} after {cycles} filters")
@@ -146,14 +157,27 @@ def residuals(edges: DataFrame, values: list[float], encoding: DataFrame) -> lis
     return out
 
 
+def _damped(cut: float) -> tuple[float, float]:
+    """Center and half width of the damped spectrum ``[-1, cut]``."""
+    cut = min(max(cut, -0.9), 0.999)
+    return (cut - 1.0) / 2.0, (cut + 1.0) / 2.0
+
+
+def _degree(value: float, cut: float, growth: float, least: int) -> int:
+    """Degree of the polynomial that is ``growth`` (at most ``GROWTH``) at the eigenvalue ``value``, from
+    ``least`` to ``LONGEST``."""
+    center, half = _damped(cut)
+    rate = np.arccosh(max((value - center) / half, 1.0 + 1e-9))
+    return int(np.clip(np.ceil(np.arccosh(np.clip(growth, 1.0, GROWTH)) / rate), least, max(least, LONGEST)))
+
+
 def _filter(links: DataFrame, vectors: DataFrame, names: list[str], degree: int, cut: float) -> DataFrame:
     """Chebyshev polynomial of ``S`` that damps the spectrum in ``[-1, cut]``.
 
     The same expression is used in every step (``T_j+1 = 2 A T_j - T_j-1``), so its generated
     code is compiled once.
     """
-    cut = min(max(cut, -0.9), 0.999)
-    center, half = (cut - 1.0) / 2.0, (cut + 1.0) / 2.0
+    center, half = _damped(cut)
 
     rows, held = vectors, vectors
     for step in range(degree):

@@ -131,6 +131,25 @@ def test_filtered_iteration(spark):
     assert values[0] == pytest.approx(want, abs=1e-3)
 
 
+def test_encoding_of_a_graph_of_many_parts(spark):
+    """More parts than vectors in the block: the value 1 fills it, so the filter's cut is next to 1."""
+    parts, size = 24, 12
+    a = np.zeros((parts * size, parts * size))
+    for part in range(parts):
+        for i in range(size):
+            x, y = part * size + i, part * size + (i + 1) % size
+            a[x, y] = a[y, x] = 1 + (i * 5 + part) % 4
+    df = _frame(spark, a)
+    values, encoding = spectral_encoding(df, nodes(spark, range(len(a))), k=2, oversample=2, cycles=4)
+    d = 1 / np.sqrt(a.sum(1))
+    scaled = d[:, None] * a * d[None, :]
+    vectors = np.zeros((len(a), 2))
+    for r in encoding.collect():
+        vectors[r.node_id] = [r.pe0, r.pe1]
+    assert np.allclose(values, 0, atol=1e-6)
+    assert np.linalg.norm(scaled @ vectors - vectors, axis=0).max() < 2e-4
+
+
 def test_hub_links_are_spread(spark):
     """A hub with most links: the salted join gives the same rows as the plain one."""
     rows = spark.createDataFrame([(s, b) for s in (0, 1) for b in range(50)], "sensor_id BIGINT, bucket BIGINT")
