@@ -41,9 +41,8 @@ def read_documents(
 
 def file_records(spark: SparkSession, path: str, since: date | None = None, until: date | None = None) -> DataFrame:
     """``history_records`` of all files below ``path``, read in byte ranges (runs jobs)."""
-    parts, whole = history_parts(spark, path, since, until)
-    out = _parsed(parts.select("date", "sensor", "filename", F.col("text").alias("_t3"), F.col("reason").alias("_r3")))
-    return out.unionByName(history_records(spark.read.text(whole, wholetext=True))) if whole else out
+    parts = history_parts(spark, path, since, until)
+    return _parsed(parts.select("date", "sensor", "filename", F.col("text").alias("_t3"), F.col("reason").alias("_r3")))
 
 
 def read_history(

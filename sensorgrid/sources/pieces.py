@@ -10,9 +10,12 @@ a brace.  What a piece belongs to depends on all that comes before it, hence two
 2. *Parse*: each range gives its records as text with their date, sensor and file name.  A record
    that a range border cuts (one with an object inside) is put together from its fragments.
 
+A range border may fall on a brace inside a string (a key with a brace).  So a range is surveyed both as
+one that begins outside of strings and as one that begins inside; which is right follows from the ranges
+before it, as does the first part of a key that is cut.  The wrong one of the two breaks within a few
+tokens as a rule, and is followed no further then.
+
 What goes to the driver is a row for each range but a file's first one, and one for each broken file.
-A file in which a range border falls on a brace inside a string (a key with a brace) is read as one
-piece instead; the survey finds that out, as the number of quotes in the range before is odd.
 """
 
 from __future__ import annotations
@@ -43,20 +46,31 @@ _NEXT = re.compile(r'\s*,\s*"([^"\\]*)"\s*:\s*(\{[^{}\[\]"\\]*(?:(?:"[^"\\]*"|\[
 Found = tuple[str, list, str | None, str | None]
 
 
+class _Head(str):
+    """The rest of a string that was opened in an earlier range."""
+
+
 def _in_record(stack: list) -> bool:
     return len(stack) >= 4 and all(kind == "{" for kind, _ in stack[:4])
 
 
 class Scanner:
-    """Follows the brackets of a file from ``stack``, the open ones as (bracket, key)."""
+    """Follows the brackets of a file from ``stack``, the open ones as (bracket, key), from the ``key`` whose
+    value comes next and from the text of the ``string`` that is open.
+
+    In a survey the text of a string that is open at the start is not known: its rest is ``head``, and
+    its key is True where it is one.
+    """
 
-    def __init__(self, stack: list[tuple[str, str | None]], at_start: bool, survey: bool):
+    def __init__(self, stack: list[tuple[str, str | bool | None]], at_start: bool, survey: bool, key: str | None = None, string: str = ""):
         self.stack, self.at_start, self.survey = list(stack), at_start, survey
         self.closed = ""
         self.broken = False
-        self.key: str | None = None
+        self.key: str | bool | None = key
         self.last: str | None = None
-        self.string: list[str] = []
+        self.string: list[str] = [string] if string else []
+        self.head: str | None = None
+        self.head_open, self.head_is_key = survey and bool(string), False
         #: Text of the record that is open; its fragment if it was opened in an earlier range.
         self.fragment = _in_record(stack)
         self.record: list[str] | None = [] if self.fragment else None
@@ -86,6 +100,9 @@ class Scanner:
             if self.record is not None:
                 self.record.append(end[0])
             self.string = []
+            if self.head_open:
+                self.head_open, self.head = False, token[1:]
+                token = _Head(token)
             self.value(token)
         for m in _TOKEN.finditer(text, at):
             token = m[0]
@@ -123,7 +140,10 @@ class Scanner:
                 self.broken = True
                 return
             try:
-                self.key = json.loads(self.last, strict=False)
+                if isinstance(self.last, _Head):
+                    self.key = self.head_is_key = True
+                else:
+                    self.key = json.loads(self.last, strict=False)
             except ValueError:
                 self.broken = True
             self.last = None
@@ -184,40 +204,82 @@ def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int,
         yield own, pieces()
 
 
-_SURVEY = "path string, block long, size long, bytes long, closed string, opened string, odd boolean, broken boolean, blank boolean"
+_SURVEY = (
+    "path string, block long, size long, inside boolean, bytes long, closed string, opened string, head string, head_is_key boolean,"
+    " key string, string string, broken boolean, blank boolean"
+)
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    types = {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_()}
+    fields = [f.split() for f in schema.split(", ")]
+    columns = [pa.array(c, types[t]) for c, (_, t) in zip(zip(*rows, strict=True), fields, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, names=[name for name, _ in fields])
 
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each range, and one for the case that it begins inside a string."""
     for (path, block, size), pieces in _ranges(batches):
-        scanner, many, piece = Scanner([], block == 0, True), 0, b""
+        scanners, many, piece = [Scanner([], block == 0, True)], 0, b""
+        if block:
+            scanners.append(Scanner([], False, True, string='"'))
         for piece in pieces:
-            scanner.feed(piece.decode(errors="replace"))
+            text = piece.decode(errors="replace")
+            for scanner in scanners:
+                if not scanner.broken:
+                    scanner.feed(text)
             many += len(piece) + 1
-        row = (path, block, size, many, scanner.closed, json.dumps(scanner.stack), bool(scanner.string), scanner.broken, not piece.strip())
-        yield pa.RecordBatch.from_arrays([pa.array([v]) for v in row], names=[f.split()[0] for f in _SURVEY.split(", ")])
+        yield _batch(
+            [
+                (path, block, size, bool(inside), many, s.closed, json.dumps(s.stack), s.head, s.head_is_key, json.dumps(s.key),
+                 "".join(s.string)[1 if s.head_open else 0 :], s.broken, not piece.strip())
+                for inside, s in enumerate(scanners)
+            ],
+            _SURVEY,
+        )
 
 
-_OUTLINE = "path string, block long, stack string, owner long, verdict string"
+_OUTLINE = "path string, block long, state string, owner long, verdict string"
 
 
 def _outline(rows: pd.DataFrame) -> pd.DataFrame:
-    """What is open at the start of each range of a file, and a verdict if it is not plain."""
-    rows = rows.sort_values("block")
-    stack, owner, out, verdict = [], -1, [], None
-    for r in rows.itertuples():
-        if r.block:
-            out.append((r.path, r.block, json.dumps(stack), owner, None))
-        if r.odd and r.block != rows.block.iloc[-1]:
-            verdict = "whole"
+    """What is open at the start of each range of a file (brackets, key, text of a string), and a verdict if
+    it is not plain."""
+    stack, key, string, owner, out, verdict = [], None, "", -1, [], None
+    of = {(r.block, bool(r.inside)): r for r in rows.itertuples()}
+    blocks = sorted({block for block, _ in of})
+    total = sum(of[block, False].bytes for block in blocks)
+    for block in blocks:
+        r = of.get((block, bool(string)))
+        if r is None:
+            verdict = "broken"
             break
+        if block:
+            out.append((r.path, block, json.dumps([stack, key, string]), owner, None))
+        opened, whole = json.loads(r.opened), None
+        if string and pd.isna(r.head):
+            # The string goes on through all of the range.
+            string += r.string
+        elif string:
+            try:
+                whole = json.loads(string + r.head, strict=False)
+            except ValueError:
+                # As within a range, only a key has to be a string that can be read.
+                verdict = "broken" if r.head_is_key else None
+            if r.head_is_key and key is not None:
+                verdict = "broken"
+            key, string = json.loads(r.key), r.string
+        else:
+            key, string = json.loads(r.key), r.string
+        key = whole if key is True else key
         ends = r.closed
-        if r.block == rows.block.iloc[-1]:
+        if block == blocks[-1]:
             # The reader does not tell whether a brace ends the last piece; the sizes do.
-            if rows.bytes.sum() > r.size:
+            if total > r.size:
                 if not r.blank or not ends.endswith("}"):
                     verdict = "broken"
                 ends = ends[:-1]
-            if r.odd:
+            if string:
                 verdict = "broken"
         lowest = len(stack)
         for token in ends:
@@ -228,50 +290,46 @@ def _outline(rows: pd.DataFrame) -> pd.DataFrame:
             lowest = min(lowest, len(stack))
         if r.broken:
             verdict = "broken"
+        if lowest < 4:
+            owner = block
+        stack += [[kind, whole if name is True else name] for kind, name in opened]
+        if string and not stack:
+            verdict = "broken"
         if verdict:
             break
-        if lowest < 4:
-            owner = r.block
-        stack += json.loads(r.opened)
     if verdict is None and stack:
         verdict = "broken"
     if verdict:
         out = [(rows.path.iloc[0], 0, None, None, verdict)]
-    return pd.DataFrame(out, columns=["path", "block", "stack", "owner", "verdict"])
+    return pd.DataFrame(out, columns=["path", "block", "state", "owner", "verdict"])
 
 
 _PARTS = "kind string, path string, owner long, block long, date string, sensor string, filename string, text string, reason string"
 
 
-def _parse(outline: dict[tuple[str, int], tuple[list, int]], left_out: set[str]) -> Callable:
+def _parse(outline: dict[tuple[str, int], tuple[list, str | None, str, int]], left_out: set[str]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
 
-        def batch() -> pa.RecordBatch:
-            columns = list(zip(*rows, strict=True))
-            types = [pa.string(), pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 5]
-            out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=[f.split()[0] for f in _PARTS.split(", ")])
-            rows.clear()
-            return out
-
         for (path, block, _), pieces in _ranges(batches):
             if path in left_out:
                 for _ in pieces:
                     pass
                 continue
-            stack, owner = outline.get((path, block), ([], block))
-            scanner = Scanner([tuple(x) for x in stack], block == 0, False)
+            stack, key, string, owner = outline.get((path, block), ([], None, "", block))
+            scanner = Scanner([tuple(x) for x in stack], block == 0, False, key, string)
             for piece in pieces:
                 for kind, keys, text, reason in scanner.feed(piece.decode(errors="replace")):
                     names = [*keys, None, None, None][:3]
                     rows.append((kind, path, owner if kind == "fragment" else block, block, *names, text, reason))
                 if len(rows) >= 5000:
-                    yield batch()
+                    yield _batch(rows, _PARTS)
+                    rows.clear()
             if scanner.record is not None:
                 # Cut by the end of the range.
                 rows.append(("fragment", path, owner if scanner.fragment else block, block, *scanner.keys(), "".join(scanner.record), None))
         if rows:
-            yield batch()
+            yield _batch(rows, _PARTS)
 
     return run
 
@@ -287,11 +345,8 @@ def _map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
-def history_parts(
-    spark: SparkSession, path: str, since: date | None = None, until: date | None = None
-) -> tuple[DataFrame, list[str]]:
-    """``date, sensor, filename, text, reason`` of every record and every part that is none, and the
-    paths of files that have to be read as one piece (runs jobs).
+def history_parts(spark: SparkSession, path: str, since: date | None = None, until: date | None = None) -> DataFrame:
+    """``date, sensor, filename, text, reason`` of every record and every part that is none (runs jobs).
 
     ``reason`` is NULL where ``text`` is a record.  A file that is no whole object, cut off for
     example, gives one row.
@@ -302,13 +357,12 @@ def history_parts(
     if len(found) > MOST:
         raise ValueError(f"over {MOST} byte ranges and broken files: raise spark.sql.files.maxPartitionBytes or read fewer files")
     release(surveyed)
-    outline = {(r.path, r.block): (json.loads(r.stack), r.owner) for r in found if r.verdict is None}
+    outline = {(r.path, r.block): (*json.loads(r.state), r.owner) for r in found if r.verdict is None}
     broken = [r.path for r in found if r.verdict == "broken"]
-    whole = [r.path for r in found if r.verdict == "whole"]
-    rows = _map(pieces, _parse(outline, {*broken, *whole}), _PARTS)
+    rows = _map(pieces, _parse(outline, set(broken)), _PARTS)
     columns = ["date", "sensor", "filename", "text", "reason"]
     out = rows.where("kind <> 'fragment'").select(*columns)
-    if any(_in_record(stack) for stack, _ in outline.values()):
+    if any(_in_record(stack) for stack, *_ in outline.values()):
         # Fragments are where records hold objects and a range ends in one: a few for each range.
         order = F.array_sort(F.collect_list(F.struct("block", "text")))
         joined = rows.where("kind = 'fragment'").groupBy("path", "owner").agg(
@@ -319,4 +373,4 @@ def history_parts(
         missing = [F.lit(None).cast("string").alias(c) for c in columns[:4]]
         verdicts = spark.createDataFrame([(p,) for p in broken], "path string")
         out = out.unionByName(verdicts.select(*missing, F.lit("document is not an object").alias("reason")))
-    return out, whole
+    return out

@@ -114,6 +114,33 @@ def test_one_file_many_tasks(spark, tmp_path):
     assert sum(per_task) == 20_000 and len(per_task) >= 6 and max(per_task) < 6000
 
 
+def test_borders_inside_strings(spark, tmp_path):
+    """Most braces lie in keys and strings, so most ranges begin in one; still no task reads it all."""
+    doc = {
+        f"2024-01-{d:02d}": {
+            f"{{}}}}{s}" if s % 5 == 0 else str(s): {
+                f'a}}}}\\"}},{{{i}_{1704067200000 + i}.txt': {"x}": "}\"}:{" * (i % 7), "count": i, "l": ["}", {"}}": "}"}]} for i in range(40)
+            } for s in range(20)
+        } for d in range(1, 11)
+    }
+    (tmp_path / "all.json").write_text(json.dumps(doc))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        rows = sources.read_history(spark, str(tmp_path))
+        got = Counter(map(tuple, rows.select("ts", "sensor_id", "count", "tie").collect()))
+        bad = Counter(r.sensor for r in sources.read_history_rejects(spark, str(tmp_path)).collect())
+        per_task = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    docs = _docs(spark, json.dumps(doc))
+    assert got == Counter(map(tuple, sources.flatten_history(docs).select("ts", "sensor_id", "count", "tie").collect()))
+    assert sum(got.values()) == 10 * 16 * 40 and bad == {f"{{}}}}{s}": 400 for s in (0, 5, 10, 15)}
+    assert len(per_task) > 20 and max(per_task) < 1000
+
+
 def test_only_files_of_the_dates_are_read(spark, tmp_path):
     for day in range(1, 8):
         folder = tmp_path / f"dump_date=2024-01-0{day}"
