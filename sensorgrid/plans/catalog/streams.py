@@ -50,12 +50,13 @@ def _run_snapshots(spark: SparkSession, sf_dir: str, after_batch=None) -> str:
 
 def _run_in_parts(spark: SparkSession, sf_dir: str, after_batch=None) -> str:
     """The events arrive as files of a few days each, one per micro-batch; the query is stopped
-    after the first half of them and started again on the same checkpoint."""
+    after the first half of them and started again on the same checkpoint.  Many tasks read the
+    table, and the one that writes a file gets only its rows."""
     path, inbox = new_path(spark, "live"), new_path(spark, "inbox")
     rows = t.table(spark, sf_dir, "events")
     for part in (F.day("ts") <= 15, F.day("ts") > 15):
         for days in range(3):
-            rows.where(part & (F.floor((F.day("ts") - 1) / 5) % 3 == days)).coalesce(1).write.mode("append").parquet(inbox)
+            rows.where(part & (F.floor((F.day("ts") - 1) / 5) % 3 == days)).repartition(1).write.mode("append").parquet(inbox)
         arriving = (
             spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
             .withColumns({"ts": from_utc_wall(F.col("ts")), "k": F.get_json_object("props", "$.k").cast("int")})
@@ -145,12 +146,13 @@ PARTS = 6
 
 def _by_offset(spark: SparkSession, sf_dir: str, path: str, after_batch=None, first=0, last=PARTS, initial=None, faults=0) -> None:
     """The messages arrive as one file per range of offsets, each a micro-batch; the query is
-    stopped and started again half way, and also after each of so many faults."""
+    stopped and started again half way, and also after each of so many faults.  Many tasks read the
+    messages, and the one that writes a file gets only its rows."""
     inbox = new_path(spark, "inbox")
     rows = stage(t.messages(spark, sf_dir), "arriving")
     width = rows.agg(F.max("offset").alias("m")).first().m // PARTS + 1
     for part in range(first, last):
-        rows.where(F.floor(F.col("offset") / width) == part).coalesce(1).write.mode("append").parquet(inbox)
+        rows.where(F.floor(F.col("offset") / width) == part).repartition(1).write.mode("append").parquet(inbox)
         while part in (first + (last - first) // 2, last - 1):
             arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
             run = open_bucket_stream(sources.decode(arriving), path, f"{path}/checkpoint-{first}", "5m", t.TZ, after_batch, ONCE, initial=initial)
