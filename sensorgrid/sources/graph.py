@@ -85,9 +85,9 @@ def read_graph(spark: SparkSession, path: str) -> DataFrame:
     """``edges`` of the one graph document at ``path``, as of ``edges_from_documents``.
 
     The file may be as large as a matrix of many thousand nodes and be a single line: it is read in
-    byte ranges, a matrix row at a time, and no task holds more than a row of each matrix.  It is
-    gone through three times: to count the rows of each range and find the matrices, to find where they
-    end, and for the cells.  Raises on more than one document, a cut off one, a missing or
+    byte ranges, a matrix row at a time, no task holds more than a row, and only cells that are not 0 are
+    joined.  It is gone through three times: to count the rows of each range and find the matrices, to find
+    where they end, and for the cells.  Raises on more than one document, a cut off one, a missing or
     non-square matrix, a matrix given twice and a row that is no list of numbers.
     """
     pieces = _matrix_pieces(spark, path)
@@ -129,15 +129,19 @@ def read_graph(spark: SparkSession, path: str) -> DataFrame:
 
     n = ends[ADJACENCY] - start[ADJACENCY]
     square = F.when(F.size("cells") == n, F.col("cells")).otherwise(F.raise_error(F.lit("adjacency matrix is not square")))
-    weights = rows(ADJACENCY).select("src", square.alias("weight"))
-    none = F.array().cast("array<double>")
+    # Only cells that are not 0 leave the task that reads a row.
+    edges = rows(ADJACENCY).select("src", F.posexplode(square).alias("dst", "weight")).where("weight <> 0")
     if DISTANCE in start:
-        both = weights.join(rows(DISTANCE).withColumnRenamed("cells", "distance"), "src", "left")
+        # What a row lacks at its end is NULL, as are the rows that are not there.
+        short = F.greatest(n - F.size("cells"), F.lit(0))
+        padded = F.when(short > 0, F.concat("cells", F.array_repeat(F.lit(None).cast("double"), short))).otherwise(F.col("cells"))
+        far = rows(DISTANCE).select("src", F.posexplode(padded).alias("dst", "distance"))
+        far = far.where("distance IS NULL OR distance <> 0").withColumn("given", F.lit(True))
+        zero = F.when(F.col("given").isNull() & (F.col("src") < ends[DISTANCE] - start[DISTANCE]), 0.0)
+        edges = edges.join(far, ["src", "dst"], "left").withColumn("distance", F.coalesce("distance", zero))
     else:
-        both = weights.withColumn("distance", none)
-    zipped = F.arrays_zip(F.col("weight"), F.coalesce(F.col("distance"), none).alias("distance"))
-    edges = both.select("src", F.posexplode(zipped).alias("dst", "cell")).where("cell.weight <> 0")
-    return reads(edges.select("src", F.col("dst").cast("bigint").alias("dst"), "cell.weight", "cell.distance"), outline)
+        edges = edges.withColumn("distance", F.lit(None).cast("double"))
+    return reads(edges.select("src", F.col("dst").cast("bigint").alias("dst"), "weight", "distance"), outline)
 
 
 def sensor_metadata(docs: DataFrame, value: str = "value") -> DataFrame:

@@ -1,9 +1,12 @@
+import json
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from sensorgrid.operators import graph as g
 from sensorgrid.operators.spectral import spectral_encoding
+from sensorgrid.sources import read_graph
 from sensorgrid.staging import stage
 from tests.helpers import edges, nodes
 
@@ -184,3 +187,21 @@ def test_hub_edges_are_dealt_to_copies(spark, key):
         for k, v in old.items():
             spark.conf.set(k, v)
     assert g.join_nodes(df.limit(0), values, key).collect() == []
+
+
+def test_only_cells_that_are_not_zero_are_joined(spark, tmp_path):
+    """Both matrices meet cell by cell, without their zeros; short and missing distance rows are NULL there."""
+    doc = {
+        "adjacency-matrix": [[0, 1, 2, 3], [4, 0, 0, 5], [0, 0, 6, 7], [8, 0, 0, 9]],
+        "distance-matrix": [[0, 0, 1.5, None], [2.5, 0], []],
+    }
+    (tmp_path / "graph.json").write_text(json.dumps(doc))
+    found = read_graph(spark, str(tmp_path))
+    got = {(r.src, r.dst): (r.weight, r.distance) for r in found.collect()}
+    assert got == {
+        (0, 1): (1, 0), (0, 2): (2, 1.5), (0, 3): (3, None), (1, 0): (4, 2.5), (1, 3): (5, None),
+        (2, 2): (6, None), (2, 3): (7, None), (3, 0): (8, None), (3, 3): (9, None),
+    }
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join LeftOuter" in line]
+    assert any("src" in line and "dst" in line for line in joins)
