@@ -20,8 +20,14 @@ def find_time_column(wide: DataFrame) -> str:
 
 
 def wide_to_long(wide: DataFrame, id_type: str = "bigint") -> DataFrame:
-    """``bucket, sensor_id, value`` with one row per cell."""
+    """``bucket, sensor_id, value`` with one row per cell, of both forms of ``wide_panel``."""
     time_col = find_time_column(wide)
+    if {"block", "sensors"} <= set(wide.columns) and wide.schema["sensors"].dataType.simpleString() == "array<string>":
+        held = [c for c in wide.columns if c not in (time_col, "block", "sensors")]
+        values = F.slice(F.array(*held), 1, F.size("sensors"))
+        return wide.select(
+            F.col(time_col).alias("bucket"), F.inline(F.arrays_zip(F.col("sensors").alias("id"), values.alias("v")))
+        ).select("bucket", F.col("id").cast(id_type).alias("sensor_id"), F.col("v").cast("double").alias("value"))
     sensors = sensor_columns(wide, time_col)
     return wide.unpivot([time_col], sensors, "sensor_id", "value").select(
         F.col(time_col).alias("bucket"),

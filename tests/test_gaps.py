@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorgrid.operators import gaps, panel, quality
+from sensorgrid.sources import wide_to_long
+from sensorgrid.staging import stage
 from tests.helpers import as_dict, at, cells, index, temporal_model
 
 STEP = 60
@@ -116,3 +118,19 @@ def test_wide_panel(spark):
     assert wide.columns == ["timestamp", "1", "10", "2"]
     got = {(r["1"], r["10"], r["2"]) for r in wide.collect()}
     assert got == {(1.0, 2.0, None), (None, None, 3.0)}
+
+
+def test_wide_panel_of_many_sensors(spark):
+    """More sensors than a row holds: blocks of columns, a row per bucket in each, also empty ones."""
+    rows = [(s, s % 3, float(s)) for s in range(1, 24)] + [(4, 1, 6.0), (None, 7, 1.0)]
+    df = cells(spark, rows).drop("samples")
+    wide = stage(panel.wide_panel(df, width=5), "wide")
+    assert wide.columns == ["timestamp", "block", "sensors", "c0", "c1", "c2", "c3", "c4"]
+    assert {r.block: len(r.sensors) for r in wide.collect()} == {0: 5, 1: 5, 2: 5, 3: 5, 4: 3}
+    assert [s for r in wide.where("block < 5").select("block", "sensors").distinct().orderBy("block").collect() for s in r.sensors] == sorted(map(str, range(1, 24)))
+    got = {(r.bucket, r.sensor_id): r.value for r in wide_to_long(wide).collect()}
+    named = panel.wide_panel(df, list(range(1, 24)))
+    assert len(got) == wide_to_long(wide).count() == 4 * 23
+    assert got == {(r.bucket, r.sensor_id): r.value for r in wide_to_long(named).collect()}
+    plan = panel.wide_panel(df, width=5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "c5" not in plan and "CartesianProduct" not in plan
