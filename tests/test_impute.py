@@ -186,3 +186,16 @@ def test_history_window_and_archive_override(spark):
     assert kept.count() == 4 and panel.history_window(df, at(0), None).count() == 5
     best = {(r.sensor_id, r.ts.hour): (r["count"], r.source, r.seq) for r in panel.dedup_last(df).collect()}
     assert best == {(1, 0): (1.0, "history", 1), (1, 1): (3.0, "archive", 1), (2, 1): (5.0, "other", 9)}
+
+
+def test_holes_are_not_sent_to_neighbors(spark):
+    """Values go along the links to sensors with holes: two joins, and one aggregate with the holes."""
+    rows = [(1, m, float(m)) for m in range(0, 50, 5)] + [(2, 0, 1.0), (2, 45, 4.0), (3, 45, 2.0)]
+    df = cells(spark, rows)
+    panel_ = stage(gaps.impute_temporal(df, index(df), limit_rows=0), "dense")
+    links = stage(impute.usable_neighbors(edges(spark, [(2, 1, 1, 1), (2, 3, 1, 1), (3, 1, 1, 2)])), "links")
+    found = impute.neighbor_values(panel_, links)
+    plan = impute._neighbor_sums(panel_, links)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 2
+    got = {(r.sensor_id, r.bucket.minute): (r.num, r.den, r.total, r.available) for r in found.collect()}
+    assert len(got) == 8 + 9 and got[2, 5] == (5.0, 1.0, 2.0, 1) and got[3, 10] == (5.0, 0.5, 0.5, 1)
