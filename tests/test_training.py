@@ -176,3 +176,42 @@ def test_windows_skip_gaps(spark):
         got = tr.training_windows(kept, split, chunk=chunk).where("split = 'train'").collect()
         assert {(r.sensor_id, r.start_idx) for r in got} == want
         assert all(r.x == [float(2 * (r.start_idx + j) + r.sensor_id) for j in range(12)] for r in got)
+
+
+def test_windows_are_chosen_per_chunk(spark):
+    """No lambda runs for each window: gaps and changes of day are struck out of a chunk's offsets."""
+    rows = [(0, d * 1440 + h * 60, 1.0) for d in range(6) for h in range(20) if (d, h) != (2, 9)] + [(1, 2 * 1440 + 9 * 60, 1.0)]
+    df = cells(spark, rows)
+    series, split = tr.to_series(df, index(df)), tr.chrono_split(index(df))
+    chunks = stage(tr.chunked_series(series.where("sensor_id = 0"), split, 15, chunk=20), "chunks")
+    windows = tr.chunk_windows(chunks, within_day=True, chunk=20)
+    assert "exists(" not in windows._jdf.queryExecution().optimizedPlan().toString()
+    want = {(s.split, s.start_idx) for s in tr.chunk_windows(chunks, chunk=20).collect()}
+    got = {(s.split, s.start_idx) for s in windows.collect()}
+    assert got == {("train", d * 20 + i) for d in (0, 1, 3) for i in range(6)} | {("train", 80 + i) for i in range(2)} | {("val", 4 + i) for i in range(6)} & got
+    assert got < want and not any(s == "train" and i <= 49 < i + 15 for s, i in want)
+
+
+@pytest.mark.parametrize("batch", [2, 10000])
+def test_array_means_like_loops(spark, batch):
+    rng = random.Random(5)
+    pick = lambda: rng.choice([None, float("nan"), *[rng.random() for _ in range(6)]])
+    rows = [(s, "val", c, [pick() for _ in range(rng.randrange(5))]) for s in range(9) for c in range(2)] + [(9, "val", 0, None)]
+    links = [(a, b, rng.choice([0, 1, 1]), 1) for a in range(11) for b in range(10) if a < 3 or a == b or rng.random() < 0.3]
+    df = spark.createDataFrame(rows, "sensor_id BIGINT, split STRING, chunk BIGINT, value array<double>")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = {(r.sensor_id, r.chunk): r.value for r in fc.array_means(df, edges(spark, links), ["split", "chunk"], ["value"]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    values = {(s, c): v or [] for s, _, c, v in rows}
+    want = {}
+    for a in range(11):
+        for c in range(2):
+            near = [values[b, c] for x, b, w, _ in links if x == a and w > 0 and b != a and (b, c) in values]
+            if near:
+                cols = [[v[i] for v in near if len(v) > i and v[i] is not None] for i in range(max(map(len, near)))]
+                want[a, c] = [sum(x) / len(x) if x else None for x in cols]
+    assert got.keys() == want.keys()
+    for k in want:
+        assert got[k] == pytest.approx(want[k], nan_ok=True)
