@@ -59,7 +59,8 @@ def _run_in_parts(spark: SparkSession, sf_dir: str, after_batch=None) -> str:
             rows.where(part & (F.floor((F.day("ts") - 1) / 5) % 3 == days)).repartition(1).write.mode("append").parquet(inbox)
         arriving = (
             spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
-            .withColumns({"ts": from_utc_wall(F.col("ts")), "k": F.get_json_object("props", "$.k").cast("int")})
+            # Few tasks read a file; its messages are built and parsed by all.
+            .repartition("event_id").withColumns({"ts": from_utc_wall(F.col("ts")), "k": F.get_json_object("props", "$.k").cast("int")})
         )
         stream = snapshot_stream(sources.decode(t.messages(spark, sf_dir, arriving)), "5m", DELAY)
         write_snapshots(stream, path, f"{path}/checkpoint", after_batch, ONCE).awaitTermination()
