@@ -1,23 +1,29 @@
 """Graph documents: a dense matrix of weights, optionally one of distances, and a
 dictionary of sensor locations.
 
-A document that is a row of a table is parsed by one task; a file (``read_graph``) is read row by row of
-its matrices.  The engine itself works on sparse ``edges(src, dst, weight, distance)`` tables.
+A document that is a row of a table is parsed by one task; a file (``read_graph``), or a folder of its
+parts, is read row by row of its matrices.  The engine itself works on sparse ``edges(src, dst, weight, distance)`` tables.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from sensorgrid.functions.once import fields_once
 from sensorgrid.staging import reads, stage
 
 ADJACENCY = "adjacency-matrix"
 DISTANCE = "distance-matrix"
 METADATA = "camera-dictionary"
 
-#: Where a matrix begins, and a later row of it.  A name inside a string ends with a backslash.
+#: Where a matrix begins, and a later row of it, in pieces as of ``_short``.  A name inside a string ends
+#: with a backslash; a row does not begin with a comma.
 _OPENS = rf'"({ADJACENCY}|{DISTANCE})"\s*:'
-_ROW = r'^\s*,\s*\[([^\[\]{}"]*)$'
+_FIRST = r"\[(?!\s*\])([^\[]*)$"
+_ROW = r'^\s*,\s*\[(?!\s*\])([^\[{}"]*)$'
+#: So many zeros in a row are one sign, and so many such signs another, if zeros are written in one of these ways.
+ZEROS, RUNS = 16, 16
+_ZERO = (",0", ", 0", ",0.0", ", 0.0")
 
 _METADATA_DOC = T.StructType(
     [T.StructField(METADATA, T.MapType(T.StringType(), T.StringType()))]
@@ -57,91 +63,153 @@ def edges_from_documents(docs: DataFrame, check: bool = True) -> DataFrame:
     )
 
 
-def _matrix_pieces(spark: SparkSession, path: str) -> DataFrame:
-    """The text between closing brackets, with its byte range and its order there; a row of a matrix
-    is one piece, so a document is read by as many tasks as its file has ranges."""
+def _short(piece: Column) -> Column:
+    """``piece`` with ``]``, which no piece has, for each ``ZEROS`` cells in a row that are 0, and ``]0`` for
+    ``RUNS`` of these: zeros are most of a sparse matrix, so little is left to parse."""
+    out = piece
+    for zero in reversed(_ZERO):
+        run = zero * ZEROS
+        # What looks like the last 0 may be where a longer number begins.
+        signs = F.regexp_replace(F.replace(piece, F.lit(run), F.lit("]")), r"\](?=[^,\]])", run)
+        out = F.when(F.contains(piece, F.lit(run)), F.replace(signs, F.lit("]" * RUNS), F.lit("]0"))).otherwise(out)
+    return out
+
+
+def _lists(row: Column) -> Column:
+    """A row as of ``_short`` as lists, of numbers and of signs in turn; a comma that nothing follows stays."""
+    return F.concat(F.lit("[["), F.regexp_replace(row, r"\](0?)(?:,(?=\s*[^\s,\]]))?", "],[$1],["), F.lit("]]"))
+
+
+def _spread(lists: Column) -> Column:
+    """The parsed lists of a row, with the zeros that a sign stands for."""
+    zeros = [F.array_repeat(F.lit(0.0), F.lit(many)) for many in (ZEROS, ZEROS * RUNS)]
+    return F.transform(lists, lambda x, i: F.when(i % 2 == 0, x).when(F.size(x) == 0, zeros[0]).otherwise(zeros[1]))
+
+
+def _cells(spark: SparkSession, path: str) -> DataFrame:
+    """``path, block, id, dst, value, piece`` of the text between closing brackets, with its byte range and
+    its order there; a row of a matrix is one piece, so a document is read by as many tasks as its files have ranges.
+
+    There is a row for each cell that is not 0, and after them one for the piece: the matrix it opens, if
+    it is blank, its last character (a space, if it is blank) and how many cells it has (NULL if it is no row).
+    """
     files = spark.read.option("lineSep", "]").text(path)
-    return files.select(
+    value = files.select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("id"), "value",
     )
+    place = ["path", "block", "id"]
+    pieces = fields_once(value, place, F.struct(_short(F.col("value")).alias("text")))
+    # A matrix without rows opens nothing.
+    opens = F.rlike("text", F.lit(_OPENS + r"\s*\[\s*\[[^\[]*$"))
+    row = F.when(opens & F.rlike("text", F.lit(_FIRST)), F.regexp_extract("text", _FIRST, 1)).when(
+        F.rlike("text", F.lit(_ROW)), F.regexp_extract("text", _ROW, 1)
+    )
+    blank = ~F.rlike("text", F.lit(r"\S"))
+    tail = F.when(F.col("text") == "", "").when(blank, " ").otherwise(F.regexp_extract("text", r"(\S)\s*$", 1))
+    kinds = F.struct(
+        F.when(opens, F.regexp_extract("text", _OPENS, 1)).alias("name"), blank.alias("blank"), tail.alias("tail"),
+        _spread(F.from_json(_lists(row), "array<array<double>>")).alias("lists"),
+    )
+    # One cell more, for the piece.  Joined in a projection, numbers are not boxed.
+    end = F.array(F.lit(0.0))
+    parsed = fields_once(pieces, place, kinds).withColumn("cells", F.flatten(F.concat("lists", F.array(end))))
+    ended = parsed.select(
+        *place, "name", "blank", "tail", F.when(F.col("cells").isNotNull(), F.size("cells") - 1).alias("n"),
+        F.coalesce("cells", end).alias("cells"),
+    )
+    last = F.col("dst") == F.coalesce("n", F.lit(0))
+    # Without "outer", a filter on the size would join the lists a second time.
+    return (
+        ended.select(*place, "name", "blank", "tail", "n", F.posexplode_outer("cells").alias("dst", "value"))
+        .where((F.col("value") != 0) | F.col("value").isNull() | last)
+        .select(*place, "dst", "value", F.when(last, F.struct("name", "blank", "tail", "n")).alias("piece"))
+    )
 
 
-def _outline(pieces: DataFrame) -> DataFrame:
-    """``path, block, first, before, opened, tail``, a row for each byte range: its first id, the number of
-    pieces before it, the matrices that it opens and the last character."""
-    name = F.regexp_extract("value", _OPENS, 1)
-    # A matrix without rows opens nothing.
-    opens = F.when(F.rlike("value", F.lit(_OPENS + r"\s*\[\s*\[[^\[\]]*$")), F.struct("id", name.alias("name")))
-    ranges = pieces.groupBy("path", "block").agg(
-        F.min("id").alias("first"), F.count(F.lit(1)).alias("n"), F.collect_list(opens).alias("opened"),
-        F.max_by(F.regexp_extract("value", r"(\S)\s*$", 1), "id").alias("tail"),
+def _outline(cells: DataFrame) -> DataFrame:
+    """``path, block, first, before, n, tail``, a row for each byte range in their order: its first id, its number of
+    pieces, that of the ranges before it and the last character.  The line break that ends a file
+    which others follow is no piece."""
+    ranges = cells.where("piece IS NOT NULL").groupBy("path", "block").agg(
+        F.min("id").alias("first"), F.count(F.lit(1)).alias("n"), F.max_by("piece.tail", "id").alias("tail")
     )
-    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    return ranges.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+    # A row for each range, so these windows are small.
+    order = Window.orderBy("path", "block")
+    follows = F.lead("path").over(order)
+    ranges = ranges.withColumn("n", F.col("n") - F.when((follows != F.col("path")) & (F.col("tail") == " "), 1).otherwise(0))
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    return ranges.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
 
 
-def read_graph(spark: SparkSession, path: str) -> DataFrame:
+def read_graph(spark: SparkSession, path: str, parts: bool = False) -> DataFrame:
     """``edges`` of the one graph document at ``path``, as of ``edges_from_documents``.
 
-    The file may be as large as a matrix of many thousand nodes and be a single line: it is read in
+    The document may be as large as a matrix of many thousand nodes and be a single line: it is read once, in
     byte ranges, a matrix row at a time, no task holds more than a row, and only cells that are not 0 are
-    joined.  It is gone through three times: to count the rows of each range and find the matrices, to find
-    where they end, and for the cells.  Raises on more than one document, a cut off one, a missing or
-    non-square matrix, a matrix given twice and a row that is no list of numbers.
+    kept and joined.  With ``parts`` it is cut into files, in the order of their names, which may be
+    compressed; each but the last ends with a line break after a closing bracket.
+
+    Raises on more than one document, a cut off one, a missing or non-square matrix, a matrix given twice
+    and a row that is no list of numbers.
     """
-    pieces = _matrix_pieces(spark, path)
-    outline = stage(_outline(pieces), "graph-ranges")
-    if outline.select("path").distinct().limit(2).count() > 1:
+    found = _cells(spark, path)
+    # What is kept of a range is small as a rule, so a file may hold several.
+    files = max(8 * spark.sparkContext.defaultParallelism, found.rdd.getNumPartitions() // 16)
+    cells = stage(found.coalesce(files), "graph-cells")
+    outline = stage(_outline(cells), "graph-ranges")
+    tails = outline.groupBy("path").agg(F.max_by("tail", "block").alias("tail")).orderBy(F.desc("path"))
+    last, others = tails.first(), tails.offset(1)
+    wrong = others.where(F.lit(not parts) | (F.col("tail") != " ")).limit(1).collect()
+    if wrong and (not parts or wrong[0].tail == "}"):
         raise ValueError("more than one graph document")
-    last = outline.orderBy(F.desc("block")).select("tail").first()
+    if wrong:
+        raise ValueError("a part of a graph document does not end with a line break after a bracket")
     if last is not None and last.tail != "}":
         raise ValueError("graph document is cut off")
-    found = (
-        outline.select("first", "before", F.explode("opened").alias("o"))
-        .select(F.col("o.name").alias("name"), (F.col("o.id") - F.col("first") + F.col("before")).alias("at"))
-        .limit(3).collect()
-    )
+    ranges = outline.select("path", "block", "first", "before", (F.col("before") + F.col("n")).alias("after"))
+    at = F.col("id") - F.col("first") + F.col("before")
+    placed = cells.join(ranges, ["path", "block"]).withColumn("at", at).where("at < after")
+    pieces = placed.where("piece IS NOT NULL").select("at", "piece.*")
+    found = pieces.where("name IS NOT NULL").select("name", "at").limit(3).collect()
     start = {r.name: r["at"] for r in found}
     if len(start) < len(found):
         raise ValueError("a matrix is given twice in graph document")
     if ADJACENCY not in start:
         raise ValueError("no adjacency-matrix in graph document")
-    ranges = outline.select("path", "block", "first", "before")
-    placed = pieces.join(ranges, ["path", "block"], "left").select(
-        F.coalesce(F.col("id") - F.col("first") + F.col("before"), F.raise_error(F.lit("byte ranges changed while reading"))).alias("at"),
-        "value",
-    )
-    blank = F.trim(F.regexp_replace("value", r"\s", "")) == ""
-    ends = placed.where(blank).agg(*[F.min(F.when(F.col("at") > at, F.col("at"))).alias(name) for name, at in start.items()]).first()
+    ends = pieces.where("blank").agg(*[F.min(F.when(F.col("at") > at, F.col("at"))).alias(name) for name, at in start.items()]).first()
     if None in ends:
         raise ValueError("graph document is cut off")
 
-    def rows(name: str) -> DataFrame:
-        own = F.when(F.col("at") == start[name], F.regexp_extract("value", r"\[([^\[\]]*)$", 1)).when(
-            F.rlike("value", F.lit(_ROW)), F.regexp_extract("value", _ROW, 1)
-        )
-        cells = F.from_json(F.concat(F.lit("["), own, F.lit("]")), "array<double>")
-        fault = F.raise_error(F.concat(F.lit(f"a row of {name} is no list of numbers: row "), (F.col("at") - start[name]).cast("string")))
-        return placed.where(F.col("at").between(start[name], ends[name] - 1)).select(
-            (F.col("at") - start[name]).cast("bigint").alias("src"), F.coalesce(cells, fault).alias("cells")
-        )
+    def among(name: str) -> Column:
+        return F.col("at").between(start[name], ends[name] - 1)
+
+    def rows(frame: DataFrame, name: str) -> DataFrame:
+        return frame.where(among(name)).withColumn("src", F.col("at") - start[name])
 
     n = ends[ADJACENCY] - start[ADJACENCY]
-    square = F.when(F.size("cells") == n, F.col("cells")).otherwise(F.raise_error(F.lit("adjacency matrix is not square")))
-    # Only cells that are not 0 leave the task that reads a row.
-    edges = rows(ADJACENCY).select("src", F.posexplode(square).alias("dst", "weight")).where("weight <> 0")
+    faults = [F.min(F.when(among(name) & F.col("n").isNull(), F.col("at") - start[name])).alias(name) for name in start]
+    uneven = F.count_if(among(ADJACENCY) & (F.col("n") != n)).alias("uneven")
+    checked = pieces.agg(*faults, uneven).first()
+    for name in start:
+        if checked[name] is not None:
+            raise ValueError(f"a row of {name} is no list of numbers: row {checked[name]}")
+    if checked["uneven"]:
+        raise ValueError("adjacency matrix is not square")
+    known = placed.where("piece IS NULL")
+    edges = rows(known, ADJACENCY).where("value <> 0").select("src", "dst", F.col("value").alias("weight"))
     if DISTANCE in start:
         # What a row lacks at its end is NULL, as are the rows that are not there.
-        short = F.greatest(n - F.size("cells"), F.lit(0))
-        padded = F.when(short > 0, F.concat("cells", F.array_repeat(F.lit(None).cast("double"), short))).otherwise(F.col("cells"))
-        far = rows(DISTANCE).select("src", F.posexplode(padded).alias("dst", "distance"))
-        far = far.where("distance IS NULL OR distance <> 0").withColumn("given", F.lit(True))
+        lacks = rows(pieces, DISTANCE).where(F.col("n") < n).select(
+            "src", F.explode(F.sequence("n", F.lit(n - 1).cast("int"))).alias("dst"), F.lit(None).cast("double").alias("distance")
+        )
+        far = rows(known, DISTANCE).select("src", "dst", F.col("value").alias("distance"))
+        far = far.unionByName(lacks).withColumn("given", F.lit(True))
         zero = F.when(F.col("given").isNull() & (F.col("src") < ends[DISTANCE] - start[DISTANCE]), 0.0)
         edges = edges.join(far, ["src", "dst"], "left").withColumn("distance", F.coalesce("distance", zero))
     else:
         edges = edges.withColumn("distance", F.lit(None).cast("double"))
-    return reads(edges.select("src", F.col("dst").cast("bigint").alias("dst"), "weight", "distance"), outline)
+    return reads(edges.select("src", F.col("dst").cast("bigint").alias("dst"), "weight", "distance"), cells, outline)
 
 
 def sensor_metadata(docs: DataFrame, value: str = "value") -> DataFrame:

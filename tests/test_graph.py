@@ -1,4 +1,7 @@
+import glob
+import gzip
 import json
+import os
 
 import numpy as np
 import pytest
@@ -6,8 +9,9 @@ from pyspark.sql import functions as F
 
 from sensorgrid.operators import graph as g
 from sensorgrid.operators.spectral import spectral_encoding
+from sensorgrid.plans.catalog import graphs
 from sensorgrid.sources import read_graph
-from sensorgrid.staging import stage
+from sensorgrid.staging import checkpoint_root, stage
 from tests.helpers import edges, nodes
 
 
@@ -205,3 +209,37 @@ def test_only_cells_that_are_not_zero_are_joined(spark, tmp_path):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join LeftOuter" in line]
     assert any("src" in line and "dst" in line for line in joins)
+
+
+def test_document_is_written_in_compressed_parts(spark, tmp_path, monkeypatch):
+    """All tasks write, and the zeros of a matrix take no room; links are those of the tables."""
+    monkeypatch.setattr(graphs, "PART", 200_000)
+    n, at = 400, str(tmp_path)
+    spark.range(n).select(F.col("id").alias("s_suppkey")).write.parquet(f"{at}/supplier.parquet")
+    key = F.col("id")
+    rows = spark.range(1500).select(
+        F.when(key % 9 == 0, 7).otherwise(key * key % 391).cast("bigint").alias("l_suppkey"), (key * 31 % 2003).alias("l_partkey"),
+        (key % 7).cast("int").alias("l_linenumber"), F.when(key % 10 > 0, key % 50 / 4).alias("l_quantity"),
+    )
+    rows.write.parquet(f"{at}/lineitem.parquet")
+    root, known = checkpoint_root(spark), set(glob.glob(f"{checkpoint_root(spark)}/sensorgrid/document-*"))
+    got = {(r.src, r.dst): (r.weight, r.distance) for r in graphs.graph_document_file(spark, at).collect()}
+    want = {}
+    for r in rows.collect():
+        weight, distance = want.get(link := (r.l_suppkey, (r.l_partkey + 3 * r.l_linenumber) % n), (0, 0))
+        want[link] = (weight + 1, distance + (r.l_quantity or 0))
+    assert got == want
+    (folder,) = set(glob.glob(f"{root}/sensorgrid/document-*")) - known
+    parts = sorted(glob.glob(f"{folder}/part-*"))
+    document = json.loads("".join(gzip.open(part, "rt").read() for part in parts))
+    assert [len(row) for name in ("adjacency-matrix", "distance-matrix") for row in document[name]] == [n] * (2 * n)
+    assert len(parts) == 4 and sum(map(os.path.getsize, parts)) < n * n * 4 / 10
+
+
+def test_document_without_suppliers(spark, tmp_path):
+    spark.range(0).select(F.col("id").alias("s_suppkey")).write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.range(3).select(
+        F.col("id").alias("l_suppkey"), F.col("id").alias("l_partkey"), F.lit(1).alias("l_linenumber"), F.lit(1.0).alias("l_quantity")
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    with pytest.raises(ValueError, match="no adjacency-matrix"):
+        graphs.graph_document_file(spark, str(tmp_path))

@@ -1,3 +1,4 @@
+import gzip
 import json
 import random
 from collections import Counter
@@ -327,6 +328,55 @@ def test_graph_document_in_ranges(spark, tmp_path, size, indent):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+@pytest.mark.parametrize("separator", [",", ", "])
+@pytest.mark.parametrize("zero", [0, 0.0])
+def test_runs_of_zeros_in_graph_documents(spark, tmp_path, separator, zero):
+    """Runs are told by signs before a row is parsed; a number that begins with 0 may follow one."""
+    rng = random.Random(7)
+    n = 600
+    cells = [0.5, 0.05, 3, -0.25, 1e-7, 40, -0.0]
+    weights = [[rng.choice(cells) if rng.random() < (0.004, 0.1)[i % 2] else zero for _ in range(n)] for i in range(n)]
+    weights[3], weights[4] = [zero] * n, [zero] * (n - 1) + [0.5]
+    far = [[rng.choice([7, 0.5, None]) if rng.random() < 0.05 else zero for _ in range(n)] for _ in range(n - 2)]
+    far[5], far[6] = far[5][:300], [zero] * 300
+    doc = {"adjacency-matrix": weights, "distance-matrix": far}
+    (tmp_path / "graph.json").write_text(json.dumps(doc, separators=(separator, ":")))
+    got = {(r.src, r.dst): (r.weight, r.distance) for r in sources.read_graph(spark, str(tmp_path)).collect()}
+    distance = lambda i, j: far[i][j] if i < len(far) and j < len(far[i]) else None
+    assert got == {(i, j): (weights[i][j], distance(i, j)) for i in range(n) for j in range(n) if weights[i][j]}
+
+
+@pytest.mark.parametrize("row", ["{},", ",{}", "{},,{}", "{} 1", "{},true"])
+def test_faults_beside_runs_of_zeros(spark, tmp_path, row):
+    path = tmp_path / "graph.json"
+    path.write_text(f'{{"adjacency-matrix": [[1], [{row.replace("{}", ",".join("0" * 272))}]]}}')
+    with pytest.raises(ValueError, match="no list of numbers: row 1"):
+        sources.read_graph(spark, str(path))
+
+
+def test_graph_document_in_parts(spark, tmp_path):
+    doc = {"adjacency-matrix": [[0, 2, 0], [1, 0, 0], [0, 0, 3]], "distance-matrix": [[0, 4, 0], [5, 0, 0], [0, 0, 6]]}
+    want = {(0, 1): (2, 4), (1, 0): (1, 5), (2, 2): (3, 6)}
+    lines = json.dumps(doc).replace("],", "]\n,").replace("]]", "]\n]").splitlines(keepends=True)
+    for k, cuts in enumerate(([2], [1, 3, 4, 5], range(1, len(lines)))):
+        folder = tmp_path / str(k)
+        folder.mkdir()
+        ends = [*cuts, len(lines)]
+        for i, (a, b) in enumerate(zip([0, *cuts], ends, strict=True)):
+            (folder / f"part-{i:05d}.txt.gz").write_bytes(gzip.compress("".join(lines[a:b]).encode()))
+        got = {(r.src, r.dst): (r.weight, r.distance) for r in sources.read_graph(spark, str(folder), parts=True).collect()}
+        assert got == want
+        with pytest.raises(ValueError, match="more than one"):
+            sources.read_graph(spark, str(folder))
+    whole, twice, torn = json.dumps(doc) + "\n", tmp_path / "twice", tmp_path / "torn"
+    for folder, texts, message in ((twice, (whole, whole), "more than one"), (torn, (whole[:40], whole[40:]), "line break")):
+        folder.mkdir()
+        for i, text in enumerate(texts):
+            (folder / f"{i}.json").write_text(text)
+        with pytest.raises(ValueError, match=message):
+            sources.read_graph(spark, str(folder), parts=True)
+
+
 def test_faulty_graph_documents(spark, tmp_path):
     path = tmp_path / "graph.json"
     whole = json.dumps({"adjacency-matrix": [[1, 2], [3, 4]]})
